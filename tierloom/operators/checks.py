@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,42 +12,41 @@ from pyspark.sql import functions as F
 from tierloom.operators.joins import available_rows, matching, missing_rows
 
 
-def _verdict(name: str, violations: Column) -> list[Column]:
-    counted = F.coalesce(violations, F.lit(0)).cast("bigint")
-    return [
-        F.lit(name).alias("check"),
-        (counted == 0).alias("passed"),
-        counted.alias("violations"),
-    ]
+@dataclass(frozen=True)
+class Check:
+    """A name and an aggregate over one table that gives the number of violations."""
 
+    name: str
+    violations: Column
 
-def _from_rows(name: str, offending: DataFrame) -> DataFrame:
-    return offending.agg(F.count(F.lit(1)).alias("n")).select(*_verdict(name, F.col("n")))
 
-
-def row_count_is(name: str, df: DataFrame, expected: int) -> DataFrame:
+def row_count_is(name: str, expected: int) -> Check:
     """Violations: distance from the expected number of rows."""
-    total = df.agg(F.count(F.lit(1)).alias("n"))
-    return total.select(*_verdict(name, F.abs(F.col("n") - F.lit(expected))))
+    return Check(name, F.abs(F.count(F.lit(1)) - F.lit(expected)))
+
 
+def not_empty(name: str) -> Check:
+    return Check(name, (F.count(F.lit(1)) == 0).cast("bigint"))
 
-def has_columns(name: str, df: DataFrame, required: Sequence[str]) -> DataFrame:
+
+def has_columns(name: str, df: DataFrame, required: Sequence[str]) -> Check:
     """Violations: number of required columns that are absent. Only the schema is looked at."""
-    absent = len(set(required) - set(df.columns))
-    return df.sparkSession.range(1).select(*_verdict(name, F.lit(absent)))
+    return Check(name, F.lit(len(set(required) - set(df.columns))))
+
 
+def unique_key(name: str, key: str) -> Check:
+    """Violations: rows beyond one per distinct non-NULL key."""
+    return Check(name, F.count("*") - F.count_distinct(F.col(key)))
 
-def not_empty(name: str, df: DataFrame) -> DataFrame:
-    return df.limit(1).agg(F.count(F.lit(1)).alias("n")).select(*_verdict(name, 1 - F.col("n")))
 
+def no_row(name: str, condition: Column) -> Check:
+    """Violations: rows for which the condition is true."""
+    return Check(name, F.count_if(condition))
 
-def row_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """Several conditions that no row may meet, all counted in one pass."""
-    names = list(rules)
-    slots = [f"r{position}" for position in range(len(names))]
-    totals = df.agg(*[F.count_if(rules[name]).alias(slot) for name, slot in zip(names, slots)])
-    verdicts = [F.struct(*_verdict(name, F.col(slot))) for name, slot in zip(names, slots)]
-    return totals.select(F.inline(F.array(*verdicts)))
+
+def every_row(name: str, condition: Column) -> Check:
+    """Violations: rows for which the condition is not true, NULL included."""
+    return no_row(name, ~F.coalesce(condition, F.lit(False)))
 
 
 def is_missing(column: str) -> Column:
@@ -57,15 +57,21 @@ def is_blank(column: str) -> Column:
     return F.col(column).isNull() | (F.col(column) == "")
 
 
-def out_of_range(condition: Column) -> Column:
-    """True where a condition that should hold does not, NULL included."""
-    return ~F.coalesce(condition, F.lit(False))
+def _verdict(name: str, violations: Column) -> list[Column]:
+    counted = F.coalesce(violations, F.lit(0)).cast("bigint")
+    return [F.lit(name).alias("check"), (counted == 0).alias("passed"), counted.alias("violations")]
 
 
-def unique_key(name: str, df: DataFrame, key: str) -> DataFrame:
-    """Violations: rows beyond one per distinct non-NULL key."""
-    totals = df.agg(F.count("*").alias("n"), F.count_distinct(F.col(key)).alias("d"))
-    return totals.select(*_verdict(name, F.col("n") - F.col("d")))
+def table_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Verdicts of all checks on one table, from one pass over it."""
+    slots = [f"c{position}" for position in range(len(checks))]
+    totals = df.agg(*[check.violations.alias(slot) for check, slot in zip(checks, slots)])
+    verdicts = [F.struct(*_verdict(check.name, F.col(slot))) for check, slot in zip(checks, slots)]
+    return totals.select(F.inline(F.array(*verdicts)))
+
+
+def _offending(name: str, rows: DataFrame) -> DataFrame:
+    return table_checks(rows, [Check(name, F.count(F.lit(1)))])
 
 
 def selected_is_max(
@@ -74,23 +80,23 @@ def selected_is_max(
     """The published value equals an independent recomputation per key; a NULL on either side is a violation."""
     pairs = matching(result.select(key, value), recomputed.select(key, expected), key)
     close = F.abs(F.col(value) - F.col(expected)) <= F.lit(tolerance)
-    return _from_rows(name, pairs.filter(out_of_range(close)))
+    return table_checks(pairs, [every_row(name, close)])
 
 
 def same_row_count(name: str, result: DataFrame, source: DataFrame) -> DataFrame:
     signed = result.select(F.lit(1).alias("s")).unionAll(source.select(F.lit(-1).alias("s")))
-    return signed.agg(F.abs(F.sum("s")).alias("n")).select(*_verdict(name, F.col("n")))
+    return table_checks(signed, [Check(name, F.abs(F.sum("s")))])
 
 
 def all_present(name: str, expected: DataFrame, result: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return _from_rows(name, missing_rows(expected, result, keys))
+    return _offending(name, missing_rows(expected, result, keys))
 
 
 def present_when_available(
     name: str, result: DataFrame, reference: DataFrame, key: str, value: str
 ) -> DataFrame:
     """For keys the reference side knows, the joined value must not be NULL."""
-    return _from_rows(name, available_rows(result.filter(F.col(value).isNull()), reference, key))
+    return _offending(name, available_rows(result.filter(F.col(value).isNull()), reference, key))
 
 
 def suite(checks: Iterable[DataFrame]) -> DataFrame:

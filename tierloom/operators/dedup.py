@@ -13,11 +13,11 @@ SPREAD = 32
 _SALT = "_spread"
 
 
-def _origin(df: DataFrame, keys: Sequence[str]) -> list[Column]:
-    """Columns in which copies of one key are likely to differ: where the row came from, else its other values."""
+def _origin(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A number that tells apart the slices of input a row can come from: its file block, else its task."""
     if LINEAGE in df.columns and LINEAGE not in keys:
-        return [F.col(f"{LINEAGE}.file_path"), F.col(f"{LINEAGE}.file_block_start")]
-    return [F.col(name) for name in df.columns if name not in keys]
+        return F.xxhash64(f"{LINEAGE}.file_path", f"{LINEAGE}.file_block_start")
+    return F.spark_partition_id()
 
 
 def first_arrival(df: DataFrame, keys: Sequence[str], spread: int = SPREAD) -> DataFrame:
@@ -25,14 +25,13 @@ def first_arrival(df: DataFrame, keys: Sequence[str], spread: int = SPREAD) -> D
 
     A batch combines on the map side before its shuffle. A stateful stream operator does not, and one key may hold a
     large part of all rows, so the stream first removes copies per (key, origin slice) and then per key: the rows of a
-    hot key go to ``spread`` tasks, and at most ``spread`` of them reach the second step in a micro-batch. Both steps
-    keep state per key, without a watermark.
+    hot key go to up to ``spread`` tasks, and at most ``spread`` of them ever reach the second step. Both steps keep
+    state per key, without a watermark.
     """
     keys = list(keys)
-    origin = _origin(df, keys)
-    if not df.isStreaming or spread < 2 or not origin:
+    if not df.isStreaming or spread < 2:
         return df.dropDuplicates(keys)
-    salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*origin), F.lit(spread)))
+    salted = df.withColumn(_SALT, F.pmod(_origin(df, keys), F.lit(spread)))
     return salted.dropDuplicates([*keys, _SALT]).drop(_SALT).dropDuplicates(keys)
 
 

@@ -38,13 +38,17 @@ def matching(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def missing_rows(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``expected`` without a counterpart in ``actual``."""
-    return expected.join(actual.select(*keys), on=list(keys), how="left_anti")
+    """Rows of ``expected`` without a counterpart in ``actual``.
+
+    The keys of ``actual`` are made distinct first: that combines before the shuffle, so a key repeated many times
+    travels once per task, and the join reuses the partitioning.
+    """
+    return expected.join(actual.select(*keys).distinct(), on=list(keys), how="left_anti")
 
 
 def available_rows(df: DataFrame, reference: DataFrame, key: str) -> DataFrame:
-    """Rows whose key exists on the reference side, each once."""
-    return df.join(reference.select(key), on=key, how="left_semi")
+    """Rows whose key exists on the reference side, each once, however often the key stands there."""
+    return df.join(reference.select(key).distinct(), on=key, how="left_semi")
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:

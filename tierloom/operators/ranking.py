@@ -14,10 +14,22 @@ def summary(df: DataFrame, value: str, mean: str = "mean", deviation: str = "std
 
 
 def exact_sum(value: str, scale: int | None) -> Column:
-    """Sum of a double column; with ``scale`` added up as decimals, so the order of addition does not matter."""
+    """Sum of a double column; with ``scale`` added up in whole units of that many decimals.
+
+    Adding integers gives the same total whatever the order of addition, so ties and retries cannot change a result,
+    and it stays on primitive types, which sums of decimals do not. A value or total that does not fit 64 bits raises.
+    """
     if scale is None:
         return F.sum(value)
-    return F.sum(F.col(value).cast(f"decimal(28,{scale})")).cast("double")
+    unit = float(10**scale)
+    units = F.rint(F.col(value) * unit).try_cast("bigint")
+    total = F.try_sum(units)
+    fits = (F.count(units) == F.count(value)) & total.isNotNull()
+    return (
+        F.when(F.count(value) == 0, F.lit(None).cast("double"))
+        .when(fits, total.cast("double") / unit)
+        .otherwise(F.raise_error(F.lit(f"the sum of {value} does not fit 64 bits at scale {scale}")).cast("double"))
+    )
 
 
 def grouped_sum(

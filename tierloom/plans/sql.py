@@ -91,7 +91,7 @@ def best_year_by_series(
     sectors: DataFrame,
     scale: int | None = None,
 ) -> DataFrame:
-    total = "sum(value)" if scale is None else f"CAST(sum(CAST(value AS decimal(28,{scale}))) AS double)"
+    total = "sum(value)" if scale is None else f"sum(CAST(rint(value * 1e{scale}) AS bigint)) / 1e{scale}"
     return spark.sql(
         BEST_YEAR.format(total=total),
         observations=observations.select("series_id", "year", "period", "value"),

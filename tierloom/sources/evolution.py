@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
@@ -36,30 +36,36 @@ def infer_json(
     glob: str | None = None,
     multi_line: bool = False,
     modified_after: datetime | None = None,
-) -> StructType:
+) -> StructType | None:
     """Schema of the landed snapshots; ``pinned`` fields take the given type (e.g. ``{}`` kept as text).
 
-    All rows count: a field seen once must not be lost. ``modified_after`` limits the pass to newly landed files.
+    All rows count: a field seen once must not be lost. ``modified_after`` (UTC) limits the pass to newly landed
+    files; None when there are none.
     """
     reader = spark.read.option("multiLine", multi_line)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if modified_after:
-        reader = reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
-    found = reader.json(path).schema
+        reader = reader.option("modifiedAfter", f"{modified_after:%Y-%m-%dT%H:%M:%S}").option("timeZone", "UTC")
+    try:
+        found = reader.json(path).schema
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
     return widen(pinned, found) if pinned else found
 
 
 class SchemaLog:
     """Versions of an evolving schema, kept as a small append-only folder beside the checkpoint."""
 
-    COLUMNS = "version int, fields string"
+    COLUMNS = "version int, fields string, checked_until string"
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
-    def _latest(self):
+    def _latest(self) -> Row | None:
         try:
             log = self.spark.read.schema(self.COLUMNS).json(self.folder)
             return log.orderBy(F.desc("version")).first()
@@ -72,21 +78,32 @@ class SchemaLog:
         row = self._latest()
         return StructType.fromJson(json.loads(row["fields"])) if row else None
 
-    def add(self, schema: StructType) -> None:
-        row = self._latest()
-        version = row["version"] + 1 if row else 1
-        entry = self.spark.createDataFrame([(version, schema.json())], self.COLUMNS)
-        entry.coalesce(1).write.mode("append").json(self.folder)
-
-    def absorb(self, found: StructType) -> StructType:
-        """Merge newly found fields into the saved schema and save it when that changed it.
+    def absorb(self, found: StructType | None, checked_until: datetime | None = None) -> StructType:
+        """Merge newly found fields into the saved schema and save the result.
 
-        To be called before the read: a field unknown at read time would be lost.
+        To be called before the read: a field unknown at read time would be lost. Every schema has the column that
+        takes whole records with a value that does not fit.
         """
-        known = self.current()
-        merged = widen(known, found) if known else found
+        row = self._latest()
+        known = StructType.fromJson(json.loads(row["fields"])) if row else None
+        if known is None and found is None:
+            raise ValueError("no landed file to take a schema from")
+        merged = widen(known, found) if known and found else known or found
         if RESCUE not in merged.fieldNames():
             merged = StructType([*merged.fields, StructField(RESCUE, StringType())])
-        if merged != known:
-            self.add(merged)
+        if merged != known or checked_until:
+            until = checked_until.isoformat() if checked_until else None
+            entry = (row["version"] + 1 if row else 1, merged.json(), until)
+            self.spark.createDataFrame([entry], self.COLUMNS).coalesce(1).write.mode("append").json(self.folder)
         return merged
+
+    def refresh(self, path: str, *, margin: timedelta = timedelta(days=1), **options) -> StructType:
+        """Schema for the next run: what is known plus the fields of files landed since the last refresh.
+
+        ``margin`` is how much earlier than that a file may be dated and still count as new; looking at a file twice
+        does no harm.
+        """
+        started = datetime.now(timezone.utc)
+        row = self._latest()
+        since = datetime.fromisoformat(row["checked_until"]) - margin if row and row["checked_until"] else None
+        return self.absorb(infer_json(self.spark, path, modified_after=since, **options), started)

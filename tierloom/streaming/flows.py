@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tierloom.functions.columns import trim_headers
+from tierloom.operators.checks import suite
 from tierloom.operators.expectations import stream_report
 from tierloom.plans import gold
 from tierloom.plans.checks import best_year_checks, population_checks, series_population_checks
-from tierloom.operators.checks import suite
 from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, SECTORS, SERIES, SPECS, Spec, refine
-from tierloom.sources.evolution import RESCUE, SchemaLog, infer_json
+from tierloom.sources.evolution import RESCUE, SchemaLog
 from tierloom.sources.files import json_stream, tsv_stream
 from tierloom.sources.tables import table_batch, table_stream
 from tierloom.streaming.runs import describe, finish, publish, start_append
@@ -74,7 +74,7 @@ def ingest(spark: SparkSession, layout: Layout) -> None:
         )
     table = "bronze_population"
     log = SchemaLog(spark, f"{layout.checkpoints}/{table}_schema")
-    schema = log.absorb(infer_json(spark, layout.population_raw, pinned=PINNED))
+    schema = log.refresh(layout.population_raw, pinned=PINNED)
     snapshots = json_stream(
         spark, layout.population_raw, schema, rescue=RESCUE, max_bytes=layout.max_bytes
     )

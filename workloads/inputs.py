@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierloom.operators.ranking import exact_sum
+from tierloom.workspace import fresh_folder
+
 PAD = "      "
 # Population is published up to this year; later observations have none beside them.
 PUBLISHED_UNTIL = 1999
@@ -19,39 +22,44 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def text(column: str | Column) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("string")
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table to the shared folder and read it back, for inputs that several queries scan."""
+    spark = df.sparkSession
+    path = fresh_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def cents(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
+def text(column: str | Column) -> Column:
+    return (F.col(column) if isinstance(column, str) else column).cast("string")
 
 
-def observations(spark: SparkSession, folder: str) -> DataFrame:
-    """(series_id, year, period, value): quarters and, in the same pass, whole years."""
-    shipped = table(spark, folder, "lineitem").select(
-        text("l_suppkey").alias("series_id"),
+def shipped(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").select(
+        "l_suppkey",
         F.year("l_shipdate").alias("year"),
         F.quarter("l_shipdate").alias("quarter"),
-        cents("l_extendedprice").alias("amount"),
+        "l_extendedprice",
     )
-    totals = shipped.groupingSets(
-        [("series_id", "year", "quarter"), ("series_id", "year")], "series_id", "year", "quarter"
-    ).agg(F.sum("amount").alias("amount"))
+
+
+def labelled(totals: DataFrame) -> DataFrame:
     period = F.concat(F.lit("Q0"), F.coalesce(F.col("quarter"), F.lit(5)))
-    return totals.select(
-        "series_id", "year", period.alias("period"), F.col("amount").cast("double").alias("value")
+    return totals.select(text("l_suppkey").alias("series_id"), "year", period.alias("period"), "value")
+
+
+def observations(spark: SparkSession, folder: str) -> DataFrame:
+    """(series_id, year, period, value): quarters and, in the same pass, whole years."""
+    totals = shipped(spark, folder).groupingSets(
+        [("l_suppkey", "year", "quarter"), ("l_suppkey", "year")], "l_suppkey", "year", "quarter"
     )
+    return labelled(totals.agg(exact_sum("l_extendedprice", 2).alias("value")))
 
 
 def quarterly(spark: SparkSession, folder: str) -> DataFrame:
     """The quarter rows alone."""
-    shipped = table(spark, folder, "lineitem")
-    return shipped.groupBy(
-        text("l_suppkey").alias("series_id"),
-        F.year("l_shipdate").alias("year"),
-        F.concat(F.lit("Q0"), F.quarter("l_shipdate")).alias("period"),
-    ).agg(F.sum(cents("l_extendedprice")).cast("double").alias("value"))
+    totals = shipped(spark, folder).groupBy("l_suppkey", "year", "quarter")
+    return labelled(totals.agg(exact_sum("l_extendedprice", 2).alias("value")))
 
 
 def series(spark: SparkSession, folder: str) -> DataFrame:
