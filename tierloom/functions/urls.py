@@ -66,9 +66,13 @@ def _without_dots(path: Column) -> Column:
 
 
 def resolve(base: str | Column, address: str | Column) -> Column:
-    """Absolute form of an address found on the page ``base`` (RFC 3986, section 5.2)."""
+    """Absolute form of an address found on the page ``base`` (RFC 3986, section 5.2).
+
+    Leading blanks and line breaks in the address do not count; a relative path loses repeated slashes.
+    """
     base = F.col(base) if isinstance(base, str) else base
     address = F.col(address) if isinstance(address, str) else address
+    address = F.regexp_replace(address, r"^[\x00-\x20]+|[\t\r\n]", "")
     scheme, host, path = (_part(address, group) for group in (1, 2, 3))
     base_scheme, base_host, base_path = (_part(base, group) for group in (1, 2, 3))
     query = F.regexp_extract(address, r"^[^?#]*(\?[^#]*)", 1)
@@ -76,6 +80,7 @@ def resolve(base: str | Column, address: str | Column) -> Column:
     fragment = F.regexp_extract(address, r"(#.*)$", 1)
     folder = F.regexp_extract(base_path, r"^(.*/)", 1)
     merged = F.when(folder == "", F.concat(F.lit("/"), path)).otherwise(F.concat(folder, path))
+    merged = F.regexp_replace(merged, "/{2,}", "/")
     root = F.concat(base_scheme, F.lit("://"), base_host)
     return (
         F.when(scheme != "", address)
