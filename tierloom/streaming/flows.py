@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
@@ -32,6 +33,11 @@ COMMENTS = {
     "bronze_bls_sector": "Sector names as they arrived",
     "bronze_population": "Population snapshots as they arrived, one row per response",
 }
+GOLD_COMMENTS = {
+    "gold_population_stats": "Mean and standard deviation of the population over the chosen years",
+    "gold_best_year_by_series": "Year with the largest sum of quarters for every series",
+    "gold_series_population": "One series and period by year beside the population",
+}
 # Objects of a response that are kept as text, because an empty object has no fields to infer.
 PINNED = StructType([StructField("annotations", StringType()), StructField("page", StringType())])
 
@@ -49,6 +55,7 @@ class Layout:
     analytics: str = "population_analytics"
     state_partitions: int | None = None
     max_bytes: str | None = None
+    partition_by: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     def name(self, table: str) -> str:
         if table.startswith("gold_"):
@@ -70,27 +77,34 @@ def ingest(spark: SparkSession, layout: Layout) -> None:
     for table, glob in GLOBS.items():
         landed = tsv_stream(spark, layout.productivity_raw, glob=glob, max_bytes=layout.max_bytes)
         queries.append(
-            start_append(trim_headers(landed), layout.checkpoint(table), table=layout.name(table))
+            start_append(
+                trim_headers(landed),
+                layout.checkpoint(table),
+                table=layout.name(table),
+                partition_by=layout.partition_by.get(table, ()),
+            )
         )
     table = "bronze_population"
     log = SchemaLog(spark, f"{layout.checkpoints}/{table}_schema")
     schema = log.refresh(layout.population_raw, pinned=PINNED)
-    snapshots = json_stream(
-        spark, layout.population_raw, schema, rescue=RESCUE, max_bytes=layout.max_bytes
-    )
-    queries.append(
-        start_append(snapshots, layout.checkpoint(table), path=layout.bronze_population_folder)
-    )
+    snapshots = json_stream(spark, layout.population_raw, schema, rescue=RESCUE, max_bytes=layout.max_bytes)
+    queries.append(start_append(snapshots, layout.checkpoint(table), path=layout.bronze_population_folder))
     finish(queries)
-    # The stored definition follows the widened schema; dropping it leaves the files in place.
-    spark.sql(f"DROP TABLE IF EXISTS {layout.name(table)}")
-    spark.catalog.createTable(
-        layout.name(table), layout.bronze_population_folder, "parquet", schema=snapshots.schema
-    )
+    define_over(spark, layout.name(table), layout.bronze_population_folder, snapshots.schema)
     for name, comment in COMMENTS.items():
         describe(spark, layout.name(name), comment)
 
 
+def define_over(spark: SparkSession, name: str, folder: str, schema: StructType) -> None:
+    """Make the stored definition of a table over ``folder`` follow a widened schema; the files stay as they are."""
+    if spark.catalog.tableExists(name):
+        if spark.table(name).schema.simpleString() == schema.simpleString():
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, folder, "parquet", schema=schema)
+
+
 def clean(spark: SparkSession, layout: Layout, order: str = "expect_first") -> DataFrame:
     """Silver: what bronze gained since the last run. Returns (table, name, passed, failed) of this run."""
     started: dict[str, tuple[Spec, object]] = {}
@@ -105,6 +119,7 @@ def clean(spark: SparkSession, layout: Layout, order: str = "expect_first") -> D
                 layout.checkpoint(spec.table),
                 table=layout.name(spec.table),
                 state_partitions=layout.state_partitions,
+                partition_by=layout.partition_by.get(spec.table, ()),
             ),
         )
     finish(query for _, query in started.values())
@@ -132,22 +147,21 @@ def analyze(
         return table_batch(spark, layout.name(spec.table))
 
     observations, people = silver(OBSERVATIONS), silver(POPULATION)
-    stats = publish(
-        gold.population_stats(people, nation, *years),
-        layout.name("gold_population_stats"),
-        "Mean and standard deviation of the population over the chosen years",
-    )
-    best = publish(
+
+    def keep(result: DataFrame, table: str) -> DataFrame:
+        return publish(
+            result, layout.name(table), GOLD_COMMENTS[table], partition_by=layout.partition_by.get(table, ())
+        )
+
+    stats = keep(gold.population_stats(people, nation, *years), "gold_population_stats")
+    best = keep(
         gold.best_year_by_series(
             observations, silver(SERIES), silver(MEASURES), silver(SECTORS), scale=scale
         ),
-        layout.name("gold_best_year_by_series"),
-        "Year with the largest sum of quarters for every series",
+        "gold_best_year_by_series",
     )
-    paired = publish(
-        gold.series_population(observations, people, series_id, period, nation),
-        layout.name("gold_series_population"),
-        "One series and period by year beside the population",
+    paired = keep(
+        gold.series_population(observations, people, series_id, period, nation), "gold_series_population"
     )
     chosen = observations.filter(
         (observations.series_id == series_id) & (observations.period == period)
