@@ -16,7 +16,7 @@ from tierloom.functions.columns import trim_headers
 from tierloom.plans import gold
 from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, SECTORS, SERIES, SPECS, Spec, refine
 from tierloom.sources.files import json_stream, tsv_stream
-from tierloom.streaming.flows import COMMENTS, GLOBS, GOLD_COMMENTS, Layout
+from tierloom.streaming.flows import COMMENTS, GOLD_COMMENTS, Layout
 
 
 def define(
@@ -39,13 +39,13 @@ def define(
 
     def tsv(table: str) -> Callable[[], DataFrame]:
         return lambda: trim_headers(
-            tsv_stream(spark, layout.productivity_raw, schemas[table], glob=GLOBS[table])
+            tsv_stream(spark, layout.productivity_raw, schemas[table], glob=layout.globs[table])
         )
 
     def cleaned(spec: Spec) -> Callable[[], DataFrame]:
         return lambda: refine(spark.readStream.table(layout.name(spec.source)), spec)
 
-    for table in GLOBS:
+    for table in layout.globs:
         dp.table(name=layout.name(table), comment=COMMENTS[table])(tsv(table))
     dp.table(name=layout.name("bronze_population"), comment=COMMENTS["bronze_population"])(
         lambda: json_stream(spark, layout.population_raw, schemas["bronze_population"])

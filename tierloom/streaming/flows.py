@@ -56,6 +56,7 @@ class Layout:
     state_partitions: int | None = None
     max_bytes: str | None = None
     partition_by: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    globs: Mapping[str, str] = field(default_factory=lambda: dict(GLOBS))
 
     def name(self, table: str) -> str:
         if table.startswith("gold_"):
@@ -74,7 +75,7 @@ def create_schemas(spark: SparkSession, layout: Layout) -> None:
 def ingest(spark: SparkSession, layout: Layout) -> None:
     """Bronze: all five sources at the same time, each file once."""
     queries = []
-    for table, glob in GLOBS.items():
+    for table, glob in layout.globs.items():
         landed = tsv_stream(spark, layout.productivity_raw, glob=glob, max_bytes=layout.max_bytes)
         queries.append(
             start_append(

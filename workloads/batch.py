@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierloom.functions.columns import extraction_time, label, safe_cast, source_name, trim_headers, trimmed
-from tierloom.operators import joins, profile, ranking, versions
+from tierloom.operators import checks, joins, profile, ranking, versions
 from tierloom.operators.checks import suite
 from tierloom.operators.expectations import Expectation, enforce, report
 from tierloom.operators.listing import discover_links, reconcile
@@ -264,6 +264,12 @@ def sorted_limit(spark: SparkSession, folder: str) -> DataFrame:
     return orders.orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(20)
 
 
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 1")
+def first_row(spark: SparkSession, folder: str) -> DataFrame:
+    orders = inputs.table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    return orders.orderBy("o_totalprice", "o_orderkey").limit(1)
+
+
 # Analytical tables
 
 STATS_SQL = f"""WITH {POPULATION}
@@ -405,6 +411,79 @@ def check_suite(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    """WITH c("check", v) AS (
+         SELECT 'one_row', abs(count(*) - 1) FROM orders
+         UNION ALL SELECT 'columns', 1
+         UNION ALL SELECT 'not_empty', CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM orders
+         UNION ALL SELECT 'unique_customer', count(*) - count(DISTINCT o_custkey) FROM orders
+         UNION ALL SELECT 'unique_order', count(*) - count(DISTINCT o_orderkey) FROM orders
+         UNION ALL SELECT 'price_present', count(*) - count(o_totalprice) FROM orders
+         UNION ALL SELECT 'price_in_range', count(*) FILTER (o_totalprice <= 1000) FROM orders
+         UNION ALL SELECT 'status_final', count(*) FILTER (o_orderstatus <> 'F') FROM orders
+         UNION ALL SELECT 'priority_named', count(*) FILTER (substr(o_orderpriority, 3) = '') FROM orders)
+       SELECT "check", v = 0 AS passed, CAST(v AS BIGINT) AS violations FROM c"""
+)
+def check_table_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Shape, key, NULL, range and label checks on one table, in one pass."""
+    orders = inputs.table(spark, folder, "orders").withColumn("label", F.substring("o_orderpriority", 3, 100))
+    return checks.table_checks(
+        orders,
+        [
+            checks.row_count_is("one_row", 1),
+            checks.has_columns("columns", orders, ["o_orderkey", "o_comment"]),
+            checks.not_empty("not_empty"),
+            checks.unique_key("unique_customer", "o_custkey"),
+            checks.unique_key("unique_order", "o_orderkey"),
+            checks.no_row("price_present", checks.is_missing("o_totalprice")),
+            checks.every_row("price_in_range", F.col("o_totalprice") > 1000),
+            checks.every_row("status_final", F.col("o_orderstatus") == "F"),
+            checks.no_row("priority_named", checks.is_blank("label")),
+        ],
+    )
+
+
+@query(
+    """WITH best AS (SELECT o_custkey, max(o_totalprice) AS v FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
+            again AS (SELECT o_custkey, max(o_totalprice) AS e FROM orders GROUP BY 1)
+       SELECT 'largest_order' AS "check", count(*) FILTER (abs(v - e) > 1e-6) = 0 AS passed,
+              count(*) FILTER (abs(v - e) > 1e-6) AS violations
+       FROM best JOIN again USING (o_custkey)"""
+)
+def check_selected_is_max(spark: SparkSession, folder: str) -> DataFrame:
+    """The largest order without pending ones against the largest of all."""
+    orders = inputs.table(spark, folder, "orders")
+    settled = orders.filter(F.col("o_orderstatus") != "P")
+    best = ranking.grouped_max(settled, ["o_custkey"], "o_totalprice", "v")
+    again = ranking.grouped_max(orders, ["o_custkey"], "o_totalprice", "e")
+    return checks.selected_is_max("largest_order", best, again, "o_custkey", "v", "e", 1e-6)
+
+
+@query(
+    """WITH labelled AS (SELECT doc_id, source, quality FROM documents LEFT JOIN labels USING (doc_id)),
+            c("check", v) AS (
+              SELECT 'same_count', (SELECT count(*) FROM documents) - (SELECT count(*) FROM labels)
+              UNION ALL SELECT 'all_present', count(*) FROM documents
+                WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+              UNION ALL SELECT 'present_when_available', count(*) FROM labelled
+                WHERE quality IS NULL AND source IN (SELECT source FROM labelled WHERE quality = 0))
+       SELECT "check", v = 0 AS passed, CAST(v AS BIGINT) AS violations FROM c"""
+)
+def check_against_source(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents against their labels: equal counts, none absent, and a label wherever the source has a poor one."""
+    documents = inputs.table(spark, folder, "documents").select("doc_id", "source")
+    labels = inputs.table(spark, folder, "labels").select("doc_id", "quality")
+    labelled = joins.lookup(documents, labels, "doc_id")
+    poor = labelled.filter(F.col("quality") == 0)
+    return suite(
+        [
+            checks.same_row_count("same_count", documents, labels),
+            checks.all_present("all_present", documents, labels, ["doc_id"]),
+            checks.present_when_available("present_when_available", labelled, poor, "source", "quality"),
+        ]
+    )
+
+
 # Listings and landed names
 
 LINKS = r"""links AS (

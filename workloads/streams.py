@@ -5,6 +5,7 @@ Files, checkpoints and tables go below the shared folder of the session.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tierloom.functions.columns import extraction_time, trim_headers
+from tierloom.operators.checks import require
 from tierloom.operators.dedup import distinct_rows, first_arrival
 from tierloom.operators.expectations import enforce, stream_report
 from tierloom.plans import gold, sql
@@ -20,10 +22,12 @@ from tierloom.sources.evolution import RESCUE, SchemaLog, infer_json
 from tierloom.sources.files import LINEAGE, infer_types, json_stream, tsv_batch, tsv_stream, with_lineage
 from tierloom.sources.landing import TSV, land_snapshot
 from tierloom.sources.tables import folder_stream, table_stream
+from tierloom.streaming.flows import Layout, run_all
 from tierloom.streaming.runs import append_all, finish, publish, start_append
 from tierloom.workspace import fresh_folder
 from workloads import inputs
-from workloads.batch import BEST_SQL, RULES, best_year_inputs
+from workloads.batch import BEST_SQL, NATION, PAIRED_SQL, RULES, best_year_inputs
+from workloads.batch import SERIES as SERIES_ID
 from workloads.registry import POPULATION as POPULATION_SQL
 from workloads.registry import query
 
@@ -38,6 +42,13 @@ def stored_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return with_lineage(stream)
 
 
+def new_schema(spark: SparkSession, work: str) -> str:
+    """A catalog schema of its own whose tables lie below ``work``."""
+    schema = f"tierloom_{work.rsplit('-', 1)[1]}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{work}/tables'")
+    return schema
+
+
 def run(df: DataFrame, work: str, step: str) -> DataFrame:
     """Run a stream to its end and return the rows of its folder."""
     append_all(df, f"{work}/checkpoint-{step}", path=f"{work}/{step}")
@@ -179,8 +190,7 @@ def snapshot_append(spark: SparkSession, folder: str) -> DataFrame:
 def incremental_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze and silver run after each of two landings and once more with nothing new; no row is read twice."""
     work = fresh_folder(spark, "incremental")
-    schema = f"tierloom_{work.rsplit('-', 1)[1]}"
-    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{work}/tables'")
+    schema = new_schema(spark, work)
     orders = inputs.table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     early = F.year("o_orderdate") < 1998
     for part, at in ((early, FIRST), (~early, SECOND), (None, None)):
@@ -247,7 +257,52 @@ def explode_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# Silver tables
+@query("SELECT o_orderkey, o_totalprice * 2 AS doubled FROM orders")
+def sql_table_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored table read as a SQL stream and appended to another one."""
+    work = fresh_folder(spark, "sql-stream")
+    schema = new_schema(spark, work)
+    orders = inputs.table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    orders.write.saveAsTable(f"{schema}.bronze")
+    rows = sql.appended(spark, f"{schema}.bronze").selectExpr("o_orderkey", "o_totalprice * 2 AS doubled")
+    append_all(rows, f"{work}/checkpoint", table=f"{schema}.silver")
+    return spark.table(f"{schema}.silver")
+
+
+# Bronze and silver tables
+
+
+@query(
+    """SELECT CAST(l_orderkey AS VARCHAR) || '-' || l_linenumber || '      ' AS series_id,
+              ' ' || year(l_shipdate) AS year, 'Q0' || quarter(l_shipdate) || ' ' AS period,
+              CASE WHEN l_returnflag = 'R' THEN '-' ELSE '      ' || CAST(l_quantity AS VARCHAR) END AS value,
+              l_linestatus AS footnote_codes
+       FROM lineitem"""
+)
+def bronze_observations(spark: SparkSession, folder: str) -> DataFrame:
+    """Observations as they arrived: text with its padding, repeats included."""
+    work = fresh_folder(spark, "bronze")
+    land_snapshot(inputs.raw_observations(spark, folder), work, "data", FIRST, file_format="csv", **TSV)
+    return run(trim_headers(tsv_stream(spark, f"{work}/data*")), work, "bronze").drop(LINEAGE)
+
+
+@query(
+    f"""WITH {POPULATION_SQL}
+        SELECT '{{}}' AS annotations, nation, count(*) AS records, sum(population)::DOUBLE AS total
+        FROM population GROUP BY nation"""
+)
+def bronze_population(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per response, its records still nested under their provider names."""
+    work = fresh_folder(spark, "responses")
+    schema = land_population(spark, folder, work, (FIRST,))
+    bronze = run(json_stream(spark, f"{work}/raw/population*", schema), work, "bronze")
+    return bronze.select(
+        "annotations",
+        F.col("data")[0]["Nation"].alias("nation"),
+        F.size("data").cast("bigint").alias("records"),
+        F.aggregate("data", F.lit(0.0), lambda total, r: total + r["Population"]).alias("total"),
+    )
+
 
 
 @query(
@@ -278,15 +333,17 @@ def silver_observations_sql(spark: SparkSession, folder: str) -> DataFrame:
     return run(sql.silver(spark, folder_stream(spark, f"{work}/bronze"), OBSERVATIONS), work, "silver")
 
 
-@query(
-    """SELECT 'series' AS lookup, CAST(s_suppkey AS VARCHAR) AS code, lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS meaning
+LOOKUPS = """SELECT 'series' AS lookup, CAST(s_suppkey AS VARCHAR) AS code,
+              lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS meaning
        FROM supplier
        UNION ALL SELECT 'measure', lpad(CAST(n_nationkey AS VARCHAR), 2, '0'), n_name FROM nation
        UNION ALL SELECT 'sector', lpad(CAST(r_regionkey AS VARCHAR), 2, '0'), r_name FROM region"""
-)
-def silver_lookups(spark: SparkSession, folder: str) -> DataFrame:
+
+
+def clean_lookups(
+    spark: SparkSession, folder: str, work: str, clean: Callable[[DataFrame, Spec], DataFrame]
+) -> DataFrame:
     """Three lookup tables, landed twice and cleaned at the same time."""
-    work = fresh_folder(spark, "lookups")
     sources = {
         "series": (SERIES, inputs.series(spark, folder), ("series_id", "measure_code")),
         "measure": (MEASURES, inputs.measures(spark, folder), ("measure_code", "measure_text")),
@@ -296,22 +353,35 @@ def silver_lookups(spark: SparkSession, folder: str) -> DataFrame:
     for name, (spec, df, _) in sources.items():
         for at in (FIRST, SECOND):
             land_tsv(df, f"{work}/raw", name, at)
-        rows = refine(trim_headers(tsv_stream(spark, f"{work}/raw/{name}.*")), spec)
+        rows = clean(trim_headers(tsv_stream(spark, f"{work}/raw/{name}.*")), spec)
         started.append(start_append(rows, f"{work}/checkpoint-{name}", path=f"{work}/{name}"))
     finish(started)
-    result = None
-    for name, (_, _, (code, meaning)) in sources.items():
-        rows = spark.read.parquet(f"{work}/{name}").select(
+    parts = [
+        spark.read.parquet(f"{work}/{name}").select(
             F.lit(name).alias("lookup"), F.col(code).alias("code"), F.col(meaning).alias("meaning")
         )
-        result = rows if result is None else result.unionAll(rows)
-    return result
+        for name, (_, _, (code, meaning)) in sources.items()
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+@query(LOOKUPS)
+def silver_lookups(spark: SparkSession, folder: str) -> DataFrame:
+    return clean_lookups(spark, folder, fresh_folder(spark, "lookups"), refine)
+
+
+@query(LOOKUPS)
+def silver_lookups_sql(spark: SparkSession, folder: str) -> DataFrame:
+    work = fresh_folder(spark, "lookups-sql")
+    return clean_lookups(spark, folder, work, lambda bronze, spec: sql.silver(spark, bronze, spec))
 
 
-def land_population(spark: SparkSession, folder: str, work: str) -> StructType:
-    """The same snapshots twice, under two stamps."""
+def land_population(
+    spark: SparkSession, folder: str, work: str, times: tuple[datetime, ...] = (FIRST, SECOND)
+) -> StructType:
+    """The same snapshots under each of the given stamps."""
     snapshots = inputs.population_snapshots(spark, folder)
-    for at in (FIRST, SECOND):
+    for at in times:
         land_snapshot(snapshots, f"{work}/raw", "population", at)
     return snapshots.schema
 
@@ -341,9 +411,52 @@ def silver_population_sql(spark: SparkSession, folder: str) -> DataFrame:
 @query(BEST_SQL)
 def materialized_table(spark: SparkSession, folder: str) -> DataFrame:
     """The best-year table stored with comment and properties, then refreshed in place."""
-    work = fresh_folder(spark, "published")
-    schema = f"tierloom_{work.rsplit('-', 1)[1]}"
-    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{work}/tables'")
+    schema = new_schema(spark, fresh_folder(spark, "published"))
     result = gold.best_year_by_series(*best_year_inputs(spark, folder), scale=2)
     publish(result, f"{schema}.best_year", "Best year per series", {"layer": "gold"})
     return publish(result, f"{schema}.best_year", "Best year per series", {"layer": "gold"})
+
+
+@query(PAIRED_SQL)
+def materialized_sql_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The result of a SQL text stored as a table."""
+    schema = new_schema(spark, fresh_folder(spark, "published-sql"))
+    observations, people = inputs.observations(spark, folder), inputs.population(spark, folder)
+    result = sql.series_population(spark, observations, people, SERIES_ID, "Q01", NATION)
+    return publish(result, f"{schema}.paired", "One series beside the population")
+
+
+@query(BEST_SQL)
+def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed text and JSON through all layers, with checks, twice; the second run finds nothing new."""
+    work = fresh_folder(spark, "refresh")
+    token = work.rsplit("-", 1)[1]
+    layout = Layout(
+        productivity_raw=f"{work}/files/*",
+        population_raw=f"{work}/raw/*",
+        bronze_population_folder=f"{work}/bronze_population",
+        checkpoints=f"{work}/checkpoints",
+        productivity=f"bls_{token}",
+        population=f"datausa_{token}",
+        analytics=f"analytics_{token}",
+        globs={
+            "bronze_bls_data": "*.obs",
+            "bronze_bls_series": "*.ser",
+            "bronze_bls_measure": "*.mea",
+            "bronze_bls_sector": "*.sec",
+        },
+    )
+    for schema in (layout.productivity, layout.population, layout.analytics):
+        spark.sql(f"CREATE SCHEMA {schema} LOCATION '{work}/{schema}'")
+    data = inputs.observations(spark, folder).withColumn("footnote_codes", F.lit("R"))
+    land_tsv(data, f"{work}/files", "data", extension="obs")
+    land_tsv(inputs.series(spark, folder), f"{work}/files", "series", extension="ser")
+    land_tsv(inputs.measures(spark, folder), f"{work}/files", "measure", extension="mea")
+    land_tsv(inputs.sectors(spark, folder), f"{work}/files", "sector", extension="sec")
+    land_population(spark, folder, work)
+    for _ in range(2):
+        _, verdicts = run_all(
+            spark, layout, nation=NATION, years=(1996, 1998), series_id=SERIES_ID, period="Q01", scale=2
+        )
+    require(verdicts)
+    return spark.table(layout.name("gold_best_year_by_series"))
