@@ -2,44 +2,92 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
-from tierloom.sources.files import LINEAGE
+REMEMBERED = 4096
+_HASH = "_key_hash"
 
-SPREAD = 32
-_SALT = "_spread"
 
-
-def _origin(df: DataFrame, keys: Sequence[str]) -> Column:
-    """A number that tells apart the slices of input a row can come from: its file block, else its task."""
-    if LINEAGE in df.columns and LINEAGE not in keys:
-        return F.xxhash64(f"{LINEAGE}.file_path", f"{LINEAGE}.file_block_start")
-    return F.spark_partition_id()
-
-
-def first_arrival(df: DataFrame, keys: Sequence[str], spread: int = SPREAD) -> DataFrame:
+def first_arrival(df: DataFrame, keys: Sequence[str], thin: bool = True) -> DataFrame:
     """One row per key, the first that arrived; for a stream also across micro-batches and restarts.
 
-    A batch combines on the map side before its shuffle. A stateful stream operator does not, and one key may hold a
-    large part of all rows, so the stream first removes copies per (key, origin slice) and then per key: the rows of a
-    hot key go to up to ``spread`` tasks, and at most ``spread`` of them ever reach the second step. Both steps keep
-    state per key, without a watermark.
+    A batch combines copies on the map side before its shuffle. The stateful operator of a stream does not, and one
+    key may hold a large part of all rows; there, every task first leaves out copies it can see itself, so that a hot
+    key sends about one row per task to its state. State is kept per key, without a watermark. ``thin=False`` saves
+    that step where no key repeats much; it may change between runs of a checkpoint.
     """
     keys = list(keys)
-    if not df.isStreaming or spread < 2:
-        return df.dropDuplicates(keys)
-    salted = df.withColumn(_SALT, F.pmod(_origin(df, keys), F.lit(spread)))
-    return salted.dropDuplicates([*keys, _SALT]).drop(_SALT).dropDuplicates(keys)
+    return (drop_copies_in_task(df, keys) if thin and df.isStreaming else df).dropDuplicates(keys)
 
 
-def distinct_rows(df: DataFrame, columns: Sequence[str], spread: int = SPREAD) -> DataFrame:
+def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct combinations of ``columns``: only exact copies go, a corrected value stays as a further row."""
-    return first_arrival(df, columns, spread).select(*columns)
+    return first_arrival(df.select(*columns), columns)
 
 
 def watermarked_first_arrival(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """Variant with bounded state: copies that arrive more than ``delay`` apart are not recognised as copies."""
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    timed = df.withWatermark(event_time, delay)
+    return drop_copies_in_task(timed, list(keys)).dropDuplicatesWithinWatermark(list(keys))
+
+
+def drop_copies_in_task(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Leave out rows whose key an earlier row of the same Arrow batch has, or is known to repeat in the same task.
+
+    Only certain copies go: hashes, computed by Spark, pick candidates, and the keys themselves are compared. What is
+    left may still hold copies, so an exact step has to follow.
+    """
+    nested = (ArrayType, MapType, StructType, VariantType)
+    if any(isinstance(df.schema[key].dataType, nested) for key in keys):
+        return df
+    hashed = df.withColumn(_HASH, F.xxhash64(*keys))
+    return hashed.mapInArrow(_prune(list(keys), REMEMBERED), df.schema)
+
+
+def _prune(keys: list[str], remembered: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    columns = [*keys, _HASH]
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Keys that repeated in an earlier batch stand before the rows of the current one.
+        repeating = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            payload = rows.drop_columns([_HASH])
+            seen = rows.select(columns)
+            if repeating is not None:
+                seen = pa.concat_tables([repeating, seen])
+            offset = seen.num_rows - rows.num_rows
+            hashes = seen.column(_HASH).to_numpy()
+            _, first, group = np.unique(hashes, return_index=True, return_inverse=True)
+            leader = first[group]
+            candidates = np.flatnonzero(leader != np.arange(len(hashes)))
+            copies = candidates[_same_keys(seen, keys, candidates, leader[candidates])]
+            if len(copies):
+                keep = np.ones(rows.num_rows, dtype=bool)
+                keep[copies - offset] = False
+                payload = payload.filter(pa.array(keep))
+                found = np.unique(leader[copies])
+                found = found[found >= offset][: max(0, remembered - offset)]
+                if len(found):
+                    fresh = seen.take(pa.array(found))
+                    repeating = fresh if repeating is None else pa.concat_tables([repeating, fresh])
+            yield from payload.to_batches()
+
+    return prune
+
+
+def _same_keys(rows: pa.Table, keys: list[str], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    same = np.ones(len(left), dtype=bool)
+    for key in keys:
+        column = rows.column(key)
+        a, b = column.take(pa.array(left)), column.take(pa.array(right))
+        equal = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+        same &= equal.to_numpy()
+    return same
