@@ -103,6 +103,23 @@ def test_compare_snapshots(spark, old, new):
     assert rows(got) == sorted(expected, key=repr)
 
 
+def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    schema = "k string, y int, v int, s int"
+    old = [("a", 1, 10, 1), ("b", 1, 20, 1), ("a", 2, 30, 1), ("c", 3, 40, 5)]
+    spark.createDataFrame(old, schema).write.partitionBy("y").parquet(folder)
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "y=2").iterdir()}
+    changes = spark.createDataFrame([("a", 1, 11, 2), ("c", 3, 41, 4), ("n", 4, 50, 1)], schema)
+    versions.upsert_partitions(folder, changes, ["k", "y"], "s", ["y"])
+    assert rows(spark.read.parquet(folder), "k", "y", "v") == [
+        ("a", 1, 11), ("a", 2, 30), ("b", 1, 20), ("c", 3, 40), ("n", 4, 50),
+    ]
+    assert untouched == {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "y=2").iterdir()}
+    versions.upsert_partitions(folder, changes.limit(0), ["k", "y"], "s", ["y"])
+    with pytest.raises(ValueError, match="outside the key"):
+        versions.upsert_partitions(folder, changes, ["k"], "s", ["y"])
+
+
 def test_exact_sum_does_not_depend_on_order(spark):
     values = [0.1, 0.2, 0.3, 1e9 + 0.01, -1e9] * 40
     schema = "v double"

@@ -1,11 +1,15 @@
 """Duplicates and expectations across micro-batches and restarts, with a hot key."""
 
 import json
+import os
 import random
+import subprocess
+import sys
 
 import pyarrow as pa
 import pytest
 from conftest import rows
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tierloom.operators.dedup import _prune, distinct_rows, first_arrival, watermarked_first_arrival
@@ -79,6 +83,19 @@ def test_pruning_is_exact(remembered, size):
         assert len(kept) >= len(first)
 
 
+def test_workers_need_not_import_the_package(tmp_path):
+    (tmp_path / "f.bin").write_bytes(cloudpickle.dumps(_prune(["k", "n"], 10)))
+    program = (
+        "import pickle, sys, pyarrow as pa\n"
+        "f = pickle.load(open(sys.argv[1], 'rb'))\n"
+        "t = pa.table({'k': ['a', 'a'], 'n': [1, 1], '_key_hash': [5, 5]})\n"
+        "assert sum(b.num_rows for b in f(iter(t.to_batches()))) == 1 and 'tierloom' not in sys.modules\n"
+    )
+    environment = {**os.environ, "PYTHONPATH": ""}
+    command = [sys.executable, "-c", program, str(tmp_path / "f.bin")]
+    subprocess.run(command, check=True, cwd=tmp_path, env=environment)
+
+
 def test_null_keys_count_as_equal(spark, tmp_path):
     source = str(tmp_path / "in")
     spark.createDataFrame([(None, 1), (None, 1), ("a", 1)], "k string, v int").write.parquet(source)

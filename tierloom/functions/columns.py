@@ -30,10 +30,15 @@ def extraction_time(file_name: str | Column) -> Column:
     Works on file names and on whole paths; NULL where there is no stamp.
     """
     column = F.col(file_name) if isinstance(file_name, str) else file_name
-    stamp = F.concat(
-        F.regexp_extract(column, EXTRACTION_STAMP, 1), F.regexp_extract(column, EXTRACTION_STAMP, 2)
-    )
-    return F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz")
+    day, time = (F.regexp_extract(column, EXTRACTION_STAMP, group) for group in (1, 2))
+
+    def digits(text: Column, start: int, length: int) -> Column:
+        return F.substring(text, start, length).try_cast("int")
+
+    return F.try_make_timestamp_ntz(
+        digits(day, 1, 4), digits(day, 5, 2), digits(day, 7, 2),
+        digits(time, 1, 2), digits(time, 3, 2), digits(time, 5, 2),
+    )
 
 
 def source_name(file_name: str | Column) -> Column:

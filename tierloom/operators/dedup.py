@@ -52,23 +52,33 @@ def drop_copies_in_task(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _prune(keys: list[str], remembered: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    columns = [*keys, _HASH]
+    """The function for the tasks. It holds all it needs, so that workers do not have to import this package."""
+    key_hash = _HASH
+
+    def same_keys(rows: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        same = np.ones(len(left), dtype=bool)
+        for key in keys:
+            column = rows.column(key)
+            a, b = column.take(pa.array(left)), column.take(pa.array(right))
+            equal = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+            same &= equal.to_numpy()
+        return same
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Keys that repeated in an earlier batch stand before the rows of the current one.
         repeating = None
         for batch in batches:
             rows = pa.Table.from_batches([batch])
-            payload = rows.drop_columns([_HASH])
-            seen = rows.select(columns)
+            payload = rows.drop_columns([key_hash])
+            seen = rows.select([*keys, key_hash])
             if repeating is not None:
                 seen = pa.concat_tables([repeating, seen])
             offset = seen.num_rows - rows.num_rows
-            hashes = seen.column(_HASH).to_numpy()
+            hashes = seen.column(key_hash).to_numpy()
             _, first, group = np.unique(hashes, return_index=True, return_inverse=True)
             leader = first[group]
             candidates = np.flatnonzero(leader != np.arange(len(hashes)))
-            copies = candidates[_same_keys(seen, keys, candidates, leader[candidates])]
+            copies = candidates[same_keys(seen, candidates, leader[candidates])]
             if len(copies):
                 keep = np.ones(rows.num_rows, dtype=bool)
                 keep[copies - offset] = False
@@ -81,13 +91,3 @@ def _prune(keys: list[str], remembered: int) -> Callable[[Iterator[pa.RecordBatc
             yield from payload.to_batches()
 
     return prune
-
-
-def _same_keys(rows: pa.Table, keys: list[str], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    same = np.ones(len(left), dtype=bool)
-    for key in keys:
-        column = rows.column(key)
-        a, b = column.take(pa.array(left)), column.take(pa.array(right))
-        equal = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
-        same &= equal.to_numpy()
-    return same

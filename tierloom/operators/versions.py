@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.operators.ranking import top_per_group
+from tierloom.workspace import fresh_folder
 
 
 def latest_version(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
@@ -38,6 +41,40 @@ def apply_changes(
     return merged.filter(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted) if deleted else merged
 
 
+def upsert_partitions(
+    folder: str, changes: DataFrame, keys: Sequence[str], sequence: str, partition_by: Sequence[str]
+) -> None:
+    """Upsert into a partitioned Parquet folder, rewriting only the partitions that have changes.
+
+    The partition columns have to be part of the key, so that a correction stays in its partition. Partitions without
+    changes are neither read nor written.
+    """
+    outside = set(partition_by) - set(keys)
+    if outside:
+        raise ValueError(f"partition columns outside the key: {sorted(outside)}")
+    spark = changes.sparkSession
+    current = spark.read.parquet(folder)
+    touched = [tuple(row) for row in changes.select(*partition_by).distinct().collect()]
+    if not touched:
+        return
+    same = [
+        reduce(and_, [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(partition_by, values)])
+        for values in touched
+    ]
+    merged = apply_changes(current.filter(reduce(or_, same)), changes, keys, sequence)
+    # Written elsewhere first: the partitions are read and replaced by the same job otherwise.
+    staged = fresh_folder(spark, "upsert")
+    merged.write.parquet(staged)
+    (
+        spark.read.parquet(staged)
+        .select(*current.columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(folder)
+    )
+
+
 def compare_snapshots(
     old: DataFrame, new: DataFrame, keys: Sequence[str], values: Sequence[str]
 ) -> DataFrame:

@@ -57,6 +57,8 @@ class Layout:
     max_bytes: str | None = None
     partition_by: Mapping[str, Sequence[str]] = field(default_factory=dict)
     globs: Mapping[str, str] = field(default_factory=lambda: dict(GLOBS))
+    # Raw schemas by bronze table, for datasets that may not have landed yet; others come from their header.
+    schemas: Mapping[str, StructType] = field(default_factory=dict)
 
     def name(self, table: str) -> str:
         if table.startswith("gold_"):
@@ -76,7 +78,9 @@ def ingest(spark: SparkSession, layout: Layout) -> None:
     """Bronze: all five sources at the same time, each file once."""
     queries = []
     for table, glob in layout.globs.items():
-        landed = tsv_stream(spark, layout.productivity_raw, glob=glob, max_bytes=layout.max_bytes)
+        landed = tsv_stream(
+            spark, layout.productivity_raw, layout.schemas.get(table), glob=glob, max_bytes=layout.max_bytes
+        )
         queries.append(
             start_append(
                 trim_headers(landed),

@@ -16,6 +16,7 @@ from tierloom.functions.columns import extraction_time, trim_headers
 from tierloom.operators.checks import require
 from tierloom.operators.dedup import distinct_rows, first_arrival
 from tierloom.operators.expectations import enforce, stream_report
+from tierloom.operators.versions import latest_version, upsert_partitions
 from tierloom.plans import gold, sql
 from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, SECTORS, SERIES, Spec, refine
 from tierloom.sources.evolution import RESCUE, SchemaLog, infer_json
@@ -410,6 +411,25 @@ def silver_population_sql(spark: SparkSession, folder: str) -> DataFrame:
 # Stored results
 
 
+@query(
+    """SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey, o_totalprice FROM orders
+       QUALIFY row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderkey DESC) = 1"""
+)
+def partition_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest open order per customer and year, stored by year, then upserted with all other orders."""
+    target = fresh_folder(spark, "upsert-target")
+    orders = inputs.table(spark, folder, "orders").select(
+        "o_custkey", F.year("o_orderdate").alias("year"), "o_orderkey", "o_totalprice", "o_orderstatus"
+    )
+    keys = ["o_custkey", "year"]
+    is_open = F.col("o_orderstatus") == "O"
+    opened = latest_version(orders.filter(is_open).drop("o_orderstatus"), keys, [F.col("o_orderkey").desc()])
+    opened.write.partitionBy("year").parquet(target)
+    others = orders.filter(~is_open).drop("o_orderstatus")
+    upsert_partitions(target, others, keys, "o_orderkey", ["year"])
+    return spark.read.parquet(target)
+
+
 @query(BEST_SQL)
 def materialized_table(spark: SparkSession, folder: str) -> DataFrame:
     """The best-year table stored with comment and properties, then refreshed in place."""
