@@ -9,6 +9,14 @@ from tierloom.operators import joins
 from tierloom.plans import gold, sql
 from tierloom.workspace import settings
 from workloads import inputs
+from workloads.registry import QUERIES
+
+
+def batch_names():
+    import workloads.batch as batch
+
+    own = {function for function in vars(batch).values() if callable(function)}
+    return [name for name, function in QUERIES.items() if function in own]
 
 
 def plan(df) -> str:
@@ -88,3 +96,15 @@ def test_forms_agree(spark, silver):
     for left, right in pairs:
         assert left.dtypes == right.dtypes
         assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+@pytest.mark.parametrize("name", sorted(batch_names()))
+def test_no_query_has_a_plan_that_cannot_scale(spark, name):
+    text = plan(QUERIES[name](spark, DATA))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInArrow"):
+        assert node not in text
+    lines = text.splitlines()
+    for position, line in enumerate(lines):
+        if "Window [" in line:
+            exchange = next(below for below in lines[position:] if "Exchange " in below)
+            assert "hashpartitioning" in exchange, "a window never runs over all rows in one task"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tierloom.operators.dedup import _prune, distinct_rows, first_arrival, watermarked_first_arrival
 from tierloom.operators.expectations import enforce, not_null, stream_report
 from tierloom.plans import sql
-from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, refine, refine_distinct
+from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, refine, refine_distinct, refine_latest
 from tierloom.sources.files import with_lineage
 from tierloom.sources.tables import folder_stream
 from tierloom.streaming.runs import append_all
@@ -166,6 +166,25 @@ def test_silver_forms_agree(spark, tmp_path):
     assert ("valid_value", 4, 1) in rows(counts)
 
 
+def test_latest_extraction_wins(spark):
+    ddl = (
+        "data array<struct<`Nation ID`: string, Nation: string, Year: bigint, Population: double>>,"
+        "_metadata struct<file_path: string, file_modification_time: timestamp>"
+    )
+
+    def snapshot(population, name):
+        return [("01", "US", 2023, population)], (f"/raw/{name}", None)
+
+    history = [
+        snapshot(335000000.0, "population.20260815120000.json"),
+        snapshot(334914895.0, "population.20260814120000.json"),
+        snapshot(None, "population.20260816120000.json"),
+        snapshot(1.0, "unstamped.json"),
+    ]
+    latest = refine_latest(spark.createDataFrame(history, ddl), POPULATION)
+    assert rows(latest, "year", "population") == [(2023, 335000000)]
+
+
 def test_nested_silver_forms_agree(spark):
     ddl = "data array<struct<`Nation ID`: string, Nation: string, Year: bigint, Population: double>>"
     record = ("01", "United States", 2013, 5.0)

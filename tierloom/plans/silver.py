@@ -7,8 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierloom.functions.columns import extraction_time
 from tierloom.operators.dedup import distinct_rows, first_arrival
 from tierloom.operators.expectations import Expectation, enforce, not_null
+from tierloom.operators.versions import latest_version
 from tierloom.sources.files import LINEAGE
 
 
@@ -143,3 +145,17 @@ def refine(
 def refine_distinct(bronze: DataFrame, spec: Spec, *, observe_as: str | None = None) -> DataFrame:
     """Variant that removes only whole-row copies, without lineage: corrected values stay beside the first ones."""
     return distinct_rows(enforce(project(bronze, spec), spec.expectations, observe_as), spec.columns)
+
+
+def refine_latest(bronze: DataFrame, spec: Spec) -> DataFrame:
+    """Batch variant over the complete bronze history: per key the valid row of the newest extraction.
+
+    Extraction time comes from the landed name; between equal stamps the later written file counts, then the values.
+    """
+    rows = enforce(project(bronze, spec), spec.expectations)
+    newest_first = [
+        extraction_time(F.col(f"{LINEAGE}.file_path")).desc_nulls_last(),
+        F.col(f"{LINEAGE}.file_modification_time").desc_nulls_last(),
+        *[F.col(name).desc_nulls_last() for name in spec.columns if name not in spec.key],
+    ]
+    return latest_version(rows, spec.key, newest_first)

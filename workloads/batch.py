@@ -42,7 +42,8 @@ def nested_field(spark: SparkSession, folder: str) -> DataFrame:
     """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
               TRY_CAST(event_type AS DOUBLE) AS malformed,
               TRY_CAST('  ' || CAST(user_id AS VARCHAR) || ' ' AS BIGINT) AS user_id
-       FROM events"""
+       FROM events""",
+    name="safe_cast",
 )
 def safe_cast_values(spark: SparkSession, folder: str) -> DataFrame:
     events = inputs.table(spark, folder, "events")
@@ -169,9 +170,9 @@ def left_join_on_const(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey, o_totalprice, c_name FROM orders JOIN customer ON c_custkey = o_custkey"""
+    "SELECT o_orderkey, o_totalprice, c_name FROM orders JOIN customer ON c_custkey = o_custkey"
 )
-def inner_match(spark: SparkSession, folder: str) -> DataFrame:
+def inner_check(spark: SparkSession, folder: str) -> DataFrame:
     customers = inputs.table(spark, folder, "customer").withColumnRenamed("c_custkey", "o_custkey")
     matched = joins.matching(inputs.table(spark, folder, "orders"), customers, "o_custkey")
     return matched.select("o_orderkey", "o_totalprice", "c_name")
@@ -520,7 +521,8 @@ def source_reconcile(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """SELECT event_id, event_type AS source_name, strftime(ts, '%Y-%m-%d %H:%M:%S') AS extracted_at
-       FROM events"""
+       FROM events""",
+    name="extraction_time",
 )
 def extraction_times(spark: SparkSession, folder: str) -> DataFrame:
     """Both stamp forms, one per parity of the minute."""

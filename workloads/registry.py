@@ -12,13 +12,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its name; ``sql`` gives the same rows from the given tables."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function, under its own name unless given; ``sql`` gives the same rows from the given tables."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if sql:
-            ORACLES[function.__name__] = sql
+            ORACLES[key] = sql
         return function
 
     return register

@@ -18,7 +18,7 @@ from tierloom.operators.dedup import distinct_rows, first_arrival
 from tierloom.operators.expectations import enforce, stream_report
 from tierloom.operators.versions import latest_version, upsert_partitions
 from tierloom.plans import gold, sql
-from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, SECTORS, SERIES, Spec, refine
+from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, SECTORS, SERIES, Spec, refine, refine_latest
 from tierloom.sources.evolution import RESCUE, SchemaLog, infer_json
 from tierloom.sources.files import LINEAGE, infer_types, json_stream, tsv_batch, tsv_stream, with_lineage
 from tierloom.sources.landing import TSV, land_snapshot
@@ -408,6 +408,20 @@ def silver_population_sql(spark: SparkSession, folder: str) -> DataFrame:
     return run(sql.silver(spark, folder_stream(spark, f"{work}/bronze"), POPULATION), work, "silver")
 
 
+@query(
+    f"WITH {POPULATION_SQL} SELECT nation_id, nation, year, population + 1000 AS population FROM population"
+)
+def silver_population_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The second extraction corrects every value; the newest version of each key is taken from the whole history."""
+    work = fresh_folder(spark, "population-latest")
+    snapshots = inputs.population_snapshots(spark, folder)
+    corrected = F.transform("data", lambda r: r.withField("Population", r["Population"] + 1000))
+    land_snapshot(snapshots, f"{work}/raw", "population", FIRST)
+    land_snapshot(snapshots.withColumn("data", corrected), f"{work}/raw", "population", SECOND)
+    bronze = run(json_stream(spark, f"{work}/raw/population*", snapshots.schema), work, "bronze")
+    return refine_latest(bronze, POPULATION).drop(LINEAGE)
+
+
 # Stored results
 
 
