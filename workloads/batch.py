@@ -29,9 +29,8 @@ def header_trim(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """SELECT doc_id, CAST(i AS INTEGER) AS line_no, lines[i] AS line
-       FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents) d, range(1, 100000) r(i)
-       WHERE i <= len(lines)"""
+    """SELECT doc_id, CAST(unnest(range(1, len(lines) + 1)) AS INTEGER) AS line_no, unnest(lines) AS line
+       FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)"""
 )
 def nested_field(spark: SparkSession, folder: str) -> DataFrame:
     record = inputs.document_snapshots(spark, folder).select("doc_id", F.explode("data").alias("record"))
@@ -340,9 +339,9 @@ def gold_series_reference_sql(spark: SparkSession, folder: str) -> DataFrame:
         FROM observations o LEFT JOIN population p ON p.year = o.year AND p.nation = '{NATION}'"""
 )
 def metric_with_reference(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.metric_with_population(
-        inputs.observations(spark, folder), inputs.population(spark, folder), NATION
-    )
+    """The population is stored first, as in a refresh, because its size is measured before the join."""
+    people = inputs.stored(inputs.population(spark, folder), "population")
+    return gold.metric_with_population(inputs.observations(spark, folder), people, NATION)
 
 
 # Checks
@@ -513,7 +512,7 @@ def link_discovery(spark: SparkSession, folder: str) -> DataFrame:
 )
 def source_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     """Names linked from secure pages stand for landed files, names linked from the other pages for the listing."""
-    links = discover_links(inputs.table(spark, folder, "pages"))
+    links = inputs.stored(discover_links(inputs.table(spark, folder, "pages")), "links")
     secure = F.col("file_url").startswith("https:")
     landed = links.filter(secure).select(F.concat("file_name", F.lit(".20260814120000")).alias("landed_name"))
     return reconcile(landed, links.filter(~secure), "landed_name", "file_name")

@@ -117,7 +117,7 @@ def file_lineage(spark: SparkSession, folder: str) -> DataFrame:
         run(lines, work, "bronze")
         .groupBy(
             F.substring_index(f"{LINEAGE}.file_name", ".", -1).alias("extension"),
-            F.col(f"{LINEAGE}.file_path").contains(f"{folder}/lineitem").alias("in_folder"),
+            F.col(f"{LINEAGE}.file_path").contains("/lineitem.parquet").alias("in_folder"),
             (F.col(f"{LINEAGE}.file_size") > 0).alias("sized"),
         )
         .agg(F.count(F.lit(1)).alias("rows"))
