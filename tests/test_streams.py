@@ -19,7 +19,14 @@ from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, refine, re
 from tierloom.sources.files import with_lineage
 from tierloom.sources.tables import folder_stream
 from tierloom.streaming.runs import append_all
-from tierloom.workspace import fresh_folder, settings, shared_root
+from tierloom.workspace import (
+    INITIAL_PARTITIONS,
+    fresh_folder,
+    partitions_for,
+    provide_partitions,
+    settings,
+    shared_root,
+)
 
 
 def hot_table(spark, path, first, last):
@@ -204,6 +211,25 @@ def test_sql_over_a_table_stream(spark, tmp_path):
     assert rows(spark.table("sqlforms.silver")) == [("01", "x")]
 
 
+def test_partitions_follow_the_size_of_the_input(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20000).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert partitions_for(df) == 4
+    try:
+        provide_partitions(df)
+        assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+        provide_partitions(df, target=1000)
+        raised = int(spark.conf.get(INITIAL_PARTITIONS))
+        assert raised == partitions_for(df, target=1000) > 50
+        provide_partitions(df, target=5000)
+        assert int(spark.conf.get(INITIAL_PARTITIONS)) == raised
+        text = df.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+        assert f", {raised})" in text or f", {raised}, " in text or f"{raised}), ENSURE" in text
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
+
+
 def test_workspace_follows_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert fresh_folder(spark, "x") != fresh_folder(spark, "x")

@@ -18,6 +18,7 @@ from tierloom.sources.evolution import RESCUE, SchemaLog
 from tierloom.sources.files import json_stream, tsv_stream
 from tierloom.sources.tables import table_batch, table_stream
 from tierloom.streaming.runs import describe, finish, publish, start_append
+from tierloom.workspace import partitions_for, provide_partitions
 
 # File names of the four tab-separated datasets.
 GLOBS = {
@@ -114,6 +115,7 @@ def clean(spark: SparkSession, layout: Layout, order: str = "expect_first") -> D
     """Silver: what bronze gained since the last run. Returns (table, name, passed, failed) of this run."""
     started: dict[str, tuple[Spec, object]] = {}
     for spec in SPECS:
+        stored = table_batch(spark, layout.name(spec.source))
         rows = refine(
             table_stream(spark, layout.name(spec.source)), spec, order=order, observe_as=spec.table
         )
@@ -123,7 +125,7 @@ def clean(spark: SparkSession, layout: Layout, order: str = "expect_first") -> D
                 rows,
                 layout.checkpoint(spec.table),
                 table=layout.name(spec.table),
-                state_partitions=layout.state_partitions,
+                state_partitions=layout.state_partitions or partitions_for(stored),
                 partition_by=layout.partition_by.get(spec.table, ()),
             ),
         )
@@ -152,6 +154,7 @@ def analyze(
         return table_batch(spark, layout.name(spec.table))
 
     observations, people = silver(OBSERVATIONS), silver(POPULATION)
+    provide_partitions(observations, silver(SERIES), people)
 
     def keep(result: DataFrame, table: str) -> DataFrame:
         return publish(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierloom.operators.ranking import exact_sum
-from tierloom.workspace import fresh_folder
+from tierloom.workspace import fresh_folder, provide_partitions
 
 PAD = "      "
 # Population is published up to this year; later observations have none beside them.
@@ -19,7 +19,10 @@ PUBLISHED_UNTIL = 1999
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table; shuffles get enough partitions for its size."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    provide_partitions(df)
+    return df
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
