@@ -142,7 +142,8 @@ def test_report_sums_micro_batches(spark, tmp_path):
 
 RAW = [
     ("S1  ", " 2013", "Q01", "  1.5", "", "f1"), ("S1", "2013", "Q01", "1.5", "", "f2"),
-    ("S1", "2013", "Q01", "9.5", "C", "f2"), (" S2", "2013", "Q02", "-", "", "f1"), ("S2", "2013", "Q02", "2", "", "f2"),
+    ("S1", "2013", "Q01", "9.5", "C", "f2"), (" S2", "2013", "Q02", "-", "", "f1"),
+    ("S2", "2013", "Q02", "2", "", "f2"),
 ]
 RAW_SCHEMA = "series_id string, year string, period string, value string, footnote_codes string, f string"
 

@@ -68,7 +68,11 @@ def project_rename_drop(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("SELECT s_suppkey, trim('  ' || s_name || '   ') AS name, lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS code FROM supplier")
+@query(
+    """SELECT s_suppkey, trim('  ' || s_name || '   ') AS name,
+              lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS code
+       FROM supplier"""
+)
 def trim_codes(spark: SparkSession, folder: str) -> DataFrame:
     padded = inputs.table(spark, folder, "supplier").select(
         "s_suppkey",

@@ -161,7 +161,8 @@ def type_inference(spark: SparkSession, folder: str) -> DataFrame:
 def schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
     """The second snapshot brings a new column and a new field inside a struct; one checkpoint serves both runs."""
     work = fresh_folder(spark, "evolution")
-    events = inputs.table(spark, folder, "events").withColumn("late", F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz"))
+    second_half = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    events = inputs.table(spark, folder, "events").withColumn("late", second_half)
     kind = F.col("event_type").alias("event_type")
     field = F.get_json_object("props", "$.k").cast("bigint").alias("k")
     early = events.filter(~F.col("late")).select("event_id", F.struct(kind).alias("data"))
@@ -178,7 +179,8 @@ def schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """SELECT o_orderkey, o_totalprice,
-              CASE WHEN year(o_orderdate) < 1998 THEN '2026-08-14 12:00:00' ELSE '2026-08-15 12:00:00' END AS extracted_at
+              CASE WHEN year(o_orderdate) < 1998 THEN '2026-08-14 12:00:00'
+                   ELSE '2026-08-15 12:00:00' END AS extracted_at
        FROM orders"""
 )
 def snapshot_append(spark: SparkSession, folder: str) -> DataFrame:
@@ -187,7 +189,8 @@ def snapshot_append(spark: SparkSession, folder: str) -> DataFrame:
     orders = inputs.table(spark, folder, "orders")
     early = F.year("o_orderdate") < 1998
     for part, at in ((early, FIRST), (~early, SECOND)):
-        land_snapshot(orders.filter(part).select("o_orderkey", "o_totalprice"), work, "orders", at, file_format="parquet")
+        snapshot = orders.filter(part).select("o_orderkey", "o_totalprice")
+        land_snapshot(snapshot, work, "orders", at, file_format="parquet")
     landed = spark.read.parquet(f"{work}/orders.*")
     return landed.select(
         "o_orderkey",
