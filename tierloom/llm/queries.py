@@ -5,18 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierloom.llm import decontaminate, language, mixing, sharding, simhash
+from tierloom.llm import chat, decontaminate, language, mixing, quality, secret_scan, sharding, simhash
 from tierloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_report(read(spark, folder, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = read(spark, folder, "documents"), read(spark, folder, "benchmark")
     return decontaminate.contamination_report(docs, benchmark).drop("spans")
 
 
+# A conversation whose texts hold the template's own control strings.
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    roles = F.explode(F.array(F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role")), F.struct(F.lit(1).alias("turn"), F.lit("assistant").alias("role"))))
+    added = spark.range(1).select(F.lit(-7).alias("conv_id"), roles.alias("r")).select("conv_id", "r.*", F.lit(TRICKY).alias("text"))
+    return chat.chat_report(rows.unionByName(added))
+
+
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secret_report(read(spark, folder, "documents"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_report(read(spark, folder, "documents"))
 
@@ -34,7 +54,10 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_decontamination, op5_simhash, op6_language_id, op8_sharding, op9_mixing)
+    f.__name__: f
+    for f in (
+        op1_quality, op2_decontamination, op3_chat, op4_secrets, op5_simhash, op6_language_id, op8_sharding, op9_mixing,
+    )
 }
 
 ORACLES: dict[str, str] = {
@@ -66,6 +89,20 @@ owners AS (
 SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM texts t LEFT JOIN covered USING (doc_id) LEFT JOIN owners USING (doc_id)""",
+    "op3_chat": r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+written AS (
+  SELECT *, replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\e') AS body,
+         replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\e'), ':', '\c') AS head
+  FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(head) + length(body) + 14) AS BIGINT) AS formatted_chars
+FROM written GROUP BY conv_id""",
     "op9_mixing": r"""
 WITH measured AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
