@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import chat, decontaminate, language, mixing, quality, secret_scan, sharding, simhash
+from tierloom.llm import chat, decontaminate, language, mixing, quality, secret_scan, sharding, simhash, toxicity
 from tierloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,10 +53,15 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_documents(read(spark, folder, "documents")).drop("source", "copies")
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_report(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality, op2_decontamination, op3_chat, op4_secrets, op5_simhash, op6_language_id, op8_sharding, op9_mixing,
+        op10_toxicity,
     )
 }
 
