@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import chat, decontaminate, language, mixing, quality, secret_scan, sharding, simhash, toxicity
+from tierloom.llm import chat, decontaminate, language, mixing, quality, repeats, secret_scan, sharding, simhash, toxicity
 from tierloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_report(read(spark, folder, "documents"))
 
 
+def op7_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeat_report(read(spark, folder, "documents"))
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read(spark, folder, "documents"))
 
@@ -60,8 +64,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_quality, op2_decontamination, op3_chat, op4_secrets, op5_simhash, op6_language_id, op8_sharding, op9_mixing,
-        op10_toxicity,
+        op1_quality, op2_decontamination, op3_chat, op4_secrets, op5_simhash, op6_language_id, op7_repeated_bytes, op8_sharding,
+        op9_mixing, op10_toxicity,
     )
 }
 
