@@ -29,3 +29,70 @@ def repeats(texts: list[str | None], length: int) -> list[tuple[int, int, int, s
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
         out.append((len(d), sum(gone), spans, sha(kept)))
     return out
+
+
+def base_quality(text: str | None) -> tuple[int, int, int, int, int, bool]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(3)}
+    n = len(words)
+    failed = n < 50 or 100 * len(covered) > 50 * n
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return n, sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered), failed
+
+
+def base_secrets(text: str | None) -> list[tuple[str, int, int]]:
+    """(kind, start, end), by start, then kind."""
+    text = text or ""
+    assign = re.compile(
+        r"((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|"
+        r"(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+    )
+    found = [(m.start(), 0, "assign", m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(kind, start, end) for start, _, kind, end in sorted(found)]
+
+
+def simhash(text: str | None) -> int:
+    words = [w.decode() for w in re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())]
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(prints: list[int], radius: int = 2) -> list[int]:
+    """For each fingerprint the smallest position that it can reach."""
+    parent = list(range(len(prints)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= radius:
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(len(prints))]
+
+
+def contaminated_words(text: str | None, items: list[str | None], window: int = 10) -> set[int]:
+    def words(t):
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+    found: set[int] = set()
+    own = words(text)
+    for item in items:
+        w = words(item)
+        for part in [w[i : i + window] for i in range(max(1, len(w) - window + 1))] if w else []:
+            for i in range(len(own) - len(part) + 1):
+                if own[i : i + len(part)] == part:
+                    found.update(range(i, i + len(part)))
+    return found
