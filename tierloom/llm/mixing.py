@@ -30,7 +30,7 @@ def words(text: str | Column) -> Column:
 def quality(text: str | Column) -> Column:
     """The share of a text that is neither symbol nor digit, LEAST_QUALITY at least; 1 for an empty text."""
     value = as_text(text)
-    clean = F.length(F.regexp_replace(value, MARKS, "")) / F.length(value)
+    clean = F.try_divide(F.length(F.regexp_replace(value, MARKS, "")), F.length(value))
     return F.greatest(F.lit(LEAST_QUALITY), F.coalesce(clean, F.lit(1.0)))
 
 
@@ -70,7 +70,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MA
     rest = F.col("total") - F.sum(F.when(F.col("stops"), F.col("cap")).otherwise(0.0)).over(everything)
     open_weight = F.sum(F.when(F.col("stops"), 0.0).otherwise(F.col("weight"))).over(everything)
     shared = shares.select("*", rest.alias("rest"), open_weight.alias("open_weight"))
-    target = F.when(F.col("stops"), F.col("cap")).otherwise(F.col("rest") * F.col("weight") / F.col("open_weight"))
+    target = F.when(F.col("stops"), F.col("cap")).otherwise(F.try_divide(F.col("rest") * F.col("weight"), F.col("open_weight")))
     return shared.select("source_key", "source", "source_size", target.alias("target"))
 
 
@@ -97,7 +97,7 @@ def plan(narrow: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_
     """
     sizes = narrow.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
     goals = stored(targets(sizes, weights, most), "mix-targets")
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.try_divide("target", "source_size"))).otherwise(0)
     goals = goals.withColumn("epochs", epochs.cast("long")).withColumn(
         "rest", F.col("target") - F.col("epochs") * F.col("source_size")
     )
