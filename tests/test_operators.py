@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tierloom.operators import joins, profile, ranking, versions
+from tierloom.operators import checks, joins, profile, ranking, versions
 from tierloom.operators.checks import (
     every_row,
     no_row,
@@ -21,6 +21,7 @@ from tierloom.operators.checks import (
     unique_key,
 )
 from tierloom.operators.expectations import Expectation, enforce, not_null, report
+from tierloom.plans import gold, sql
 
 QUICK = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -132,11 +133,44 @@ def test_exact_sum_does_not_depend_on_order(spark):
     assert empty["s"] is None
 
 
-@pytest.mark.parametrize("bad", [1e30, float("nan")])
+@pytest.mark.parametrize("bad", [1e30, float("nan"), 0.004, 1.005])
 def test_exact_sum_is_exact_or_fails(spark, bad):
     df = spark.createDataFrame([(1.0,), (bad,)], "v double")
-    with pytest.raises(Exception, match="does not fit 64 bits"):
-        df.agg(ranking.exact_sum("v", 2)).collect()
+    for total in (ranking.exact_sum("v", 2), F.expr(ranking.exact_sum_sql("v", 2))):
+        with pytest.raises(Exception, match="more than 2 decimals"):
+            df.agg(total).collect()
+    assert df.filter("v = 1.0").agg(ranking.exact_sum("v", 2).alias("s")).first()["s"] == 1.0
+
+
+def test_exact_sums_of_small_values_make_no_ties(spark):
+    observations = spark.createDataFrame(
+        [("S", year, period, value) for year, value in ((2013, 0.004), (2014, 0.003)) for period in ("Q01", "Q02")],
+        "series_id string, year int, period string, value double",
+    )
+    empty = spark.createDataFrame([], "series_id string, measure_code string, sector_code string, measure_text string, sector_name string")
+    tables = (observations, empty, empty, empty)
+    for best in (gold.best_year_by_series(*tables, scale=3), sql.best_year_by_series(spark, *tables, scale=3)):
+        assert rows(best, "best_year", "best_year_value") == [(2013, 0.008)]
+    for best in (gold.best_year_by_series(*tables, scale=2), sql.best_year_by_series(spark, *tables, scale=2)):
+        with pytest.raises(Exception, match="more than 2 decimals"):
+            best.collect()
+
+
+def test_tied_years_go_to_a_missing_year_first_in_both_forms(spark):
+    observations = spark.createDataFrame(
+        [("S", None, "Q01", 1.0), ("S", 2013, "Q01", 1.0)], "series_id string, year int, period string, value double"
+    )
+    empty = spark.createDataFrame([], "series_id string, measure_code string, sector_code string, measure_text string, sector_name string")
+    tables = (observations, empty, empty, empty)
+    forms = gold.best_year_by_series(*tables), sql.best_year_by_series(spark, *tables)
+    assert [rows(form, "best_year") for form in forms] == [[(None,)], [(None,)]]
+
+
+def test_tolerance_is_relative(spark):
+    result = spark.createDataFrame([("a", 1e11 + 0.01), ("b", 1.5)], "k string, v double")
+    again = spark.createDataFrame([("a", 1e11), ("b", 1.0)], "k string, e double")
+    (row,) = checks.selected_is_max("m", result, again, "k", "v", "e", 1e-6).collect()
+    assert row["violations"] == 1
 
 
 def test_summary_edges(spark):
@@ -165,18 +199,6 @@ def test_anti_and_semi_with_repeated_keys(spark):
     assert rows(joins.available_rows(left, right, "k")) == [(1, 1), (1, 1)]
 
 
-def test_broadcast_only_within_limits(spark):
-    df = spark.range(100)
-
-    def hinted(side):
-        return "broadcast" in side._jdf.queryExecution().logical().toString().lower()
-
-    assert hinted(joins.broadcast_if_small(df, max_rows=100))
-    assert not hinted(joins.broadcast_if_small(df, max_rows=99))
-    assert not hinted(joins.broadcast_if_small(df, max_bytes=100))
-    assert hinted(joins.broadcast_if_small(df.filter("id < 0")))
-
-
 def test_expectations(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None), (None, None)], "x int, y string")
     rules = (*not_null("x", "y"), Expectation("small", "x < 2"))

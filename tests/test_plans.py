@@ -6,9 +6,10 @@ import pytest
 from conftest import DATA
 
 from tierloom.operators import joins
+from tierloom.operators.versions import touched_partitions
 from tierloom.plans import gold, sql
 from tierloom.workspace import settings
-from workloads import inputs
+from workloads import inputs, streams
 from workloads.registry import QUERIES
 
 
@@ -74,10 +75,53 @@ def test_lookups_are_not_broadcast_without_a_size_check(spark, silver):
         assert "Broadcast" not in text and text.count("Exchange hashpartitioning") == 2
 
 
-def test_metric_beside_population_shuffles_no_observation(spark, silver):
-    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        text = plan(gold.metric_with_population(silver["observations"], silver["population"], "NATION_7"))
-        assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+def test_metric_beside_population_shuffles_no_observation(silver):
+    text = plan(gold.metric_with_population(silver["observations"], silver["population"], "NATION_7"))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_no_row_is_multiplied_before_an_aggregate(spark):
+    for name in ("gold_best_year", "gold_best_year_sql", "row_number_rank", "check_table_rules"):
+        assert "Expand" not in plan(QUERIES[name](spark, DATA))
+
+
+def test_one_series_is_read_from_stored_observations(spark):
+    for name in ("gold_series_reference", "gold_series_reference_sql"):
+        assert "EqualTo(series_id,7)" in plan(QUERIES[name](spark, DATA))
+
+
+def test_sql_ranking_cuts_groups_before_the_shuffle(spark):
+    assert plan(QUERIES["gold_best_year_sql"](spark, DATA)).count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("name", ["stream_dedup_key", "silver_observations", "silver_population"])
+def test_streams_shuffle_once_and_keep_their_state_by_key(spark, name, monkeypatch):
+    """Plans of the stateful streams: one exchange by the key below the state, copies thinned before it."""
+    seen = []
+    original = streams.append_all
+
+    def watched(df, *args, **options):
+        query = original(df, *args, **options)
+        seen.append(query._jsq.explainInternal(False))
+        return query
+
+    monkeypatch.setattr(streams, "append_all", watched)
+    QUERIES[name](spark, DATA)
+    stateful = [text for text in seen if "StreamingDeduplicate" in text]
+    assert stateful
+    for text in stateful:
+        assert text.count("Exchange ") == 1 and "Exchange hashpartitioning" in text
+        assert text.index("StreamingDeduplicate") < text.index("Exchange ") < text.index("MapInArrow")
+
+
+def test_upserts_prune_partitions(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    rows = spark.createDataFrame([(i, i % 3, 0) for i in range(9)], "k int, y int, s int")
+    rows.write.partitionBy("y").parquet(folder)
+    changes = spark.read.parquet(folder).filter("k in (1, 4)").select("k", "y", "s")
+    changes.write.parquet(str(tmp_path / "c"))
+    text = plan(touched_partitions(spark.read.parquet(folder), spark.read.parquet(str(tmp_path / "c")), ["y"]))
+    assert "dynamicpruning" in text and "(y#" in text
 
 
 def test_forms_agree(spark, silver):

@@ -1,6 +1,8 @@
 """Landing, incremental reading, type inference and schema evolution."""
 
 import json
+import os
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -95,13 +97,38 @@ def test_schema_log_and_rescue(spark, tmp_path):
     assert json.loads(got.collect()[1][RESCUE]) == {"a": "not a number", "b": True}
 
 
-def test_inference_over_new_files_only(spark, tmp_path):
-    (tmp_path / "1.json").write_text('{"a": 1}\n')
-    assert infer_json(spark, str(tmp_path), modified_after=datetime(2100, 1, 1)) is None
-    assert infer_json(spark, str(tmp_path), modified_after=datetime(2000, 1, 1)).fieldNames() == ["a"]
-    log = SchemaLog(spark, str(tmp_path / "_log"))
-    log.refresh(str(tmp_path))
-    assert log.refresh(str(tmp_path), margin=timedelta(days=-1)).fieldNames() == ["a", RESCUE]
+def test_every_file_is_looked_at_once_whatever_its_date(spark, tmp_path):
+    raw, log = tmp_path / "raw [1]", SchemaLog(spark, str(tmp_path / "log"))
+    raw.mkdir()
+    pattern = str(raw).replace("[", "\\[").replace("]", "\\]")
+    (raw / "1.json").write_text('{"a": 1}\n')
+    assert log.refresh(pattern).fieldNames() == ["a", RESCUE]
+    (raw / "old file+1.json").write_text('{"b": 1}\n')
+    os.utime(raw / "old file+1.json", (0, time.time() - 2 * 86400))
+    assert log.refresh(pattern).fieldNames() == ["a", RESCUE, "b"]
+    assert log._new_files(pattern, None).isEmpty()
+    assert infer_json(spark, []) is None
+
+
+def test_a_file_that_lands_during_a_run_keeps_its_fields(spark, tmp_path):
+    raw, log = tmp_path / "raw", SchemaLog(spark, str(tmp_path / "log"))
+    raw.mkdir()
+    (raw / "1.json").write_text('{"a": 1}\n')
+    used = log.refresh(str(raw))
+    (raw / "2.json").write_text('{"a": 2, "new": "x"}\n')
+    stream = json_stream(spark, str(raw), used, rescue=RESCUE)
+    append_all(stream, str(tmp_path / "c"), path=str(tmp_path / "o"))
+    assert log.keep_late(str(raw), used, str(tmp_path / "late")).fieldNames() == ["a", RESCUE, "new"]
+    assert rows(spark.read.parquet(str(tmp_path / "late")), "a", "new", "_metadata.file_name") == [(2, "x", "2.json")]
+    again = log.refresh(str(raw))
+    assert log.keep_late(str(raw), again, str(tmp_path / "late")) == again
+    assert spark.read.parquet(str(tmp_path / "late")).count() == 1
+
+
+def test_types_come_from_all_files(spark, tmp_path):
+    for i in range(30):
+        (tmp_path / f"{i:02}.tsv").write_text("v\n" + ("1.5" if i == 29 else str(i)) + "\n")
+    assert infer_types(spark, str(tmp_path)).simpleString() == "struct<v:double>"
 
 
 def test_folder_stream_reads_only_new_rows(spark, tmp_path):

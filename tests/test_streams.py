@@ -8,7 +8,7 @@ import sys
 
 import pyarrow as pa
 import pytest
-from conftest import rows
+from conftest import DATA, rows
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -18,15 +18,10 @@ from tierloom.plans import sql
 from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, refine, refine_distinct, refine_latest
 from tierloom.sources.files import with_lineage
 from tierloom.sources.tables import folder_stream
+from tierloom.streaming import runs
 from tierloom.streaming.runs import append_all
-from tierloom.workspace import (
-    INITIAL_PARTITIONS,
-    fresh_folder,
-    partitions_for,
-    provide_partitions,
-    settings,
-    shared_root,
-)
+from tierloom.workspace import fresh_folder, settings, shared_root
+from workloads import inputs
 
 
 def hot_table(spark, path, first, last):
@@ -140,6 +135,24 @@ def test_report_sums_micro_batches(spark, tmp_path):
     assert rows(stream_report(spark, query, "m", rules)) == [("valid_x", 6, 3)]
 
 
+def test_counts_outlast_what_a_query_remembers(spark, tmp_path, monkeypatch):
+    """More micro-batches than progress entries, in two runs of one checkpoint."""
+    source, counts = str(tmp_path / "in"), str(tmp_path / "counts")
+    rules = not_null("x")
+    monkeypatch.setattr(runs, "POLL_SECONDS", 0.01)
+    for _ in range(2):
+        for part in range(12):
+            spark.createDataFrame([(1,), (None,), (part,)], "x int").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("x int").option("maxFilesPerTrigger", 1).parquet(source)
+        with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "4"}):
+            query = append_all(enforce(stream, rules, "m"), str(tmp_path / "c"), counts, path=str(tmp_path / "o"))
+            assert len(query.recentProgress) <= 4
+    assert rows(stream_report(spark, query, "m", rules, counts)) == [("valid_x", 48, 24)]
+    with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "1"}):
+        with pytest.raises(ValueError, match="micro-batches"):
+            stream_report(spark, query, "m", rules)
+
+
 RAW = [
     ("S1  ", " 2013", "Q01", "  1.5", "", "f1"), ("S1", "2013", "Q01", "1.5", "", "f2"),
     ("S1", "2013", "Q01", "9.5", "C", "f2"), (" S2", "2013", "Q02", "-", "", "f1"),
@@ -188,6 +201,7 @@ def test_latest_extraction_wins(spark):
         snapshot(334914895.0, "population.20260814120000.json"),
         snapshot(None, "population.20260816120000.json"),
         snapshot(1.0, "unstamped.json"),
+        snapshot(2.0, "archive.20300101000000/population.20260813120000.json"),
     ]
     latest = refine_latest(spark.createDataFrame(history, ddl), POPULATION)
     assert rows(latest, "year", "population") == [(2023, 335000000)]
@@ -212,23 +226,19 @@ def test_sql_over_a_table_stream(spark, tmp_path):
     assert rows(spark.table("sqlforms.silver")) == [("01", "x")]
 
 
-def test_partitions_follow_the_size_of_the_input(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(20000).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert partitions_for(df) == 4
-    try:
-        provide_partitions(df)
-        assert spark.conf.get(INITIAL_PARTITIONS, None) is None
-        provide_partitions(df, target=1000)
-        raised = int(spark.conf.get(INITIAL_PARTITIONS))
-        assert raised == partitions_for(df, target=1000) > 50
-        provide_partitions(df, target=5000)
-        assert int(spark.conf.get(INITIAL_PARTITIONS)) == raised
-        text = df.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
-        assert f", {raised})" in text or f", {raised}, " in text or f"{raised}), ENSURE" in text
-    finally:
-        spark.conf.unset(INITIAL_PARTITIONS)
+def test_reading_a_table_changes_no_setting(spark):
+    before = spark.sql("SET").collect()
+    inputs.observations(spark, DATA).count()
+    assert spark.sql("SET").collect() == before
+
+
+def test_the_first_run_fixes_state_partitions(spark, tmp_path):
+    source, checkpoint = str(tmp_path / "in"), tmp_path / "c"
+    for number in (3, 5):
+        spark.range(4).write.mode("append").parquet(source)
+        append_all(first_arrival(folder_stream(spark, source), ["id"]), str(checkpoint), path=str(tmp_path / "o"), state_partitions=number)
+        assert len([d for d in (checkpoint / "state" / "0").iterdir() if d.name.isdigit()]) == 3
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 4
 
 
 def test_workspace_follows_the_session(spark):

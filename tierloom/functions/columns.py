@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-EXTRACTION_STAMP = r"[._](\d{8})T?(\d{6})(?=[._/]|$)"
+# The greedy start makes it the last stamp: folders above may have stamps of their own.
+EXTRACTION_STAMP = r"(?s)^.*[._](\d{8})T?(\d{6})(?=[._/]|$)"
 
 
 def trimmed(source: str) -> Column:
@@ -27,7 +28,7 @@ def label(*parts: str, separator: str = " - ") -> Column:
 def extraction_time(file_name: str | Column) -> Column:
     """Extraction time held in a landed name: ``name.20260814120000`` or ``name_20260814T120000.json``.
 
-    Works on file names and on whole paths; NULL where there is no stamp.
+    Works on file names and on whole paths, where the last stamp counts; NULL where there is no stamp.
     """
     column = F.col(file_name) if isinstance(file_name, str) else file_name
     day, time = (F.regexp_extract(column, EXTRACTION_STAMP, group) for group in (1, 2))

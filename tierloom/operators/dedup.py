@@ -11,20 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
+# Keys that a task remembers as repeating, over all its batches.
 REMEMBERED = 4096
 _HASH = "_key_hash"
 
 
-def first_arrival(df: DataFrame, keys: Sequence[str], thin: bool = True) -> DataFrame:
+def first_arrival(df: DataFrame, keys: Sequence[str], thin: bool = True, remembered: int = REMEMBERED) -> DataFrame:
     """One row per key, the first that arrived; for a stream also across micro-batches and restarts.
 
     A batch combines copies on the map side before its shuffle. The stateful operator of a stream does not, and one
     key may hold a large part of all rows; there, every task first leaves out copies it can see itself, so that a hot
     key sends about one row per task to its state. State is kept per key, without a watermark. ``thin=False`` saves
-    that step where no key repeats much; it may change between runs of a checkpoint.
+    that step where no key repeats much; it may change between runs of a checkpoint. ``remembered`` bounds the keys a
+    task keeps in mind from batch to batch; the result does not depend on it, only how many copies reach the state.
     """
     keys = list(keys)
-    return (drop_copies_in_task(df, keys) if thin and df.isStreaming else df).dropDuplicates(keys)
+    return (drop_copies_in_task(df, keys, remembered) if thin and df.isStreaming else df).dropDuplicates(keys)
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -38,7 +40,7 @@ def watermarked_first_arrival(df: DataFrame, keys: Sequence[str], event_time: st
     return drop_copies_in_task(timed, list(keys)).dropDuplicatesWithinWatermark(list(keys))
 
 
-def drop_copies_in_task(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def drop_copies_in_task(df: DataFrame, keys: Sequence[str], remembered: int = REMEMBERED) -> DataFrame:
     """Leave out rows whose key an earlier row of the same Arrow batch has, or is known to repeat in the same task.
 
     Only certain copies go: hashes, computed by Spark, pick candidates, and the keys themselves are compared. What is
@@ -48,7 +50,7 @@ def drop_copies_in_task(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     if any(isinstance(df.schema[key].dataType, nested) for key in keys):
         return df
     hashed = df.withColumn(_HASH, F.xxhash64(*keys))
-    return hashed.mapInArrow(_prune(list(keys), REMEMBERED), df.schema)
+    return hashed.mapInArrow(_prune(list(keys), remembered), df.schema)
 
 
 def _prune(keys: list[str], remembered: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

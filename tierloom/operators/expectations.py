@@ -6,12 +6,15 @@ import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 REPORT = "name string, passed bigint, failed bigint"
 _ROWS = "_rows"
+# What a folder of counts holds.
+COUNTS = "query string, batch bigint, observation string, counter string, value bigint"
 
 
 @dataclass(frozen=True)
@@ -64,16 +67,63 @@ def stream_report(
     queries: StreamingQuery | Iterable[StreamingQuery],
     observe_as: str,
     expectations: Sequence[Expectation],
+    counts: str | None = None,
 ) -> DataFrame:
-    """The same report for finished stream runs, summed over their micro-batches."""
+    """The same report for finished stream runs, summed over their micro-batches.
+
+    ``counts`` is the folder that ``finish`` wrote them to: then all runs that wrote there count, those before a restart
+    too. Without it the progress that the queries still remember counts, which is a bounded number of micro-batches;
+    more raise an error.
+    """
+    if counts is not None:
+        return recorded_report(spark, counts, observe_as, expectations)
     rows = 0
     failed = dict.fromkeys((expectation.name for expectation in expectations), 0)
     for query in [queries] if isinstance(queries, StreamingQuery) else queries:
-        for progress in query.recentProgress:
-            details = progress if isinstance(progress, dict) else json.loads(progress.json)
-            metrics = details.get("observedMetrics", {}).get(observe_as)
+        kept = [progress_of(progress) for progress in query.recentProgress]
+        if len(kept) >= int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")):
+            raise ValueError("more micro-batches than the query remembers: give finish() a folder for counts")
+        for progress in kept:
+            metrics = progress.get("observedMetrics", {}).get(observe_as)
             if metrics:
                 rows += metrics[_ROWS]
                 for name in failed:
                     failed[name] += metrics[name]
     return spark.createDataFrame([(name, rows - count, count) for name, count in failed.items()], REPORT)
+
+
+def progress_of(progress) -> dict:
+    return json.loads(progress.json) if hasattr(progress, "json") else progress
+
+
+def recorded(progress: dict) -> list[tuple[str, int, str, str, int]]:
+    """(query, batch, observation, counter, value) of one micro-batch."""
+    return [
+        (progress["id"], progress["batchId"], observation, counter, int(value))
+        for observation, metrics in (progress.get("observedMetrics") or {}).items()
+        for counter, value in metrics.items()
+    ]
+
+
+def recorded_report(
+    spark: SparkSession, counts: str, observe_as: str, expectations: Sequence[Expectation]
+) -> DataFrame:
+    """The report of everything in a folder of counts. A micro-batch that was run again after a failure counts once."""
+    try:
+        batches = spark.read.schema(COUNTS).json(counts)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # No micro-batch had any rows.
+        batches = spark.createDataFrame([], COUNTS)
+    once = batches.filter(F.col("observation") == observe_as).groupBy("query", "batch", "counter").agg(F.max("value").alias("value"))
+
+    def total(counter: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("counter") == counter, F.col("value"))), F.lit(0))
+
+    totals = once.agg(total(_ROWS).alias(_ROWS), *[total(e.name).alias(e.name) for e in expectations])
+    rows = [
+        F.struct(F.lit(e.name).alias("name"), (F.col(_ROWS) - F.col(e.name)).alias("passed"), F.col(e.name).alias("failed"))
+        for e in expectations
+    ]
+    return totals.select(F.inline(F.array(*rows)))

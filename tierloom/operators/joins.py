@@ -50,14 +50,3 @@ def available_rows(df: DataFrame, reference: DataFrame, key: str) -> DataFrame:
     """Rows whose key exists on the reference side, each once, however often the key stands there."""
     return df.join(reference.select(key).distinct(), on=key, how="left_semi")
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:
-    """Mark a side for broadcast after measuring it; beyond the limits it is returned without a hint.
-
-    For a side whose plan-time estimate is far too high (a filter or aggregate over a big table), next to a side so
-    big that shuffling it before adaptive execution finds out would be the main cost. Counting stops at the limit.
-    """
-    width = F.sum(F.length(F.to_json(F.struct(*df.columns))).cast("bigint"))
-    measured = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), width.alias("bytes")).first()
-    small = measured["n"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
-    return F.broadcast(df) if small else df

@@ -13,23 +13,31 @@ def summary(df: DataFrame, value: str, mean: str = "mean", deviation: str = "std
     return df.agg(F.avg(value).alias(mean), F.stddev_pop(value).alias(deviation))
 
 
+def exact_sum_sql(value: str, scale: int | None) -> str:
+    """SQL text of ``exact_sum``, for both forms of a query."""
+    if scale is None:
+        return f"sum({value})"
+    unit = f"1e{scale}D"
+    scaled = f"{value} * {unit}"
+    # A double holds a decimal number up to one part in 2^53; anything further off has more decimals.
+    whole = f"abs({scaled} - rint({scaled})) <= abs({scaled}) * 1e-15D"
+    units = f"try_cast(CASE WHEN {whole} THEN rint({scaled}) END AS bigint)"
+    wrong = f"'a value of {value} has more than {scale} decimals, or the sum does not fit 64 bits'"
+    return (
+        f"CASE WHEN count({value}) = 0 THEN CAST(NULL AS double) "
+        f"WHEN count({units}) = count({value}) AND try_sum({units}) IS NOT NULL THEN CAST(try_sum({units}) AS double) / {unit} "
+        f"ELSE CAST(raise_error({wrong}) AS double) END"
+    )
+
+
 def exact_sum(value: str, scale: int | None) -> Column:
     """Sum of a double column; with ``scale`` added up in whole units of that many decimals.
 
     Adding integers gives the same total whatever the order of addition, so ties and retries cannot change a result,
-    and it stays on primitive types, which sums of decimals do not. A value or total that does not fit 64 bits raises.
+    and it stays on primitive types, which sums of decimals do not. Nothing is rounded away: a value with more decimals,
+    or a value or total that does not fit 64 bits, raises.
     """
-    if scale is None:
-        return F.sum(value)
-    unit = float(10**scale)
-    units = F.rint(F.col(value) * unit).try_cast("bigint")
-    total = F.try_sum(units)
-    fits = (F.count(units) == F.count(value)) & total.isNotNull()
-    return (
-        F.when(F.count(value) == 0, F.lit(None).cast("double"))
-        .when(fits, total.cast("double") / unit)
-        .otherwise(F.raise_error(F.lit(f"the sum of {value} does not fit 64 bits at scale {scale}")).cast("double"))
-    )
+    return F.expr(exact_sum_sql(value, scale))
 
 
 def grouped_sum(

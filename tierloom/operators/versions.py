@@ -41,27 +41,42 @@ def apply_changes(
     return merged.filter(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted) if deleted else merged
 
 
+def touched_partitions(current: DataFrame, changes: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of ``current`` in partitions that have changes.
+
+    The range of the changed values prunes the scan at plan time. Inside it the semi join does, at run time: a predicate
+    on its right side is what Spark asks for to do so. NULLs equal nothing; their partitions are read if any change has
+    one.
+    """
+    names = list(partition_by)
+    bounds = changes.agg(*[f(name).alias(f"{i}{f.__name__}") for i, name in enumerate(names) for f in (F.min, F.max)]).first()
+    within = reduce(
+        and_, [F.col(name).between(F.lit(bounds[f"{i}min"]), F.lit(bounds[f"{i}max"])) for i, name in enumerate(names)]
+    )
+    touched = changes.select(*names).filter(within).distinct()
+    same = current.filter(within).join(touched, on=names, how="left_semi")
+    some_null = reduce(or_, [F.col(name).isNull() for name in names])
+    if changes.filter(some_null).isEmpty():
+        return same
+    return same.unionByName(current.filter(some_null))
+
+
 def upsert_partitions(
     folder: str, changes: DataFrame, keys: Sequence[str], sequence: str, partition_by: Sequence[str]
 ) -> None:
     """Upsert into a partitioned Parquet folder, rewriting only the partitions that have changes.
 
     The partition columns have to be part of the key, so that a correction stays in its partition. Partitions without
-    changes are neither read nor written.
+    changes are neither read nor written. Partitions are replaced one after the other: a reader may meet some of them
+    renewed and others not; where that matters, publish the result as a new version instead.
     """
     outside = set(partition_by) - set(keys)
     if outside:
         raise ValueError(f"partition columns outside the key: {sorted(outside)}")
     spark = changes.sparkSession
     current = spark.read.parquet(folder)
-    touched = [tuple(row) for row in changes.select(*partition_by).distinct().collect()]
-    if not touched:
-        return
-    same = [
-        reduce(and_, [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(partition_by, values)])
-        for values in touched
-    ]
-    merged = apply_changes(current.filter(reduce(or_, same)), changes, keys, sequence)
+    same = touched_partitions(current, changes, partition_by)
+    merged = apply_changes(same, changes, keys, sequence)
     # Written elsewhere first: the partitions are read and replaced by the same job otherwise.
     staged = fresh_folder(spark, "upsert")
     merged.write.parquet(staged)

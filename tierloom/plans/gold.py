@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.functions.columns import label
-from tierloom.operators.joins import broadcast_if_small, lookup
+from tierloom.operators.joins import lookup
 from tierloom.operators.ranking import exact_sum, summary, top_per_group
 
 QUARTERS = ("Q01", "Q02", "Q03", "Q04")
@@ -73,11 +73,11 @@ def series_population(
 def metric_with_population(observations: DataFrame, population: DataFrame, nation: str) -> DataFrame:
     """All series and periods over time beside the population of a nation.
 
-    All observations of a year share one join key, and shuffling them by year would load few tasks. The population
-    side has one row per year; it is measured and, within the limits, broadcast.
+    The population should be a stored table: then Spark knows how small its rows of one nation are and broadcasts them
+    below its own threshold. Beyond it the join goes by year, and adaptive execution splits the years.
     """
     people = population.filter(F.col("nation") == nation).select("year", "population")
     rows = observations.select("series_id", "year", "period", "value")
-    return rows.join(broadcast_if_small(people), on="year", how="left").select(
+    return lookup(rows, people, "year").select(
         "series_id", "year", "period", "value", "population"
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierloom.operators.dedup import distinct_rows
 from tierloom.operators.expectations import enforce
+from tierloom.operators.ranking import exact_sum_sql
 from tierloom.plans.silver import Spec
 from tierloom.sources.files import LINEAGE
 
@@ -47,23 +48,25 @@ FROM {population}
 WHERE nation = :nation AND year BETWEEN :first_year AND :last_year
 """
 
-# The best year falls out of one aggregate: the greatest (total, earliest year) pair of each series.
+# Spark cuts the ranked rows of a series to the first one in every task, before the shuffle.
 BEST_YEAR = """
-WITH best AS (
-  SELECT series_id, max(struct(annual_value AS total, -year AS earlier)) AS pick
-  FROM (SELECT series_id, year, {total} AS annual_value
-        FROM {{observations}}
-        WHERE period IN ('Q01', 'Q02', 'Q03', 'Q04')
-        GROUP BY series_id, year)
-  GROUP BY series_id
+WITH yearly AS (
+  SELECT series_id, year, {total} AS annual_value
+  FROM {{observations}}
+  WHERE period IN ('Q01', 'Q02', 'Q03', 'Q04')
+  GROUP BY series_id, year
 ),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY annual_value DESC, year) AS row_num FROM yearly
+),
+best AS (SELECT * FROM ranked WHERE row_num = 1),
 labels AS (
   SELECT series_id, concat_ws(' - ', sector_name, measure_text) AS series_label
   FROM {{series}}
   LEFT JOIN {{measures}} USING (measure_code)
   LEFT JOIN {{sectors}} USING (sector_code)
 )
-SELECT best.series_id, labels.series_label, -pick.earlier AS best_year, pick.total AS best_year_value
+SELECT best.series_id, labels.series_label, best.year AS best_year, best.annual_value AS best_year_value
 FROM best LEFT JOIN labels ON labels.series_id = best.series_id
 """
 
@@ -91,7 +94,7 @@ def best_year_by_series(
     sectors: DataFrame,
     scale: int | None = None,
 ) -> DataFrame:
-    total = "sum(value)" if scale is None else f"sum(CAST(rint(value * 1e{scale}) AS bigint)) / 1e{scale}"
+    total = exact_sum_sql("value", scale)
     return spark.sql(
         BEST_YEAR.format(total=total),
         observations=observations.select("series_id", "year", "period", "value"),

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime, timedelta, timezone
+import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
@@ -30,25 +30,23 @@ def widen(known: DataType, found: DataType) -> DataType:
 
 def infer_json(
     spark: SparkSession,
-    path: str,
+    paths: str | list[str],
     *,
     pinned: StructType | None = None,
     glob: str | None = None,
     multi_line: bool = False,
-    modified_after: datetime | None = None,
 ) -> StructType | None:
     """Schema of the landed snapshots; ``pinned`` fields take the given type (e.g. ``{}`` kept as text).
 
-    All rows count: a field seen once must not be lost. ``modified_after`` (UTC) limits the pass to newly landed
-    files; None when there are none.
+    All rows count: a field seen once must not be lost. None when there are no files.
     """
     reader = spark.read.option("multiLine", multi_line)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if modified_after:
-        reader = reader.option("modifiedAfter", f"{modified_after:%Y-%m-%dT%H:%M:%S}").option("timeZone", "UTC")
+    if not paths:
+        return None
     try:
-        found = reader.json(path).schema
+        found = reader.json(paths).schema
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
@@ -59,7 +57,8 @@ def infer_json(
 class SchemaLog:
     """Versions of an evolving schema, kept as a small append-only folder beside the checkpoint."""
 
-    COLUMNS = "version int, fields string, checked_until string"
+    COLUMNS = "version int, fields string"
+    FILES = "file string, length bigint, changed string"
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -78,7 +77,7 @@ class SchemaLog:
         row = self._latest()
         return StructType.fromJson(json.loads(row["fields"])) if row else None
 
-    def absorb(self, found: StructType | None, checked_until: datetime | None = None) -> StructType:
+    def absorb(self, found: StructType | None) -> StructType:
         """Merge newly found fields into the saved schema and save the result.
 
         To be called before the read: a field unknown at read time would be lost. Every schema has the column that
@@ -91,19 +90,57 @@ class SchemaLog:
         merged = widen(known, found) if known and found else known or found
         if RESCUE not in merged.fieldNames():
             merged = StructType([*merged.fields, StructField(RESCUE, StringType())])
-        if merged != known or checked_until:
-            until = checked_until.isoformat() if checked_until else None
-            entry = (row["version"] + 1 if row else 1, merged.json(), until)
+        if merged != known:
+            entry = (row["version"] + 1 if row else 1, merged.json())
             self.spark.createDataFrame([entry], self.COLUMNS).coalesce(1).write.mode("append").json(self.folder)
         return merged
 
-    def refresh(self, path: str, *, margin: timedelta = timedelta(days=1), **options) -> StructType:
-        """Schema for the next run: what is known plus the fields of files landed since the last refresh.
+    def _new_files(self, path: str, glob: str | None) -> DataFrame:
+        """(file, length, changed) of landed files that no refresh has looked at: a listing, no content is read.
 
-        ``margin`` is how much earlier than that a file may be dated and still count as new; looking at a file twice
-        does no harm.
+        A file counts by name, length and change together, whatever its date is.
         """
-        started = datetime.now(timezone.utc)
-        row = self._latest()
-        since = datetime.fromisoformat(row["checked_until"]) - margin if row and row["checked_until"] else None
-        return self.absorb(infer_json(self.spark, path, modified_after=since, **options), started)
+        reader = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
+        listed = reader.load(path).selectExpr("path AS file", "length", "CAST(modificationTime AS string) AS changed")
+        listed = listed.filter(~F.substring_index("file", "/", -1).rlike(r"^[._]"))
+        try:
+            seen = self.spark.read.schema(self.FILES).parquet(f"{self.folder}_files")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return listed
+        return listed.join(seen, ["file", "length", "changed"], "left_anti")
+
+    def refresh(self, path: str, *, glob: str | None = None, **options) -> StructType:
+        """Schema for the next run: what is known plus the fields of files no refresh has looked at.
+
+        The new files are listed by name on the driver, as Spark's own readers list theirs.
+        """
+        fresh = self._new_files(path, glob).collect()
+        found = infer_json(self.spark, [quoted(row["file"]) for row in fresh], **options)
+        schema = self.absorb(found)
+        if fresh:
+            # Noted after the schema is saved: a failure in between only means that files are looked at again.
+            rows = self.spark.createDataFrame([tuple(row) for row in fresh], self.FILES)
+            rows.coalesce(1).write.mode("append").parquet(f"{self.folder}_files")
+        return schema
+
+    def keep_late(self, path: str, used: StructType, folder: str, *, glob: str | None = None, **options) -> StructType:
+        """To be called after a run that read with ``used``: files that landed since may bring fields it did not know.
+
+        Where they do, their whole records are stored in ``folder`` with the widened schema and their lineage, since
+        the run may have read them already, without those fields. Later runs know the fields.
+        """
+        fresh = [quoted(row["file"]) for row in self._new_files(path, glob).collect()]
+        schema = self.refresh(path, glob=glob, **options)
+        if schema != used and fresh:
+            late = self.spark.read.schema(schema).option("columnNameOfCorruptRecord", RESCUE).json(fresh)
+            late.select("*", F.col("_metadata")).write.mode("append").parquet(folder)
+        return schema
+
+
+def quoted(path: str) -> str:
+    """A path as a reader's pattern that stands for itself only."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

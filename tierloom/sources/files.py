@@ -111,23 +111,19 @@ def infer_types(
     glob: str | None = None,
     sep: str = "\t",
     keep_text: tuple[str, ...] = (),
-    max_files: int = 1000,
-    sampling_ratio: float = 1.0,
 ) -> StructType:
-    """Column types of tab-separated files, taken from a sample of files and rows.
+    """Column types of tab-separated files, taken from all rows of all files, so that every value fits.
 
-    Columns in ``keep_text`` (codes and ids, by trimmed name) stay text whatever the sample holds.
+    Columns in ``keep_text`` (codes and ids, by trimmed name) stay text whatever the files hold.
     """
     header = spark.read.option("header", True).option("sep", sep)
     if glob:
         header = header.option("pathGlobFilter", glob)
-    files = sorted(header.csv(path).inputFiles())[:max_files]
     found = (
         header.option("inferSchema", True)
-        .option("samplingRatio", sampling_ratio)
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
-        .csv(files)
+        .csv(path)
         .schema
     )
     return StructType(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -10,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tierloom.functions.columns import trim_headers
 from tierloom.operators.checks import suite
-from tierloom.operators.expectations import stream_report
+from tierloom.operators.expectations import recorded_report
 from tierloom.plans import gold
 from tierloom.plans.checks import best_year_checks, population_checks, series_population_checks
 from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, SECTORS, SERIES, SPECS, Spec, refine
@@ -18,9 +19,8 @@ from tierloom.sources.evolution import RESCUE, SchemaLog
 from tierloom.sources.files import json_stream, tsv_stream
 from tierloom.sources.tables import table_batch, table_stream
 from tierloom.streaming.runs import describe, finish, publish, start_append
-from tierloom.workspace import partitions_for, provide_partitions
 
-# File names of the four tab-separated datasets.
+# Names of the four tab-separated datasets, of files or of the folders that ``land_snapshot`` makes.
 GLOBS = {
     "bronze_bls_data": "pr.data.1.AllData*",
     "bronze_bls_series": "pr.series*",
@@ -54,6 +54,7 @@ class Layout:
     productivity: str = "bls"
     population: str = "datausa"
     analytics: str = "population_analytics"
+    # Partitions of the state of duplicates, fixed by the first run; None takes the session's shuffle partitions.
     state_partitions: int | None = None
     max_bytes: str | None = None
     partition_by: Mapping[str, Sequence[str]] = field(default_factory=dict)
@@ -80,7 +81,7 @@ def ingest(spark: SparkSession, layout: Layout) -> None:
     queries = []
     for table, glob in layout.globs.items():
         landed = tsv_stream(
-            spark, layout.productivity_raw, layout.schemas.get(table), glob=glob, max_bytes=layout.max_bytes
+            spark, f"{layout.productivity_raw}/{glob}", layout.schemas.get(table), max_bytes=layout.max_bytes
         )
         queries.append(
             start_append(
@@ -96,15 +97,25 @@ def ingest(spark: SparkSession, layout: Layout) -> None:
     snapshots = json_stream(spark, layout.population_raw, schema, rescue=RESCUE, max_bytes=layout.max_bytes)
     queries.append(start_append(snapshots, layout.checkpoint(table), path=layout.bronze_population_folder))
     finish(queries)
+    log.keep_late(layout.population_raw, schema, f"{layout.bronze_population_folder}_late", pinned=PINNED)
     define_over(spark, layout.name(table), layout.bronze_population_folder, snapshots.schema)
     for name, comment in COMMENTS.items():
         describe(spark, layout.name(name), comment)
 
 
 def define_over(spark: SparkSession, name: str, folder: str, schema: StructType) -> None:
-    """Make the stored definition of a table over ``folder`` follow a widened schema; the files stay as they are."""
+    """Make the stored definition of a table over ``folder`` follow a widened schema; the files stay as they are.
+
+    New columns are added in place. Only a field added inside a column makes the definition anew, for which the catalog
+    has no single step: a reader that asks for the table in that moment has to ask again.
+    """
     if spark.catalog.tableExists(name):
-        if spark.table(name).schema.simpleString() == schema.simpleString():
+        known = {field.name: field.dataType.simpleString() for field in spark.table(name).schema}
+        wanted = {field.name: field.dataType for field in schema}
+        if all(column in wanted and wanted[column].simpleString() == kind for column, kind in known.items()):
+            added = [f"`{column}` {kind.simpleString()}" for column, kind in wanted.items() if column not in known]
+            if added:
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(added)})")
             spark.catalog.refreshTable(name)
             return
         spark.sql(f"DROP TABLE {name}")
@@ -115,7 +126,6 @@ def clean(spark: SparkSession, layout: Layout, order: str = "expect_first") -> D
     """Silver: what bronze gained since the last run. Returns (table, name, passed, failed) of this run."""
     started: dict[str, tuple[Spec, object]] = {}
     for spec in SPECS:
-        stored = table_batch(spark, layout.name(spec.source))
         rows = refine(
             table_stream(spark, layout.name(spec.source)), spec, order=order, observe_as=spec.table
         )
@@ -125,15 +135,17 @@ def clean(spark: SparkSession, layout: Layout, order: str = "expect_first") -> D
                 rows,
                 layout.checkpoint(spec.table),
                 table=layout.name(spec.table),
-                state_partitions=layout.state_partitions or partitions_for(stored),
+                state_partitions=layout.state_partitions,
                 partition_by=layout.partition_by.get(spec.table, ()),
             ),
         )
-    finish(query for _, query in started.values())
+    # A folder per run: counts of one refresh, not of all.
+    counts = f"{layout.checkpoints}/expectation_counts/{uuid.uuid4().hex}"
+    finish([query for _, query in started.values()], counts)
     reports = None
-    for table, (spec, query) in started.items():
+    for table, (spec, _) in started.items():
         describe(spark, layout.name(table), spec.comment)
-        rows = stream_report(spark, query, table, spec.expectations).selectExpr(f"'{table}' AS table", "*")
+        rows = recorded_report(spark, counts, table, spec.expectations).selectExpr(f"'{table}' AS table", "*")
         reports = rows if reports is None else reports.unionAll(rows)
     return reports
 
@@ -154,7 +166,6 @@ def analyze(
         return table_batch(spark, layout.name(spec.table))
 
     observations, people = silver(OBSERVATIONS), silver(POPULATION)
-    provide_partitions(observations, silver(SERIES), people)
 
     def keep(result: DataFrame, table: str) -> DataFrame:
         return publish(

@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
-
-# Stored (compressed) input per shuffle or state partition.
-PARTITION_TARGET = 64 << 20
-INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+from pyspark.sql import SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only on a local master."""
+    """The folder named in ``spark.checkpoint.dir``; on a local master else a temporary one, removed at the end."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
@@ -25,7 +23,9 @@ def shared_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tierloom-")
+        root = tempfile.mkdtemp(prefix="tierloom-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        _LOCAL_ROOTS[context.applicationId] = root
     return _LOCAL_ROOTS[context.applicationId]
 
 
@@ -49,23 +49,3 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             else:
                 spark.conf.set(key, value)
 
-
-def partitions_for(df: DataFrame, target: int = PARTITION_TARGET) -> int:
-    """Partitions that suit the size Spark's optimizer gives for a stored table, not fewer than the session has."""
-    # A Python int or a Java number, depending on how large it is.
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // target))
-
-
-def provide_partitions(*tables: DataFrame, target: int = PARTITION_TARGET) -> None:
-    """Let the shuffles of the session start with enough partitions for these stored tables.
-
-    A fixed number would give partitions that grow with the data. Only raises the number: adaptive execution merges
-    partitions that turn out small, but it cannot divide the groups of an aggregate.
-    """
-    for table in tables:
-        conf = table.sparkSession.conf
-        wanted = partitions_for(table, target)
-        present = conf.get(INITIAL_PARTITIONS, None) or conf.get("spark.sql.shuffle.partitions")
-        if wanted > int(present):
-            conf.set(INITIAL_PARTITIONS, str(wanted))

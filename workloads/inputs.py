@@ -11,18 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierloom.operators.ranking import exact_sum
-from tierloom.workspace import fresh_folder, provide_partitions
+from tierloom.workspace import fresh_folder
 
 PAD = "      "
-# Population is published up to this year; later observations have none beside them.
-PUBLISHED_UNTIL = 1999
+# Population of a year is published in the next one, so the first year of observations has none beside it.
+PUBLISHED_AFTER = 1
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A given table; shuffles get enough partitions for its size."""
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    provide_partitions(df)
-    return df
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -46,23 +43,19 @@ def shipped(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def labelled(totals: DataFrame) -> DataFrame:
-    period = F.concat(F.lit("Q0"), F.coalesce(F.col("quarter"), F.lit(5)))
-    return totals.select(text("l_suppkey").alias("series_id"), "year", period.alias("period"), "value")
-
-
 def observations(spark: SparkSession, folder: str) -> DataFrame:
-    """(series_id, year, period, value): quarters and, in the same pass, whole years."""
-    totals = shipped(spark, folder).groupingSets(
-        [("l_suppkey", "year", "quarter"), ("l_suppkey", "year")], "l_suppkey", "year", "quarter"
-    )
-    return labelled(totals.agg(exact_sum("l_extendedprice", 2).alias("value")))
+    """(series_id, year, period, value): quarters, and whole years added up from them."""
+    quarters = quarterly(spark, folder)
+    years = quarters.groupBy("series_id", "year").agg(exact_sum("value", 2).alias("value"))
+    return quarters.unionByName(years.select("series_id", "year", F.lit("Q05").alias("period"), "value"))
 
 
 def quarterly(spark: SparkSession, folder: str) -> DataFrame:
     """The quarter rows alone."""
     totals = shipped(spark, folder).groupBy("l_suppkey", "year", "quarter")
-    return labelled(totals.agg(exact_sum("l_extendedprice", 2).alias("value")))
+    return totals.agg(exact_sum("l_extendedprice", 2).alias("value")).select(
+        text("l_suppkey").alias("series_id"), "year", F.concat(F.lit("Q0"), text("quarter")).alias("period"), "value"
+    )
 
 
 def series(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,8 +83,7 @@ def population(spark: SparkSession, folder: str) -> DataFrame:
     """(nation_id, nation, year, population). Orders shrink to customer years before they meet the customers."""
     active = (
         table(spark, folder, "orders")
-        .select(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year"))
-        .filter(F.col("year") <= PUBLISHED_UNTIL)
+        .select(F.col("o_custkey").alias("c_custkey"), (F.year("o_orderdate") + PUBLISHED_AFTER).alias("year"))
         .distinct()
     )
     customers = table(spark, folder, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))

@@ -40,9 +40,8 @@ observations AS (
   FROM lineitem GROUP BY 1, 2)"""
 POPULATION = """population AS (
   SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS nation_id, n_name AS nation,
-         CAST(year(o_orderdate) AS INTEGER) AS year, count(DISTINCT o_custkey) AS population
+         CAST(year(o_orderdate) + 1 AS INTEGER) AS year, count(DISTINCT o_custkey) AS population
   FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
-  WHERE year(o_orderdate) <= 1999
   GROUP BY 1, 2, 3)"""
 YEARLY = """yearly AS (
   SELECT series_id, year, CAST(sum(CAST(value AS DECIMAL(28,2))) AS DOUBLE) AS annual_value

@@ -19,13 +19,13 @@ from tierloom.operators.expectations import enforce, stream_report
 from tierloom.operators.versions import latest_version, upsert_partitions
 from tierloom.plans import gold, sql
 from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, SECTORS, SERIES, Spec, refine, refine_latest
-from tierloom.sources.evolution import RESCUE, SchemaLog, infer_json
+from tierloom.sources.evolution import RESCUE, SchemaLog
 from tierloom.sources.files import LINEAGE, infer_types, json_stream, tsv_batch, tsv_stream, with_lineage
 from tierloom.sources.landing import TSV, land_snapshot
 from tierloom.sources.tables import folder_stream, table_stream
-from tierloom.streaming.flows import Layout, run_all
+from tierloom.streaming.flows import GLOBS, Layout, run_all
 from tierloom.streaming.runs import append_all, finish, publish, start_append
-from tierloom.workspace import fresh_folder, partitions_for
+from tierloom.workspace import fresh_folder
 from workloads import inputs
 from workloads.batch import BEST_SQL, NATION, PAIRED_SQL, RULES, best_year_inputs
 from workloads.batch import SERIES as SERIES_ID
@@ -52,20 +52,16 @@ def new_schema(spark: SparkSession, work: str) -> str:
     return schema
 
 
-def run(df: DataFrame, work: str, step: str, keyed_on: DataFrame | None = None) -> DataFrame:
-    """Run a stream to its end and return the rows of its folder.
-
-    ``keyed_on`` is the stored input of a stream with state, which gets partitions for that size.
-    """
-    partitions = partitions_for(keyed_on) if keyed_on is not None else None
-    append_all(df, f"{work}/checkpoint-{step}", path=f"{work}/{step}", state_partitions=partitions)
+def run(df: DataFrame, work: str, step: str) -> DataFrame:
+    """Run a stream to its end and return the rows of its folder. State has the session's number of partitions."""
+    append_all(df, f"{work}/checkpoint-{step}", path=f"{work}/{step}")
     return df.sparkSession.read.parquet(f"{work}/{step}")
 
 
 def run_silver(clean: Callable[[DataFrame], DataFrame], spark: SparkSession, work: str) -> DataFrame:
     """Clean the bronze folder of ``work`` as a stream."""
     bronze = f"{work}/bronze"
-    return run(clean(folder_stream(spark, bronze)), work, "silver", keyed_on=spark.read.parquet(bronze))
+    return run(clean(folder_stream(spark, bronze)), work, "silver")
 
 
 def padded(df: DataFrame) -> DataFrame:
@@ -169,10 +165,11 @@ def schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
     late = events.filter("late").select("event_id", F.struct(kind, field).alias("data"), "value")
     log = SchemaLog(spark, f"{work}/schema")
     for snapshot, at in ((early, FIRST), (late, SECOND)):
-        landed = land_snapshot(snapshot, f"{work}/raw", "events", at)
-        schema = log.absorb(infer_json(spark, landed))
+        land_snapshot(snapshot, f"{work}/raw", "events", at)
+        schema = log.refresh(f"{work}/raw/events*")
         stream = json_stream(spark, f"{work}/raw/events*", schema, rescue=RESCUE)
         append_all(stream, f"{work}/checkpoint", path=f"{work}/bronze")
+        log.keep_late(f"{work}/raw/events*", schema, f"{work}/late")
     bronze = spark.read.option("mergeSchema", True).parquet(f"{work}/bronze")
     return bronze.select("event_id", "data.event_type", "value", "data.k")
 
@@ -225,9 +222,7 @@ def incremental_refresh(spark: SparkSession, folder: str) -> DataFrame:
 def stream_dedup_key(spark: SparkSession, folder: str) -> DataFrame:
     work = fresh_folder(spark, "dedup")
     lines = stored_stream(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    kept = run(
-        first_arrival(lines, ["l_orderkey", "l_linenumber"]), work, "kept", inputs.table(spark, folder, "lineitem")
-    )
+    kept = run(first_arrival(lines, ["l_orderkey", "l_linenumber"]), work, "kept")
     return kept.select("l_orderkey", "l_linenumber")
 
 
@@ -236,7 +231,7 @@ def stream_distinct(spark: SparkSession, folder: str) -> DataFrame:
     work = fresh_folder(spark, "distinct")
     columns = ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"]
     lines = distinct_rows(stored_stream(spark, folder, "lineitem"), columns)
-    return run(lines, work, "kept", inputs.table(spark, folder, "lineitem"))
+    return run(lines, work, "kept")
 
 
 @query(
@@ -252,8 +247,9 @@ def expect_metrics_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Counts observed while the stream drops its rows, without a second pass."""
     work = fresh_folder(spark, "metrics")
     kept = enforce(stored_stream(spark, folder, "lineitem").drop(LINEAGE), RULES, observe_as="rules")
-    done = append_all(kept, f"{work}/checkpoint", path=f"{work}/kept")
-    return stream_report(spark, done, "rules", RULES)
+    counts = f"{work}/counts"
+    done = append_all(kept, f"{work}/checkpoint", counts, path=f"{work}/kept")
+    return stream_report(spark, done, "rules", RULES, counts)
 
 
 @query(
@@ -338,6 +334,36 @@ def silver_observations(spark: SparkSession, folder: str) -> DataFrame:
     return silver.select("series_id", "year", "period")
 
 
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS series_id, CAST(year(o_orderdate) AS INTEGER) AS year,
+              'Q0' || quarter(o_orderdate) AS period,
+              CASE WHEN year(o_orderdate) < 1998 THEN o_totalprice ELSE o_totalprice + 1 END AS value,
+              CASE WHEN year(o_orderdate) < 1998 THEN 'first' ELSE 'second' END AS footnote_codes
+       FROM orders"""
+)
+def silver_first_arrival(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as observations, one row per key in each landing. The second landing brings all of them with corrected
+    values, of which only the keys that the first one lacked are taken; all columns are returned."""
+    work = fresh_folder(spark, "first-arrival")
+    orders = inputs.table(spark, folder, "orders")
+    text = [
+        F.concat(inputs.text("o_orderkey"), F.lit(inputs.PAD)).alias("series_id"),
+        inputs.text(F.year("o_orderdate")).alias("year"),
+        F.concat(F.lit("Q0"), inputs.text(F.quarter("o_orderdate"))).alias("period"),
+    ]
+    first = orders.filter(F.year("o_orderdate") < 1998).select(
+        *text, inputs.text("o_totalprice").alias("value"), F.lit("first").alias("footnote_codes")
+    )
+    second = orders.select(
+        *text, inputs.text(F.col("o_totalprice") + 1).alias("value"), F.lit("second").alias("footnote_codes")
+    )
+    for snapshot, at in ((first, FIRST), (second, SECOND)):
+        land_snapshot(snapshot, work, "data", at, file_format="csv", **TSV)
+        run(trim_headers(tsv_stream(spark, f"{work}/data*")), work, "bronze")
+        silver = run_silver(lambda bronze: refine(bronze, OBSERVATIONS), spark, work)
+    return silver.drop(LINEAGE)
+
+
 @query(
     """SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '-' || l_linenumber AS series_id,
               CAST(year(l_shipdate) AS INTEGER) AS year, 'Q0' || quarter(l_shipdate) AS period,
@@ -384,6 +410,44 @@ def clean_lookups(
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
+BRONZE_LOOKUPS = """SELECT 'series' AS lookup, CAST(s_suppkey AS VARCHAR) || '      ' AS code,
+              lpad(CAST(s_nationkey AS VARCHAR), 2, '0') || '      ' AS meaning FROM supplier
+       UNION ALL SELECT 'measure', lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || '      ', n_name || '      ' FROM nation
+       UNION ALL SELECT 'sector', lpad(CAST(r_regionkey AS VARCHAR), 2, '0') || '      ', r_name || '      ' FROM region"""
+
+
+def store_lookups(spark: SparkSession, folder: str, work: str, land: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The three lookups landed under their own names and stored as bronze tables: text with its padding."""
+    schema = new_schema(spark, work)
+    sources = {
+        "series": ("bronze_bls_series", inputs.series(spark, folder), ("series_id", "measure_code")),
+        "measure": ("bronze_bls_measure", inputs.measures(spark, folder), ("measure_code", "measure_text")),
+        "sector": ("bronze_bls_sector", inputs.sectors(spark, folder), ("sector_code", "sector_name")),
+    }
+    started = []
+    for name, (table, df, _) in sources.items():
+        land_tsv(df, f"{work}/raw", f"pr.{name}")
+        landed = trim_headers(tsv_stream(spark, f"{work}/raw/{GLOBS[table]}"))
+        started.append(start_append(land(landed), f"{work}/checkpoint-{name}", table=f"{schema}.{table}"))
+    finish(started)
+    parts = [
+        spark.table(f"{schema}.{table}").select(F.lit(name).alias("lookup"), F.col(code).alias("code"), F.col(meaning).alias("meaning"))
+        for name, (table, _, (code, meaning)) in sources.items()
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+@query(BRONZE_LOOKUPS)
+def bronze_lookups(spark: SparkSession, folder: str) -> DataFrame:
+    return store_lookups(spark, folder, fresh_folder(spark, "bronze-lookups"), lambda landed: landed)
+
+
+@query(BRONZE_LOOKUPS)
+def bronze_lookups_sql(spark: SparkSession, folder: str) -> DataFrame:
+    work = fresh_folder(spark, "bronze-lookups-sql")
+    return store_lookups(spark, folder, work, lambda landed: sql.bronze(spark, landed))
+
+
 @query(LOOKUPS)
 def silver_lookups(spark: SparkSession, folder: str) -> DataFrame:
     return clean_lookups(spark, folder, fresh_folder(spark, "lookups"), refine)
@@ -469,6 +533,23 @@ def materialized_table(spark: SparkSession, folder: str) -> DataFrame:
     return publish(result, f"{schema}.best_year", "Best year per series", {"layer": "gold"})
 
 
+@query(
+    """SELECT 'Customers per nation' AS comment, 'gold' AS layer, count(DISTINCT c_nationkey) AS nations,
+              count(*) AS customers FROM customer"""
+)
+def table_description(spark: SparkSession, folder: str) -> DataFrame:
+    """Comment and properties of a published table, read back from the catalog beside its rows."""
+    schema = new_schema(spark, fresh_folder(spark, "described"))
+    counted = inputs.table(spark, folder, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    stored = publish(counted, f"{schema}.customers", "Customers per nation", {"layer": "gold"})
+    properties = spark.sql(f"SHOW TBLPROPERTIES {schema}.customers").filter("key = 'layer'").first()
+    comment = spark.catalog.getTable(f"{schema}.customers").description
+    return stored.agg(
+        F.lit(comment).alias("comment"), F.lit(properties["value"]).alias("layer"),
+        F.count("c_nationkey").alias("nations"), F.sum("n").alias("customers"),
+    )
+
+
 @query(PAIRED_SQL)
 def materialized_sql_table(spark: SparkSession, folder: str) -> DataFrame:
     """The result of a SQL text stored as a table."""
@@ -484,27 +565,21 @@ def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     work = fresh_folder(spark, "refresh")
     token = work.rsplit("-", 1)[1]
     layout = Layout(
-        productivity_raw=f"{work}/files/*",
+        productivity_raw=f"{work}/files",
         population_raw=f"{work}/raw/*",
         bronze_population_folder=f"{work}/bronze_population",
         checkpoints=f"{work}/checkpoints",
         productivity=f"bls_{token}",
         population=f"datausa_{token}",
         analytics=f"analytics_{token}",
-        globs={
-            "bronze_bls_data": "*.obs",
-            "bronze_bls_series": "*.ser",
-            "bronze_bls_measure": "*.mea",
-            "bronze_bls_sector": "*.sec",
-        },
     )
     for schema in (layout.productivity, layout.population, layout.analytics):
         spark.sql(f"CREATE SCHEMA {schema} LOCATION '{work}/{schema}'")
     data = inputs.observations(spark, folder).withColumn("footnote_codes", F.lit("R"))
-    land_tsv(data, f"{work}/files", "data", extension="obs")
-    land_tsv(inputs.series(spark, folder), f"{work}/files", "series", extension="ser")
-    land_tsv(inputs.measures(spark, folder), f"{work}/files", "measure", extension="mea")
-    land_tsv(inputs.sectors(spark, folder), f"{work}/files", "sector", extension="sec")
+    land_tsv(data, f"{work}/files", "pr.data.1.AllData")
+    land_tsv(inputs.series(spark, folder), f"{work}/files", "pr.series")
+    land_tsv(inputs.measures(spark, folder), f"{work}/files", "pr.measure")
+    land_tsv(inputs.sectors(spark, folder), f"{work}/files", "pr.sector")
     land_population(spark, folder, work)
     _, verdicts = run_all(
         spark, layout, nation=NATION, years=(1996, 1998), series_id=SERIES_ID, period="Q01", scale=2
