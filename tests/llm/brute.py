@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -96,3 +97,35 @@ def contaminated_words(text: str | None, items: list[str | None], window: int =
                 if own[i : i + len(part)] == part:
                     found.update(range(i, i + len(part)))
     return found
+
+
+def mixture(rows: list[tuple[int, str | None, str | None]]) -> dict[int, int]:
+    """How often a mixture takes each of (id, text, source)."""
+    size = {i: len(WORD.findall(t or "")) for i, t, _ in rows}
+    sources = sorted({s for _, _, s in rows}, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sources)}
+    total = {s: sum(size[i] for i, _, source in rows if source == s) for s in sources}
+    target = dict.fromkeys(sources, 0.0)
+    free, rest = set(sources), float(sum(total.values()))
+    while free:
+        share = rest / sum(weight[s] for s in free)
+        above = {s for s in free if share * weight[s] >= 3 * total[s]}
+        for s in above or free:
+            target[s] = 3.0 * total[s] if above else share * weight[s]
+        rest -= sum(3.0 * total[s] for s in above)
+        free -= above or free
+    copies = {}
+    for s in sources:
+        keyed = []
+        for i, text, source in rows:
+            if source == s:
+                text = text or ""
+                quality = max(0.1, len(re.sub("[#*$%&|<>!0-9]+", "", text)) / len(text)) if text else 1.0
+                digest = hashlib.md5(f"mix-1:{i}:{hashlib.md5(text.encode()).hexdigest()}".encode()).hexdigest()
+                keyed.append((-math.log((int(digest[:13], 16) + 0.5) / 2**52) / quality, i))
+        epochs = int(target[s] // total[s]) if total[s] else 0
+        rest_of_it, upto = target[s] - epochs * total[s], 0
+        for _, i in sorted(keyed):
+            upto += size[i]
+            copies[i] = epochs + (size[i] > 0 and upto - size[i] / 2 <= rest_of_it)
+    return copies
