@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.llm.common import free_name, remainder
@@ -20,9 +20,10 @@ from tierloom.llm.common import free_name, remainder
 COLUMNS = 1 << 15
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.1
-# Training takes this many documents of each language, those with the smallest hashes of their ids.
+# Training takes about this many documents of each language, chosen by hashes of their ids.
 DOCS_PER_LANGUAGE = 4000
-# Languages a model may hold: with COLUMNS doubles each, at most 64 MiB are broadcast.
+HASHES = 1 << 20
+# Languages a model may hold, the most frequent ones: with COLUMNS doubles each, at most 64 MiB are broadcast.
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
 
@@ -58,16 +59,16 @@ def columns_of(text: str, columns: int = COLUMNS) -> np.ndarray:
 def learn(docs: DataFrame, text: str, language: str, id_column: str, train: Column, docs_per_language: int) -> dict:
     """Names of the languages and their log-probabilities (one row per language, the prior in a last column)."""
     usable = docs.filter(train & F.col(language).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(id_column).alias("id"), F.col(language).alias("language"), F.col(text).alias("text")
+        F.col(language).alias("language"), F.col(text).alias("text"), F.xxhash64(F.col(id_column).cast("string")).alias("hash")
     )
-    by_hash = Window.partitionBy("language").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    ranked = usable.select("id", "language", F.row_number().over(by_hash).alias("place"))
-    # At most docs_per_language ids for each of at most MAX_LANGUAGES languages; each task cuts its own rows first.
-    chosen = ranked.filter(F.col("place") <= docs_per_language).select("id", "language")
-    bound = docs_per_language * MAX_LANGUAGES
-    if chosen.limit(bound + 1).count() > bound:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    sample = usable.join(F.broadcast(chosen), ["id", "language"], "left_semi").select("language", "text")
+    sizes = usable.groupBy("language").count().orderBy(F.desc("count"), "language").limit(MAX_LANGUAGES).collect()
+    if not sizes:
+        return {"names": [], "matrix": np.empty((0, COLUMNS + 1))}
+    # The share of hashes that gives about docs_per_language documents, whatever the size of the table.
+    share = {row["language"]: min(1.0, docs_per_language / row["count"]) for row in sizes}
+    limit = F.create_map(*[F.lit(x) for name, part in share.items() for x in (name, int(part * HASHES))])
+    chosen = F.pmod(F.col("hash"), F.lit(HASHES)) < F.coalesce(F.try_element_at(limit, F.col("language")), F.lit(0))
+    sample = usable.filter(chosen).select("language", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
