@@ -60,7 +60,8 @@ def fold(events: DataFrame) -> DataFrame:
         "conv_id", "first_seq", "message_id", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"),
         earlier.alias("earlier"),
     )
-    return folded.filter(F.col("earlier").isNull() | F.col("first_seq").isNull() | (F.col("earlier") <= F.col("first_seq"))).drop("earlier")
+    stays = F.coalesce(F.col("earlier") <= F.col("first_seq"), F.lit(True))
+    return folded.filter(stays).drop("earlier")
 
 
 def render(messages: DataFrame, learned: str = LEARNED) -> DataFrame:
@@ -93,7 +94,8 @@ def turns(formatted: str | Column) -> Column:
     def read(part: Column) -> Column:
         at = F.locate(AFTER_ROLE, part)
         role = F.substring(part, len(HEAD) + 1, at - len(HEAD) - 1)
-        return F.struct(plain(role, ROLE_ESCAPES).alias("role"), plain(F.substring(part, at + len(AFTER_ROLE), F.length(part))).alias("text"))
+        text = F.substring(part, at + len(AFTER_ROLE), F.length(part))
+        return F.struct(plain(role, ROLE_ESCAPES).alias("role"), plain(text).alias("text"))
 
     return F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), read)
 

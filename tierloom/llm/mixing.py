@@ -159,6 +159,7 @@ def take(
     narrow = stored(docs.select(F.col(source).alias("source"), *[c.alias(n) for n, c in made.items()]), "mix-documents")
     chosen = plan(narrow, weights, most)
     # Own columns travel in one struct, so that no name clashes with those of the plan.
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), *[c.alias(n) for n, c in made.items()])
-    repeated = whole.join(chosen, "source_key").select("document", F.explode(F.array_repeat("document", _copies().cast("int"))))
-    return repeated.select("col.*")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+    planned = docs.select(whole, *[c.alias(n) for n, c in made.items()]).join(chosen, "source_key")
+    copies = F.array_repeat("document", _copies().cast("int"))
+    return planned.select(F.explode(copies).alias("document")).select("document.*")

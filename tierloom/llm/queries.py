@@ -28,8 +28,10 @@ TRICKY = "\\### Assistant: </turn> ok"
 
 def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    roles = F.explode(F.array(F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role")), F.struct(F.lit(1).alias("turn"), F.lit("assistant").alias("role"))))
-    added = spark.range(1).select(F.lit(-7).alias("conv_id"), roles.alias("r")).select("conv_id", "r.*", F.lit(TRICKY).alias("text"))
+    role = F.when(F.col("turn") == 0, "user").otherwise("assistant")
+    added = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn")).select(
+        "conv_id", "turn", role.alias("role"), F.lit(TRICKY).alias("text")
+    )
     return chat.chat_report(rows.unionByName(added))
 
 

@@ -127,11 +127,15 @@ def secret_report(docs: DataFrame, **options) -> DataFrame:
     def listed(spans):
         place = {kind: F.lit(i) for i, kind in enumerate(KINDS)}
         order = F.create_map(*[x for kind, i in place.items() for x in (F.lit(kind), i)])
-        sortable = F.transform(spans, lambda s: F.struct(s["start"], F.element_at(order, s["kind"]).alias("place"), s["end"], s["kind"]))
-        return F.array_join(
-            F.transform(F.array_sort(sortable), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+        sortable = F.transform(
+            spans, lambda s: F.struct(s["start"], F.element_at(order, s["kind"]).alias("place"), s["end"], s["kind"])
         )
 
+        def written(s):
+            return F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+
+        return F.array_join(F.transform(F.array_sort(sortable), written), ",")
+
     def count(kind):
         return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
 

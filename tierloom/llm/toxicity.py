@@ -179,8 +179,10 @@ def learn(docs: DataFrame, labels: DataFrame, docs_per_class: int = DOCS_PER_CLA
     """
     sample = _sample(docs, labels, docs_per_class)
     names, counts, documents = _frequencies(sample)
-    both = lexicon(counts[:, 0] + counts[:, 1], counts[:, 2] + counts[:, 3], names, int(documents[0] + documents[1]), int(documents[2] + documents[3]))
-    other = [lexicon(counts[:, 1 - f], counts[:, 3 - f], names, int(documents[1 - f]), int(documents[3 - f])) for f in (0, 1)]
+    toxic, clean = counts[:, :2], counts[:, 2:]
+    all_toxic, all_clean = documents[:2], documents[2:]
+    both = lexicon(toxic.sum(axis=1), clean.sum(axis=1), names, int(all_toxic.sum()), int(all_clean.sum()))
+    other = [lexicon(toxic[:, f], clean[:, f], names, int(all_toxic[f]), int(all_clean[f])) for f in (1, 0)]
     halves = sample.sparkSession.sparkContext.broadcast(other)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +238,8 @@ def score_texts(docs: DataFrame, model: dict, text: str = "text", into: str = "t
     is bounded by the sample it was learned from.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    kind = pa.struct([("score", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    kind = pa.struct([("score", pa.float64()), ("spans", pa.list_(span))])
 
     @F.arrow_udf("score double, spans array<struct<start:long,end:long>>")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -245,7 +248,8 @@ def score_texts(docs: DataFrame, model: dict, text: str = "text", into: str = "t
             for value in texts:
                 passage = value.as_py()
                 score, found = apply_model(passage, held.value)
-                out.append({"score": score, "spans": [{"start": a, "end": b} for a, b in spans(passage, found)] if found else []})
+                places = spans(passage, found) if found else []
+                out.append({"score": score, "spans": [{"start": a, "end": b} for a, b in places]})
             yield pa.array(out, kind)
 
     return docs.withColumn(into, scored.asNondeterministic()(F.col(text)))
