@@ -111,7 +111,7 @@ def test_streams_shuffle_once_and_keep_their_state_by_key(spark, name, monkeypat
     assert stateful
     for text in stateful:
         assert text.count("Exchange ") == 1 and "Exchange hashpartitioning" in text
-        assert text.index("StreamingDeduplicate") < text.index("Exchange ") < text.index("MapInArrow")
+        assert text.index("StreamingDeduplicate") < text.index("Exchange ") < text.index("ArrowEvalPython")
 
 
 def test_upserts_prune_partitions(spark, tmp_path):

@@ -12,7 +12,7 @@ from conftest import DATA, rows
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from tierloom.operators.dedup import _prune, distinct_rows, first_arrival, watermarked_first_arrival
+from tierloom.operators.dedup import _first_seen, distinct_rows, first_arrival, watermarked_first_arrival
 from tierloom.operators.expectations import enforce, not_null, stream_report
 from tierloom.plans import sql
 from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, refine, refine_distinct, refine_latest
@@ -60,8 +60,8 @@ def test_hot_key_is_thinned_before_the_state(spark, tmp_path):
 
 
 def batches_of(rows, size):
-    table = pa.Table.from_pylist([{"k": k, "n": n, "v": i, "_key_hash": h} for i, (k, n, h) in enumerate(rows)])
-    return table.to_batches(max_chunksize=size)
+    table = pa.Table.from_pylist([{"h": h, "k": k, "n": n} for k, n, h in rows])
+    return (tuple(batch.columns) for batch in table.to_batches(max_chunksize=size))
 
 
 @pytest.mark.parametrize("remembered", [0, 1, 100])
@@ -74,24 +74,23 @@ def test_pruning_is_exact(remembered, size):
         number = rng.choice([None, 1])
         # Few hash values, so that different keys collide.
         data.append((key, number, (sum(map(ord, key or "")) + (number or 0)) % 5))
-    left = [row for batch in _prune(["k", "n"], remembered)(iter(batches_of(data, size))) for row in batch.to_pylist()]
+    flags = [flag for batch in _first_seen(remembered)(batches_of(data, size)) for flag in batch.to_pylist()]
     first = {}
     for position, (key, number, _) in enumerate(data):
         first.setdefault((key, number), position)
-    kept = [row["v"] for row in left]
-    assert kept == sorted(kept) and set(first.values()) <= set(kept)
-    assert all(set(row) == {"k", "n", "v"} for row in left)
+    kept = [position for position, flag in enumerate(flags) if flag]
+    assert len(flags) == len(data) and set(first.values()) <= set(kept)
     if size == 1000:
         assert len(kept) >= len(first)
 
 
 def test_workers_need_not_import_the_package(tmp_path):
-    (tmp_path / "f.bin").write_bytes(cloudpickle.dumps(_prune(["k", "n"], 10)))
+    (tmp_path / "f.bin").write_bytes(cloudpickle.dumps(_first_seen(10)))
     program = (
         "import pickle, sys, pyarrow as pa\n"
         "f = pickle.load(open(sys.argv[1], 'rb'))\n"
-        "t = pa.table({'k': ['a', 'a'], 'n': [1, 1], '_key_hash': [5, 5]})\n"
-        "assert sum(b.num_rows for b in f(iter(t.to_batches()))) == 1 and 'tierloom' not in sys.modules\n"
+        "columns = (pa.array([5, 5]), pa.array(['a', 'a']), pa.array([1, 1]))\n"
+        "assert next(f(iter([columns]))).to_pylist() == [True, False] and 'tierloom' not in sys.modules\n"
     )
     environment = {**os.environ, "PYTHONPATH": ""}
     command = [sys.executable, "-c", program, str(tmp_path / "f.bin")]

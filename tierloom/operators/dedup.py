@@ -13,7 +13,6 @@ from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 # Keys that a task remembers as repeating, over all its batches.
 REMEMBERED = 4096
-_HASH = "_key_hash"
 
 
 def first_arrival(df: DataFrame, keys: Sequence[str], thin: bool = True, remembered: int = REMEMBERED) -> DataFrame:
@@ -44,52 +43,47 @@ def drop_copies_in_task(df: DataFrame, keys: Sequence[str], remembered: int = RE
     """Leave out rows whose key an earlier row of the same Arrow batch has, or is known to repeat in the same task.
 
     Only certain copies go: hashes, computed by Spark, pick candidates, and the keys themselves are compared. What is
-    left may still hold copies, so an exact step has to follow.
+    left may still hold copies, so an exact step has to follow. Only the keys and their hash go through Arrow; the other
+    columns stay where they are.
     """
     nested = (ArrayType, MapType, StructType, VariantType)
     if any(isinstance(df.schema[key].dataType, nested) for key in keys):
         return df
-    hashed = df.withColumn(_HASH, F.xxhash64(*keys))
-    return hashed.mapInArrow(_prune(list(keys), remembered), df.schema)
+    first = F.arrow_udf(_first_seen(remembered), "boolean").asNondeterministic()
+    return df.filter(first(F.xxhash64(*keys), *[F.col(key) for key in keys]))
 
 
-def _prune(keys: list[str], remembered: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _first_seen(remembered: int) -> Callable[[Iterator[tuple[pa.Array, ...]]], Iterator[pa.Array]]:
     """The function for the tasks. It holds all it needs, so that workers do not have to import this package."""
-    key_hash = _HASH
 
     def same_keys(rows: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         same = np.ones(len(left), dtype=bool)
-        for key in keys:
-            column = rows.column(key)
+        for column in rows.columns[1:]:
             a, b = column.take(pa.array(left)), column.take(pa.array(right))
             equal = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
             same &= equal.to_numpy()
         return same
 
-    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first_seen(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         # Keys that repeated in an earlier batch stand before the rows of the current one.
         repeating = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            payload = rows.drop_columns([key_hash])
-            seen = rows.select([*keys, key_hash])
-            if repeating is not None:
-                seen = pa.concat_tables([repeating, seen])
+        for columns in batches:
+            rows = pa.table(list(columns), names=[str(i) for i in range(len(columns))])
+            seen = rows if repeating is None else pa.concat_tables([repeating, rows])
             offset = seen.num_rows - rows.num_rows
-            hashes = seen.column(key_hash).to_numpy()
+            hashes = seen.column(0).to_numpy()
             _, first, group = np.unique(hashes, return_index=True, return_inverse=True)
             leader = first[group]
             candidates = np.flatnonzero(leader != np.arange(len(hashes)))
             copies = candidates[same_keys(seen, candidates, leader[candidates])]
+            keep = np.ones(rows.num_rows, dtype=bool)
             if len(copies):
-                keep = np.ones(rows.num_rows, dtype=bool)
                 keep[copies - offset] = False
-                payload = payload.filter(pa.array(keep))
                 found = np.unique(leader[copies])
                 found = found[found >= offset][: max(0, remembered - offset)]
                 if len(found):
                     fresh = seen.take(pa.array(found))
                     repeating = fresh if repeating is None else pa.concat_tables([repeating, fresh])
-            yield from payload.to_batches()
+            yield pa.array(keep)
 
-    return prune
+    return first_seen

@@ -116,7 +116,8 @@ def recorded_report(
             raise
         # No micro-batch had any rows.
         batches = spark.createDataFrame([], COUNTS)
-    once = batches.filter(F.col("observation") == observe_as).groupBy("query", "batch", "counter").agg(F.max("value").alias("value"))
+    observed = batches.filter(F.col("observation") == observe_as)
+    once = observed.groupBy("query", "batch", "counter").agg(F.max("value").alias("value"))
 
     def total(counter: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("counter") == counter, F.col("value"))), F.lit(0))

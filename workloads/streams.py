@@ -431,7 +431,9 @@ def store_lookups(spark: SparkSession, folder: str, work: str, land: Callable[[D
         started.append(start_append(land(landed), f"{work}/checkpoint-{name}", table=f"{schema}.{table}"))
     finish(started)
     parts = [
-        spark.table(f"{schema}.{table}").select(F.lit(name).alias("lookup"), F.col(code).alias("code"), F.col(meaning).alias("meaning"))
+        spark.table(f"{schema}.{table}").select(
+            F.lit(name).alias("lookup"), F.col(code).alias("code"), F.col(meaning).alias("meaning")
+        )
         for name, (table, _, (code, meaning)) in sources.items()
     ]
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
