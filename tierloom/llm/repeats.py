@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.llm.common import as_text, stored
@@ -247,9 +247,12 @@ _KEYS = ["k1", "k2"]
 def _keyed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """k1, k2 (hashes of id and text, by which rows are found again) and text, null as empty."""
     value = as_text(text)
-    return docs.select(
-        F.xxhash64(F.coalesce(F.col(id_column).cast("string"), F.lit(""))).alias("k1"), F.xxhash64(value).alias("k2"), value.alias("text")
-    )
+    return docs.select(*_row_keys(id_column, text), value.alias("text"))
+
+
+def _row_keys(id_column: str, text: str) -> list[Column]:
+    name = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
+    return [F.xxhash64(name).alias("k1"), F.xxhash64(as_text(text)).alias("k2")]
 
 
 def _find_anchors(keyed: DataFrame, length: int, window: int) -> DataFrame:
@@ -333,12 +336,19 @@ def _halved(large: DataFrame, first: int, last: int, length: int) -> DataFrame:
     The new key is made of the old one, the half, and the bytes that all strings of the half share.
     """
     middle = (first + last) // 2
-    halves = F.array(*[F.struct(F.lit(a).cast("long").alias("x"), F.lit(b).cast("long").alias("y")) for a, b in ((first, middle), (middle + 1, last))])
+
+    def half(a: int, b: int) -> Column:
+        return F.struct(F.lit(a).cast("long").alias("x"), F.lit(b).cast("long").alias("y"))
+
+    halves = F.array(half(first, middle), half(middle + 1, last))
     spread = large.withColumn("half", F.explode(halves))
     low, high = F.greatest("low", F.col("half.x")), F.least("high", F.col("half.y"))
-    cut = spread.select("core", *_KEYS, "single", "at", "data", F.col("high").alias("from"), low.alias("low"), high.alias("high"), "half").filter("low <= high")
+    cut = spread.select(
+        "core", *_KEYS, "single", "at", "data", F.col("high").alias("from"), low.alias("low"), high.alias("high"), "half"
+    ).filter("low <= high")
     data, start = F.col("data"), F.col("from") - F.col("high") + 1
-    shared = F.substring(data, (F.col("from") - F.col("half.x") + 1).cast("int"), (F.col("half.x") + length - F.col("half.y")).cast("int"))
+    x, y = F.col("half.x"), F.col("half.y")
+    shared = F.substring(data, (F.col("from") - x + 1).cast("int"), (x + length - y).cast("int"))
     own = F.substring(data, start.cast("int"), (F.col("high") - F.col("low") + length).cast("int"))
     return cut.select(
         F.xxhash64("core", "half.x", shared).alias("core"), *_KEYS, "single", "at", "low", "high", own.alias("data"),
@@ -381,8 +391,7 @@ def _edge_ranges(contexts: DataFrame, length: int, window: int, group: int) -> D
 
 def _settled(halves: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """Cut contexts that are still distinct, once each, and ranges of those that became equal to another."""
-    by = ["core", "first", "last", "low", "high", F.xxhash64("data").alias("h1"), F.md5("data").alias("h2")]
-    named = halves.select("*", *by[5:])
+    named = halves.select("*", F.xxhash64("data").alias("h1"), F.md5("data").alias("h2"))
     keys = ["core", "first", "last", "low", "high", "h1", "h2"]
     counts = stored(
         named.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_KEYS, "at", "single", "data")).alias("one")),
@@ -407,6 +416,9 @@ def repeated_ranges(
     keyed = _keyed(docs, id_column, text)
     marks = stored(_find_anchors(keyed, length, window), "repeat-anchors")
     cores = marks.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
+    # Stored, not joined as it is: adaptive execution divides a hot core only where both sides of a join are shuffled
+    # for the join alone, and not where one comes from an aggregate by the same key.
+    cores = stored(cores, "repeat-cores")
     again = stored(marks.join(cores, "core"), "repeat-again")
     place = F.struct(*_KEYS, "at", "low", "high")
     contexts = stored(
@@ -415,8 +427,10 @@ def repeated_ranges(
     whole = again.join(contexts.filter("n > 1").select("core", "context"), ["core", "context"]).select(
         *_KEYS, (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + length).alias("end")
     )
-    mixed = contexts.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1")
-    wanted = contexts.join(mixed.select("core"), "core").select("core", (F.col("n") == 1).alias("single"), "one.*")
+    mixed = contexts.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
+    mixed = mixed.filter("kinds > 1 and least = 1")
+    mixed = stored(mixed.select("core"), "repeat-mixed")
+    wanted = contexts.join(mixed, "core").select("core", (F.col("n") == 1).alias("single"), "one.*")
     data = _find_contexts(keyed, wanted, length)
     return whole.unionByName(_edge_ranges(data, length, window, group))
 
@@ -460,10 +474,9 @@ def remove_repeats(
 
     plain = docs.drop(into)
     own = F.struct(*[F.col(f"`{c}`") for c in plain.columns]).alias("row")
-    value = as_text(text)
-    keys = [F.xxhash64(F.coalesce(F.col(id_column).cast("string"), F.lit(""))).alias("k1"), F.xxhash64(value).alias("k2")]
-    joined = plain.select(own, *keys, value.alias("text")).join(lists, _KEYS, "left")
-    return joined.select("row", cut.asNondeterministic()(F.col("text"), F.col("ranges")).alias("result")).select("row.*", F.col("result").alias(into))
+    joined = plain.select(own, *_row_keys(id_column, text), as_text(text).alias("text")).join(lists, _KEYS, "left")
+    result = cut.asNondeterministic()(F.col("text"), F.col("ranges"))
+    return joined.select("row", result.alias("result")).select("row.*", F.col("result").alias(into))
 
 
 
