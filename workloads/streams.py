@@ -540,15 +540,16 @@ def materialized_table(spark: SparkSession, folder: str) -> DataFrame:
               count(*) AS customers FROM customer"""
 )
 def table_description(spark: SparkSession, folder: str) -> DataFrame:
-    """Comment and properties of a published table, read back from the catalog beside its rows."""
+    """Comment and properties of a published table, read back from the catalog beside its rows; column names hold spaces."""
     schema = new_schema(spark, fresh_folder(spark, "described"))
-    counted = inputs.table(spark, folder, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    nations = inputs.table(spark, folder, "customer").groupBy(F.col("c_nationkey").alias("Nation ID"))
+    counted = nations.agg(F.count(F.lit(1)).alias("Customers (all)"))
     stored = publish(counted, f"{schema}.customers", "Customers per nation", {"layer": "gold"})
     properties = spark.sql(f"SHOW TBLPROPERTIES {schema}.customers").filter("key = 'layer'").first()
     comment = spark.catalog.getTable(f"{schema}.customers").description
     return stored.agg(
         F.lit(comment).alias("comment"), F.lit(properties["value"]).alias("layer"),
-        F.count("c_nationkey").alias("nations"), F.sum("n").alias("customers"),
+        F.count("`Nation ID`").alias("nations"), F.sum("`Customers (all)`").alias("customers"),
     )
 
 
