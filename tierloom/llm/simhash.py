@@ -171,7 +171,8 @@ def similar(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
     found = None
     while True:
         # Counting gathers nothing; keys of one fingerprint end here.
-        sizes = level.groupBy("path", "bits").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        # Stored before the join, so that adaptive execution can divide a key with many of them.
+        sizes = stored(level.groupBy("path", "bits").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "simhash-sizes")
         shared = stored(level.join(sizes, ["path", "bits"]), "simhash-shared")
         small = shared.filter(F.col("n") <= bucket).groupBy("path", "bits").agg(F.collect_list("value").alias("values"))
         edges = stored(_compare(small, radius), "simhash-edges")
@@ -185,12 +186,10 @@ def similar(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
             for n, part in enumerate(_cut(paths[path], radius + 1)):
                 further[f"{path}.{n}"] = [b for b in paths[path] if b not in part]
                 kept = _mask([b for b in range(64) if b not in further[f"{path}.{n}"]])
-                cuts.append(
-                    F.when(
-                        F.col("path") == path,
-                        F.struct(F.lit(f"{path}.{n}").alias("path"), F.col("value").bitwiseAND(F.lit(kept)).alias("bits")),
-                    )
+                finer_key = F.struct(
+                    F.lit(f"{path}.{n}").alias("path"), F.col("value").bitwiseAND(F.lit(kept)).alias("bits")
                 )
+                cuts.append(F.when(F.col("path") == path, finer_key))
         finer = large.select("value", F.explode(F.array_compact(F.array(*cuts))).alias("k"))
         level, paths = finer.select("value", "k.path", "k.bits"), further
 
@@ -233,7 +232,7 @@ def keep_representatives(docs: DataFrame, id_column: str = "doc_id", text: str =
     found = stored(classes(docs, id_column, text, **options), "simhash-classes")
     first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = stored(first.groupBy("doc_id", "root").agg(F.count(F.lit(1)).alias("n")), "simhash-chosen")
-    key, mark = free_name(docs, "chosen_id"), free_name(docs, "chosen_print")
+    key, mark, group = (free_name(docs, name) for name in ("chosen_id", "chosen_print", "chosen_root"))
     plain = chosen.filter("n = 1 and doc_id is not null").select(F.col("doc_id").alias(key))
     once = docs.join(plain, F.col(id_column) == F.col(key), "left_semi")
     several = chosen.filter("n > 1 or doc_id is null")
@@ -241,7 +240,9 @@ def keep_representatives(docs: DataFrame, id_column: str = "doc_id", text: str =
         return once
     # Rows that share their id, or have none: one row of each root, told by the fingerprint.
     wanted = several.select("root").join(found.select("fingerprint", "root", "component_id").distinct(), "root")
-    prints = wanted.select(F.col("fingerprint").alias(mark), F.col("root").alias("__root"), F.col("component_id").alias(key))
+    prints = wanted.select(
+        F.col("fingerprint").alias(mark), F.col("root").alias(group), F.col("component_id").alias(key)
+    )
     marked = fingerprints(docs, text, mark).join(prints, mark)
-    same = marked.filter(F.col(id_column).eqNullSafe(F.col(key))).dropDuplicates(["__root"])
+    same = marked.filter(F.col(id_column).eqNullSafe(F.col(key))).dropDuplicates([group])
     return once.unionByName(same.select(docs.columns))
