@@ -1,6 +1,7 @@
 """The parts of the operators that run without Spark, against plain versions."""
 
 import random
+import string
 
 import brute
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tierloom.llm import decontaminate, repeats, secret_scan, sharding, simhash, toxicity
+from tierloom.llm import common, decontaminate, repeats, secret_scan, sharding, simhash, toxicity
 
 
 @pytest.mark.parametrize("rows", [1, 2, 3, 40, 41, 1000, 4097])
@@ -103,6 +104,39 @@ def test_random_strings_and_what_is_known():
     assert secret_scan.is_known("6ba7b810-9dad-11d1-80b4-00c04fd430c8") and not secret_scan.is_known("a1-b2c3d4")
 
 
+def test_random_letters_and_random_parts():
+    encode = secret_scan.encoder(secret_scan.vocabulary(secret_scan.VOCABULARY))
+    key = "xK9vQ2mZ7pL4wR8tB3nY6cJ1"
+
+    def found(text):
+        return [text[a:b] for a, b, _ in secret_scan.random_spans(text, encode, 2.0, secret_scan.base_spans(text))]
+
+    chosen = random.Random(4)
+    for n in (20, 32, 40):
+        words = ["".join(chosen.choices(string.ascii_letters, k=n)) for _ in range(100)]
+        assert all(found(w) == [w] for w in words if n < 2.0 * len(encode(w)))
+        assert sum(n < 2.0 * len(encode(w)) for w in words) > 95
+    words = ["".join(chosen.choices(string.ascii_letters + string.digits, k=24)) for _ in range(200)]
+    assert all(any(w in span for span in found(f"deploy/production/credentials/{w}")) for w in words)
+    long = "/deployment/production/credentials/of/the/company/"
+    assert found(f"see{long}{key}{long}end") == [key]
+    assert found(f"{key}/password=hunter22 then AKIA{'Z' * 16}/{key}") == [key, key]
+    assert found(f"6ba7b810-9dad-11d1-80b4-00c04fd430c8/{key}") == [key]
+    for name in ("MAXIMUM_CONNECTION_TIMEOUT", "getElementsByTagNameNS", "2024-01-05-13-22-11-0001", long * 9, "83910" * 9):
+        assert found(name) == []
+
+
+@given(st.lists(st.integers(-3, 3), max_size=14))
+def test_maximal_stretches(scores):
+    found = list(common.maximal_stretches(scores))
+    sums = [sum(scores[a : b + 1]) for a, b in found]
+    assert all(s > 0 for s in sums) and found == sorted(found) and all(a[1] < b[0] for a, b in zip(found, found[1:]))
+    every = [sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+    assert max(sums, default=0) == max([0, *every])
+    covered = {i for a, b in found for i in range(a, b + 1)}
+    assert all(i in covered for i, s in enumerate(scores) if s > 0)
+
+
 @given(st.text(alphabet="aB1-é ", max_size=40), st.lists(st.text(alphabet="aB1 é", max_size=12), max_size=3))
 def test_contaminated_words(text, items):
     machine = decontaminate.automaton([(str(i), item) for i, item in enumerate(items)], 3)

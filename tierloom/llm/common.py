@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,3 +54,30 @@ def arrow_step(function: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> C
                     yield out
 
     return run
+
+
+def maximal_stretches(scores: Iterable[float]) -> Iterator[tuple[int, int]]:
+    """(first, last) of all maximal scoring stretches, by Ruzzo and Tompa's linear scan."""
+    total = 0.0
+    # Candidates: first, last, total before and after, place of the nearest candidate below that starts lower.
+    stack: list[tuple[int, int, float, float, int]] = []
+    for i, score in enumerate(scores):
+        left, total = total, total + score
+        if score <= 0:
+            continue
+        first, j = i, len(stack) - 1
+        while True:
+            while j >= 0 and stack[j][2] >= left:
+                j = stack[j][4]
+            if j < 0:
+                # Nothing before starts lower, so nothing later can reach into it.
+                yield from ((s[0], s[1]) for s in stack)
+                stack = [(first, i, left, total, -1)]
+                break
+            if stack[j][3] >= total:
+                stack.append((first, i, left, total, j))
+                break
+            first, left, following = stack[j][0], stack[j][2], stack[j][4]
+            del stack[j:]
+            j = following
+    yield from ((s[0], s[1]) for s in stack)

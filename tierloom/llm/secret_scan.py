@@ -1,8 +1,8 @@
 """Secret scanning: patterns of known kinds, and a token-efficiency test that exposes random strings.
 
 A byte-pair vocabulary spends few tokens on words it has seen and many on random text. A run of token characters whose
-characters per token are below a threshold is reported as ``random``, unless it is a known digest, an identifier or part
-of a pattern's match.
+characters per token are below a threshold is reported as ``random``; of a run above it, the stretches of parts that are
+below. Digests, UUIDs and parts that a pattern matches are left out, the rest of their run is tested.
 """
 
 from __future__ import annotations
@@ -10,13 +10,14 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from itertools import islice
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import as_text
+from tierloom.llm.common import as_text, maximal_stretches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # The vocabulary is broadcast; files beyond this size are refused.
@@ -37,8 +38,11 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_CHARS)
 # Lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 in hexadecimal digits.
 DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})")
 UUID = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}")
-# Names of things: words joined by one separator, or numbers.
+KNOWN = re.compile(rf"(?<![0-9A-Za-z])(?:{UUID.pattern}|{DIGEST.pattern})(?![0-9A-Za-z])")
+# The shape of names: words and numbers joined by one separator. Their ratio does not count separators, each a token.
 IDENTIFIER = re.compile(r"(?:[A-Za-z]+|[0-9]+)(?:[+/_=-](?:[A-Za-z]+|[0-9]+))*")
+# What separators stand between; padding belongs to the part before.
+PART = re.compile(r"[A-Za-z0-9]+(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -51,19 +55,66 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def is_known(value: str) -> bool:
-    """Digests, UUIDs and identifiers: random or not, they are no secrets."""
-    return bool(DIGEST.fullmatch(value) or UUID.fullmatch(value) or IDENTIFIER.fullmatch(value))
+    """Digests and UUIDs: random or not, they are no secrets."""
+    return bool(DIGEST.fullmatch(value) or UUID.fullmatch(value))
+
+
+def is_random(value: str, encode, least: float) -> bool:
+    pieces = PART.findall(value) if IDENTIFIER.fullmatch(value) else [value]
+    return sum(map(len, pieces)) < least * sum(len(encode(piece)) for piece in pieces)
+
+
+def stretches(
+    text: str, start: int, end: int, blocked: list[tuple[int, int]]
+) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """(start, end, parts) of what is left of a run without the parts that touch a blocked span."""
+    blocked = sorted(blocked)
+    left, kept, reach, i = start, [], -1, 0
+    for match in PART.finditer(text, start, end):
+        a, b = match.span()
+        while i < len(blocked) and blocked[i][0] < b:
+            reach = max(reach, blocked[i][1])
+            i += 1
+        if reach <= a:
+            left = a if left is None else left
+            kept.append((a, b))
+            continue
+        if kept:
+            yield left, kept[-1][1], kept
+        left, kept = None, []
+    if kept:
+        yield left, end, kept
 
 
 def random_spans(text: str, encode, least: float, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Runs with few characters per token that no pattern has matched."""
+    """Runs with few characters per token, or else the stretches of their parts with few, outside matches of patterns.
+
+    A part is what stands between separators; one that a pattern's match touches belongs to the pattern.
+    """
     found = []
+    passed = 0
     for match in CANDIDATE.finditer(text):
-        value, start, end = match.group(), match.start(), match.end()
-        if is_known(value) or any(a < end and start < b for a, b, _ in taken):
-            continue
-        if len(value) < least * len(encode(value)):
-            found.append((start, end, "random"))
+        start, end = match.span()
+        while passed < len(taken) and taken[passed][1] <= start:
+            passed += 1
+        blocked = [m.span() for m in KNOWN.finditer(text, start, end)]
+        for a, b, _ in islice(taken, passed, None):
+            if a >= end:
+                break
+            if b > start:
+                blocked.append((a, b))
+        for low, high, parts in stretches(text, start, end, blocked) if blocked else [(start, end, None)]:
+            if high - low < LEAST_CHARS:
+                continue
+            if is_random(text[low:high], encode, least):
+                found.append((low, high, "random"))
+                continue
+            parts = parts or [m.span() for m in PART.finditer(text, low, high)]
+            if len(parts) > 1:
+                excess = [least * len(encode(text[a:b])) - (b - a) for a, b in parts]
+                for i, j in maximal_stretches(excess):
+                    if parts[j][1] - parts[i][0] >= LEAST_CHARS:
+                        found.append((parts[i][0], parts[j][1], "random"))
     return found
 
 
