@@ -5,6 +5,9 @@ from conftest import rows
 from fixtures import land_first, land_second
 
 from tierloom.operators.checks import require
+from tierloom.plans.silver import SPECS
+from tierloom.sources.tables import table_stream
+from tierloom.streaming import flows
 from tierloom.streaming.flows import Layout, analyze, clean, create_schemas, ingest, run_all
 
 
@@ -135,6 +138,43 @@ def test_comments(spark, refreshed):
     assert described["Comment"].startswith("Mean and standard deviation")
 
 
+def test_counts_of_failed_refreshes_are_reported_by_the_next(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    layout = Layout(
+        str(raw / "bls"), str(raw / "people"), str(tmp_path / "bp"), str(tmp_path / "cp"),
+        productivity="bls3", population="datausa3", analytics="pa3",
+    )
+
+    def fails(*_, **__):
+        raise RuntimeError("ended")
+
+    def counted(report):
+        return {(r["table"], r["name"]): (r["passed"], r["failed"]) for r in report.collect()}
+
+    def refused(spark, name):
+        return fails() if name.endswith(SPECS[-1].source) else table_stream(spark, name)
+
+    land_first(raw)
+    create_schemas(spark, layout)
+    ingest(spark, layout)
+    for name, instead in (("table_stream", refused), ("describe", fails)):
+        with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="ended"):
+            patch.setattr(flows, name, instead)
+            clean(spark, layout)
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="ended"):
+        patch.setattr(flows, "analyze", fails)
+        run_all(spark, layout)
+    first, _ = run_all(spark, layout)
+    assert counted(first)["silver_bls_data", "valid_value"] == (13, 2)
+    assert counted(first)["silver_population", "valid_year"] == (6, 1)
+    land_second(raw)
+    ingest(spark, layout)
+    second = counted(clean(spark, layout))
+    assert 0 < sum(second["silver_bls_data", "valid_value"]) < 15
+    assert set(counted(clean(spark, layout)).values()) == {(0, 0)}
+    assert counted(first)["silver_bls_data", "valid_value"] == (13, 2)
+
+
 def test_dedup_first_order_loses_the_repaired_row(spark, tmp_path):
     raw = tmp_path / "raw"
     layout = Layout(

@@ -105,17 +105,22 @@ def recorded(progress: dict) -> list[tuple[str, int, str, str, int]]:
     ]
 
 
-def recorded_report(
-    spark: SparkSession, counts: str, observe_as: str, expectations: Sequence[Expectation]
-) -> DataFrame:
-    """The report of everything in a folder of counts. A micro-batch that was run again after a failure counts once."""
+def json_or_nothing(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The rows of a folder of JSON; none if it does not exist."""
     try:
-        batches = spark.read.schema(COUNTS).json(counts)
+        return spark.read.schema(schema).json(folder)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        # No micro-batch had any rows.
-        batches = spark.createDataFrame([], COUNTS)
+        return spark.createDataFrame([], schema)
+
+
+def recorded_report(
+    spark: SparkSession, counts: str, observe_as: str, expectations: Sequence[Expectation]
+) -> DataFrame:
+    """The report of everything in a folder of counts. A micro-batch that was run again after a failure counts once."""
+    # Without the folder no micro-batch had any rows.
+    batches = json_or_nothing(spark, counts, COUNTS)
     observed = batches.filter(F.col("observation") == observe_as)
     once = observed.groupBy("query", "batch", "counter").agg(F.max("value").alias("value"))
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tierloom.functions.columns import trim_headers
 from tierloom.operators.checks import suite
-from tierloom.operators.expectations import recorded_report
+from tierloom.operators.expectations import json_or_nothing, recorded_report
 from tierloom.plans import gold
 from tierloom.plans.checks import best_year_checks, population_checks, series_population_checks
 from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, SECTORS, SERIES, SPECS, Spec, refine
@@ -123,25 +124,47 @@ def define_over(spark: SparkSession, name: str, folder: str, schema: StructType)
 
 
 def clean(spark: SparkSession, layout: Layout, order: str = "expect_first") -> DataFrame:
-    """Silver: what bronze gained since the last run. Returns (table, name, passed, failed) of this run."""
-    started: dict[str, tuple[Spec, object]] = {}
-    for spec in SPECS:
-        rows = refine(
-            table_stream(spark, layout.name(spec.source)), spec, order=order, observe_as=spec.table
-        )
-        started[spec.table] = (
-            spec,
-            start_append(
-                rows,
-                layout.checkpoint(spec.table),
-                table=layout.name(spec.table),
-                state_partitions=layout.state_partitions,
-                partition_by=layout.partition_by.get(spec.table, ()),
-            ),
-        )
-    # A folder per run: counts of one refresh, not of all.
-    counts = f"{layout.checkpoints}/expectation_counts/{uuid.uuid4().hex}"
-    finish([query for _, query in started.values()], counts)
+    """Silver: what bronze gained since the last run. Returns (table, name, passed, failed) of every micro-batch since
+    the last run that came to its end, those of runs that failed or lost their driver in between too."""
+    number = unreported(spark, layout)
+    reports = refined(spark, layout, number, order)
+    mark_reported(spark, layout, number)
+    return reports
+
+
+def unreported(spark: SparkSession, layout: Layout) -> int:
+    """The number of the folder of counts that no finished refresh has reported."""
+    marks = json_or_nothing(spark, f"{layout.checkpoints}/expectation_reports", "number bigint")
+    return marks.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+
+
+def mark_reported(spark: SparkSession, layout: Layout, number: int) -> None:
+    marks = spark.createDataFrame([(number,)], "number bigint").coalesce(1)
+    marks.write.mode("append").json(f"{layout.checkpoints}/expectation_reports")
+
+
+def refined(spark: SparkSession, layout: Layout, number: int, order: str = "expect_first") -> DataFrame:
+    """Silver, and the report of the folder of counts ``number``, which runs share until one is marked as reported."""
+    counts = f"{layout.checkpoints}/expectation_counts/{number}"
+    started: dict[str, tuple[Spec, StreamingQuery]] = {}
+    try:
+        for spec in SPECS:
+            rows = refine(
+                table_stream(spark, layout.name(spec.source)), spec, order=order, observe_as=spec.table
+            )
+            started[spec.table] = (
+                spec,
+                start_append(
+                    rows,
+                    layout.checkpoint(spec.table),
+                    table=layout.name(spec.table),
+                    state_partitions=layout.state_partitions,
+                    partition_by=layout.partition_by.get(spec.table, ()),
+                ),
+            )
+    finally:
+        # Where one does not start, the others still end and are counted.
+        finish([query for _, query in started.values()], counts)
     reports = None
     for table, (spec, _) in started.items():
         describe(spark, layout.name(table), spec.comment)
@@ -195,8 +218,11 @@ def analyze(
 
 
 def run_all(spark: SparkSession, layout: Layout, **options) -> tuple[DataFrame, DataFrame]:
-    """One refresh of all layers: (expectation counts of this run, verdicts of the checks)."""
+    """One refresh of all layers: (expectation counts since the last finished refresh, verdicts of the checks)."""
     create_schemas(spark, layout)
     ingest(spark, layout)
-    counts = clean(spark, layout)
-    return counts, analyze(spark, layout, **options)
+    number = unreported(spark, layout)
+    counts = refined(spark, layout, number)
+    verdicts = analyze(spark, layout, **options)
+    mark_reported(spark, layout, number)
+    return counts, verdicts
