@@ -213,3 +213,23 @@ def test_conversation_rows_that_repeat_are_turns_of_their_own(spark):
 
 def test_nothing_is_gathered_without_a_checkpoint_folder(odd):
     assert common.stored(odd, "x").count() == 10
+
+
+def test_all_languages_are_learned(spark):
+    """More languages than one block, and than any number that was once a cap."""
+    names = [f"l{i:03d}" for i in range(300)]
+    letter = {name: chr(0x4E00 + 7 * i) + chr(0x3041 + i % 80) for i, name in enumerate(names)}
+    rows = [(40 * i + k, f"{letter[name]} " * 9, name) for i, name in enumerate(names) for k in range(6 if i else 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.language_report(docs).join(docs, "doc_id").collect()
+    assert len(found) == len(rows) and all(r["lang_pred"] == r["lang"] and r["score"] > 0.9 for r in found)
+
+
+def test_blocks_of_languages_do_not_matter(spark, monkeypatch):
+    rows = [(i, text, name) for i, (text, name) in enumerate([(PROSE, "en"), ("das ist ein Satz", "de"), ("la vie", "fr")] * 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = {r["doc_id"]: r for r in language.language_report(docs).collect()}
+    monkeypatch.setattr(language, "LANGUAGES_A_BLOCK", 1)
+    for r in language.language_report(docs).collect():
+        assert r["lang_pred"] == whole[r["doc_id"]]["lang_pred"]
+        assert r["score"] == pytest.approx(whole[r["doc_id"]]["score"])

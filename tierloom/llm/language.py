@@ -8,14 +8,16 @@ batch by the broadcast matrix of log-probabilities.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import free_name, remainder
+from tierloom.llm.common import free_name, remainder, stored
 
 COLUMNS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -23,8 +25,10 @@ SMOOTHING = 0.1
 # Training takes about this many documents of each language, chosen by hashes of their ids.
 DOCS_PER_LANGUAGE = 4000
 HASHES = 1 << 20
-# Languages a model may hold, the most frequent ones: with COLUMNS doubles each, at most 64 MiB are broadcast.
-MAX_LANGUAGES = 256
+# The model is broadcast in blocks of so many languages, 16 MiB each; where there are several, one is in memory at a time.
+LANGUAGES_A_BLOCK = 64
+# Texts are scored in portions of about this many counts.
+COUNTS_A_PORTION = 1 << 20
 UNKNOWN = "und"
 
 _NO_LETTERS = re.compile(r"[\W\d_]+")
@@ -56,90 +60,134 @@ def columns_of(text: str, columns: int = COLUMNS) -> np.ndarray:
     return np.concatenate(found) if found else np.empty(0, dtype=np.uint32)
 
 
-def learn(docs: DataFrame, text: str, language: str, id_column: str, train: Column, docs_per_language: int) -> dict:
-    """Names of the languages and their log-probabilities (one row per language, the prior in a last column)."""
+# Names of languages and their log-probabilities (one row per language, the prior in a last column).
+Block = tuple[list[str], np.ndarray]
+
+
+def learn(
+    docs: DataFrame, text: str, language: str, id_column: str, train: Column, docs_per_language: int
+) -> Iterator[Block]:
+    """The model of all languages, in blocks in the order of their names."""
     usable = docs.filter(train & F.col(language).isNotNull() & F.col(text).isNotNull()).select(
         F.col(language).alias("language"), F.col(text).alias("text"), F.xxhash64(F.col(id_column).cast("string")).alias("hash")
     )
-    sizes = usable.groupBy("language").count().orderBy(F.desc("count"), "language").limit(MAX_LANGUAGES).collect()
-    if not sizes:
-        return {"names": [], "matrix": np.empty((0, COLUMNS + 1))}
-    # The share of hashes that gives about docs_per_language documents, whatever the size of the table.
-    share = {row["language"]: min(1.0, docs_per_language / row["count"]) for row in sizes}
-    limit = F.create_map(*[F.lit(x) for name, part in share.items() for x in (name, int(part * HASHES))])
-    chosen = F.pmod(F.col("hash"), F.lit(HASHES)) < F.coalesce(F.try_element_at(limit, F.col("language")), F.lit(0))
-    sample = usable.filter(chosen).select("language", "text")
+    # The share of hashes that gives about docs_per_language documents, whatever the size of the table; languages with
+    # no more than that are taken whole and need not be listed.
+    large = usable.groupBy("language").count().filter(F.col("count") > docs_per_language).collect()
+    share = {row["language"]: docs_per_language / row["count"] for row in large}
+    limit = F.lit(HASHES)
+    if share:
+        listed = F.create_map(*[F.lit(x) for name, part in share.items() for x in (name, int(part * HASHES))])
+        limit = F.coalesce(F.try_element_at(listed, F.col("language")), limit)
+    sample = usable.filter(F.pmod(F.col("hash"), F.lit(HASHES)) < limit).select("language", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
         documents: dict[str, int] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for name, row in counts.items():
+                used = np.flatnonzero(row)
+                # Column -1 counts documents.
+                columns = pa.array(np.concatenate(([-1], used)), pa.int32())
+                values = pa.array(np.concatenate(([documents[name]], row[used])), pa.int64())
+                names = pa.array([name] * len(columns))
+                yield pa.RecordBatch.from_arrays([names, columns, values], names=["language", "column", "n"])
+            counts.clear()
+            documents.clear()
+
         for batch in batches:
             for name, passage in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 kept = letters(passage)
                 if kept:
+                    if name not in counts and len(counts) == LANGUAGES_A_BLOCK:
+                        yield from counted()
                     row = counts.setdefault(name, np.zeros(COLUMNS, dtype=np.int64))
                     row += np.bincount(columns_of(kept), minlength=COLUMNS)
                     documents[name] = documents.get(name, 0) + 1
-        for name, row in counts.items():
-            used = np.flatnonzero(row)
-            # Column -1 counts documents.
-            columns = pa.array(np.concatenate(([-1], used)), pa.int32())
-            values = pa.array(np.concatenate(([documents[name]], row[used])), pa.int64())
-            names = pa.array([name] * len(columns))
-            yield pa.RecordBatch.from_arrays([names, columns, values], names=["language", "column", "n"])
+        yield from counted()
 
     partial = sample.mapInArrow(count, "language string, column int, n long")
-    summed = partial.groupBy("language", "column").agg(F.sum("n").alias("n"))
-    # One row per language with at most COLUMNS + 1 counts.
-    rows = summed.groupBy("language").agg(F.collect_list("column").alias("c"), F.collect_list("n").alias("n")).collect()
-    totals: dict[str, list] = {}
-    for row in rows:
-        known = dict(zip(row["c"], row["n"], strict=True))
-        dense = np.zeros(COLUMNS)
-        documents = known.pop(-1)
-        dense[list(known)] = list(known.values())
-        totals[row["language"]] = [documents, dense]
-    names = sorted(totals)
-    total = sum(totals[name][0] for name in names)
-    matrix = np.empty((len(names), COLUMNS + 1))
-    for i, name in enumerate(names):
-        smooth = totals[name][1] + SMOOTHING
-        matrix[i, :COLUMNS] = np.log(smooth / smooth.sum())
-        matrix[i, COLUMNS] = np.log(totals[name][0] / total)
-    return {"names": names, "matrix": matrix}
-
-
-def score_batch(texts: list[str | None], names: list[str], matrix: np.ndarray) -> list[dict]:
-    """Best language and its posterior probability for each text, in one pass over the batch's n-grams."""
-    kept = [letters(text) for text in texts]
+    summed = stored(partial.groupBy("language", "column").agg(F.sum("n").alias("n")), "language-counts")
+    documents = {row["language"]: row["n"] for row in summed.filter("column = -1").collect()}
+    total = sum(documents.values())
+    names = sorted(documents)
+    for start in range(0, len(names), LANGUAGES_A_BLOCK):
+        block = names[start : start + LANGUAGES_A_BLOCK]
+        known = summed.filter(F.col("language").between(block[0], block[-1]) & (F.col("column") >= 0)).toArrow()
+        places = pc.index_in(known["language"], value_set=pa.array(block)).to_numpy()
+        matrix = np.zeros((len(block), COLUMNS + 1))
+        matrix[places, known["column"].to_numpy()] = known["n"].to_numpy()
+        matrix[:, :COLUMNS] += SMOOTHING
+        for i, name in enumerate(block):
+            matrix[i, :COLUMNS] = np.log(matrix[i, :COLUMNS] / matrix[i, :COLUMNS].sum())
+            matrix[i, COLUMNS] = np.log(documents[name] / total)
+        yield block, matrix
+
+
+def portions(texts: list[str | None]) -> Iterator[list[tuple[int, np.ndarray, np.ndarray]]]:
+    """(place, columns, counts) of the texts that have letters, some at a time."""
+    found, size = [], 0
+    for i, text in enumerate(texts):
+        kept = letters(text)
+        if kept:
+            row = np.bincount(columns_of(kept), minlength=COLUMNS)
+            used = np.flatnonzero(row)
+            found.append((i, used, row[used]))
+            size += len(used)
+            if size >= COUNTS_A_PORTION:
+                yield found
+                found, size = [], 0
+    if found:
+        yield found
+
+
+def score_batch(texts: list[str | None], blocks: Callable[[], Iterable[Block]]) -> list[dict]:
+    """Best language of all blocks and its posterior probability for each text."""
     out = [{"language": UNKNOWN, "score": 0.0} for _ in texts]
-    if not names:
-        return out
-    for i, text in enumerate(kept):
-        if not text:
-            continue
-        found = np.bincount(columns_of(text), minlength=COLUMNS)
-        used = np.flatnonzero(found)
-        logs = matrix[:, used] @ found[used] + matrix[:, COLUMNS]
-        best = int(np.argmax(logs))
-        out[i] = {"language": names[best], "score": float(1 / np.exp(logs - logs[best]).sum())}
+    for portion in portions(texts):
+        # The best log-probability, its language, and the sum of all probabilities in units of it.
+        best = np.full(len(portion), -np.inf)
+        total = np.zeros(len(portion))
+        named = [UNKNOWN] * len(portion)
+        for names, matrix in blocks():
+            for k, (_, used, counts) in enumerate(portion):
+                logs = matrix[:, used] @ counts + matrix[:, COLUMNS]
+                first = int(np.argmax(logs))
+                if logs[first] > best[k]:
+                    total[k] *= np.exp(best[k] - logs[first])
+                    best[k], named[k] = logs[first], names[first]
+                total[k] += np.exp(logs - best[k]).sum()
+        for k, (i, _, _) in enumerate(portion):
+            if total[k]:
+                out[i] = {"language": named[k], "score": float(1 / total[k])}
     return out
 
 
-def predict(docs: DataFrame, model: dict, text: str = "text", into: str = "language_id") -> DataFrame:
+def passing(held: Broadcast) -> Block:
+    """The value of a broadcast, which this process reads again next time instead of keeping it."""
+    value = held.value
+    if getattr(held, "_path", None):
+        vars(held).pop("_value", None)
+    return value
+
+
+def predict(docs: DataFrame, model: Iterable[Block], text: str = "text", into: str = "language_id") -> DataFrame:
     """Add a column with the predicted language and its probability; a column of that name is replaced.
 
-    Null texts, and texts without a letter, give ``und`` with probability 0; ties go to the first name. The matrix is
-    broadcast: its size is bounded by MAX_LANGUAGES and COLUMNS.
+    Null texts, and texts without a letter, give ``und`` with probability 0; ties go to the first name. All languages
+    of the model are compared, whatever their number: its blocks are broadcast one by one.
     """
-    held = docs.sparkSession.sparkContext.broadcast((model["names"], model["matrix"]))
+    held = [docs.sparkSession.sparkContext.broadcast(block) for block in model]
+
+    def blocks() -> Iterable[Block]:
+        return (one.value for one in held) if len(held) == 1 else map(passing, held)
 
     @F.arrow_udf("language string, score double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        names, matrix = held.value
         kind = pa.struct([("language", pa.string()), ("score", pa.float64())])
         for texts in batches:
-            yield pa.array(score_batch(texts.to_pylist(), names, matrix), kind)
+            yield pa.array(score_batch(texts.to_pylist(), blocks), kind)
 
     return docs.withColumn(into, scored.asNondeterministic()(F.col(text)))
 
