@@ -138,6 +138,13 @@ def test_representatives(odd):
     assert simhash.keep_representatives(nameless.unionAll(nameless)).count() == 2
 
 
+def test_representatives_of_ids_in_several_components(spark):
+    other = "Nothing here is like the rest, neither its words nor their order. "
+    rows = [(3, PROSE), (5, PROSE.upper()), (5, other), (7, other), (9, "one two three four five")]
+    kept = simhash.keep_representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept)) == [(3, PROSE), (5, other), (9, "one two three four five")]
+
+
 def test_mixture_takes_rows_as_often_as_planned(odd):
     planned = mixing.mix_documents(odd).groupBy().sum("copies").first()[0]
     assert mixing.take(odd).count() == planned

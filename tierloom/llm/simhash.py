@@ -231,14 +231,19 @@ def keep_representatives(docs: DataFrame, id_column: str = "doc_id", text: str =
     """
     found = stored(classes(docs, id_column, text, **options), "simhash-classes")
     first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = stored(first.groupBy("doc_id", "root").agg(F.count(F.lit(1)).alias("n")), "simhash-chosen")
+    # Ids that stand in several components may have rows that are not the first of theirs.
+    roots = found.groupBy("doc_id").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    spread = roots.filter("low <> high").select("doc_id", F.lit(True).alias("spread"))
+    counted = first.groupBy("doc_id", "root").agg(F.count(F.lit(1)).alias("n"))
+    chosen = stored(counted.join(spread, "doc_id", "left"), "simhash-chosen")
     key, mark, group = (free_name(docs, name) for name in ("chosen_id", "chosen_print", "chosen_root"))
-    plain = chosen.filter("n = 1 and doc_id is not null").select(F.col("doc_id").alias(key))
+    shared = "n > 1 or doc_id is null or spread is not null"
+    plain = chosen.filter(f"not ({shared})").select(F.col("doc_id").alias(key))
     once = docs.join(plain, F.col(id_column) == F.col(key), "left_semi")
-    several = chosen.filter("n > 1 or doc_id is null")
+    several = chosen.filter(shared)
     if several.isEmpty():
         return once
-    # Rows that share their id, or have none: one row of each root, told by the fingerprint.
+    # Rows that share their id, in one component or over several, or have none: one row of each root, told by the fingerprint.
     wanted = several.select("root").join(found.select("fingerprint", "root", "component_id").distinct(), "root")
     prints = wanted.select(
         F.col("fingerprint").alias(mark), F.col("root").alias(group), F.col("component_id").alias(key)
