@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tierloom.llm import common, decontaminate, repeats, secret_scan, sharding, simhash, toxicity
+from tierloom.llm import common, decontaminate, language, repeats, secret_scan, sharding, simhash, toxicity
 
 
 @pytest.mark.parametrize("rows", [1, 2, 3, 40, 41, 1000, 4097])
@@ -137,6 +137,25 @@ def test_maximal_stretches(scores):
     assert all(i in covered for i, s in enumerate(scores) if s > 0)
 
 
+def test_a_batch_is_one_product(monkeypatch):
+    made = np.random.default_rng(1).random((3, language.COLUMNS + 1))
+    matrix = np.log(made / made[:, :-1].sum(axis=1, keepdims=True))
+    texts = ["Ein Satz.", None, "", "12 34", "a", "many different words " * 200, "été"] * 3
+    products = []
+    kept = language.sparse_matrices
+    monkeypatch.setattr(language, "sparse_matrices", lambda t: (products.append(m) or m for m in kept(t)))
+    found = language.score_batch(texts, lambda: [(["x", "y", "z"], matrix)])
+    assert len(products) == 1 and len(products[0][0]) == 12
+    for text, got in zip(texts, found, strict=True):
+        plain = language.letters(text)
+        if not plain:
+            assert got == {"language": "und", "score": 0.0}
+            continue
+        logs = [row[language.columns_of(plain)].sum() + row[-1] for row in matrix]
+        assert got["language"] == "xyz"[int(np.argmax(logs))]
+        assert got["score"] == pytest.approx(1 / np.exp(np.array(logs) - max(logs)).sum())
+
+
 @given(st.text(alphabet="aB1-é ", max_size=40), st.lists(st.text(alphabet="aB1 é", max_size=12), max_size=3))
 def test_contaminated_words(text, items):
     machine = decontaminate.automaton([(str(i), item) for i, item in enumerate(items)], 3)

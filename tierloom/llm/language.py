@@ -1,8 +1,8 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Texts become sequences of lower-case letters with one space between letter runs; n-grams of one to three characters are
-hashed into a fixed number of columns. Training counts columns per language; scoring multiplies sparse counts of a whole
-batch by the broadcast matrix of log-probabilities.
+hashed into a fixed number of columns. Training counts columns per language; scoring multiplies one sparse matrix of
+counts, with a row for every text of a batch, by the broadcast log-probabilities.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ DOCS_PER_LANGUAGE = 4000
 HASHES = 1 << 20
 # The model is broadcast in blocks of so many languages, 16 MiB each; where there are several, one is in memory at a time.
 LANGUAGES_A_BLOCK = 64
-# Texts are scored in portions of about this many counts.
+# A batch is one sparse matrix, or several of about this many counts.
 COUNTS_A_PORTION = 1 << 20
 UNKNOWN = "und"
 
@@ -125,42 +125,56 @@ def learn(
         yield block, matrix
 
 
-def portions(texts: list[str | None]) -> Iterator[list[tuple[int, np.ndarray, np.ndarray]]]:
-    """(place, columns, counts) of the texts that have letters, some at a time."""
-    found, size = [], 0
+def sparse_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The columns of a normalised text, and how often each stands in it."""
+    found = columns_of(text)
+    if len(found) < COLUMNS // 16:
+        return np.unique(found, return_counts=True)
+    row = np.bincount(found, minlength=COLUMNS)
+    used = np.flatnonzero(row)
+    return used, row[used]
+
+
+def sparse_matrices(texts: list[str | None]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
+    """(places of the texts that have letters, where their rows start, columns, counts): compressed sparse rows."""
+    places, rows, size = [], [], 0
+
+    def matrix():
+        starts = np.cumsum([0, *(len(columns) for columns, _ in rows[:-1])])
+        return places, starts, np.concatenate([c for c, _ in rows]), np.concatenate([n for _, n in rows])
+
     for i, text in enumerate(texts):
         kept = letters(text)
         if kept:
-            row = np.bincount(columns_of(kept), minlength=COLUMNS)
-            used = np.flatnonzero(row)
-            found.append((i, used, row[used]))
-            size += len(used)
+            places.append(i)
+            rows.append(sparse_counts(kept))
+            size += len(rows[-1][0])
             if size >= COUNTS_A_PORTION:
-                yield found
-                found, size = [], 0
-    if found:
-        yield found
+                yield matrix()
+                places, rows, size = [], [], 0
+    if rows:
+        yield matrix()
 
 
 def score_batch(texts: list[str | None], blocks: Callable[[], Iterable[Block]]) -> list[dict]:
-    """Best language of all blocks and its posterior probability for each text."""
+    """Best language of all blocks and its posterior probability for each text, from products with the whole batch."""
     out = [{"language": UNKNOWN, "score": 0.0} for _ in texts]
-    for portion in portions(texts):
+    for places, starts, columns, counts in sparse_matrices(texts):
         # The best log-probability, its language, and the sum of all probabilities in units of it.
-        best = np.full(len(portion), -np.inf)
-        total = np.zeros(len(portion))
-        named = [UNKNOWN] * len(portion)
+        best = np.full(len(places), -np.inf)
+        total = np.zeros(len(places))
+        named = np.full(len(places), UNKNOWN, dtype=object)
         for names, matrix in blocks():
-            for k, (_, used, counts) in enumerate(portion):
-                logs = matrix[:, used] @ counts + matrix[:, COLUMNS]
-                first = int(np.argmax(logs))
-                if logs[first] > best[k]:
-                    total[k] *= np.exp(best[k] - logs[first])
-                    best[k], named[k] = logs[first], names[first]
-                total[k] += np.exp(logs - best[k]).sum()
-        for k, (i, _, _) in enumerate(portion):
-            if total[k]:
-                out[i] = {"language": named[k], "score": float(1 / total[k])}
+            logs = np.stack([np.add.reduceat(row[columns] * counts, starts) + row[COLUMNS] for row in matrix], axis=1)
+            first = logs.argmax(axis=1)
+            top = logs[np.arange(len(places)), first]
+            named = np.where(top > best, np.array(names, dtype=object)[first], named)
+            higher = np.maximum(top, best)
+            total = total * np.exp(best - higher) + np.exp(logs - higher[:, None]).sum(axis=1)
+            best = higher
+        for i, name, whole in zip(places, named, total, strict=True):
+            if whole:
+                out[i] = {"language": name, "score": float(1 / whole)}
     return out
 
 
