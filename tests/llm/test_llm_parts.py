@@ -2,6 +2,7 @@
 
 import random
 import string
+import time
 
 import brute
 import numpy as np
@@ -90,6 +91,15 @@ def test_segments_are_the_maximal_ones(words):
     assert sorted(round(s, 6) for _, _, s in found) == sorted(round(sum(value[a : b + 1]), 6) for a, b in maximal(0, len(words)))
 
 
+def test_segments_of_a_long_text_take_linear_time():
+    """100,000 hits in a falling sum: every hit a segment, where a walk over all candidates takes 5e9 steps."""
+    words = ["bad", *["plain"] * 9] * 100_000
+    start = time.process_time()
+    found = toxicity.segments(words, {"bad": 1.0}, 0.5)
+    assert time.process_time() - start < 20
+    assert [a for a, _, _ in found] == list(range(0, len(words), 10)) and {s for _, _, s in found} == {1.0}
+
+
 @given(st.text(alphabet="tTokKeEnN=:'\" aAKIA0123fKſ", max_size=60))
 def test_secret_patterns(text):
     assert [(kind, a, b) for a, b, kind in secret_scan.base_spans(text)] == brute.base_secrets(text)

@@ -11,13 +11,14 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import free_name, remainder, stored
+from tierloom.llm.common import free_name, maximal_stretches, remainder, stored
 
 # About this many labelled documents of each class are learned from, chosen by a hash of their ids.
 DOCS_PER_CLASS = 10_000
@@ -43,27 +44,19 @@ def segments(found: list[str], scores: dict[str, float], drift: float) -> list[t
 
     Only tokens with a positive score can begin or end one, so what is between them counts as one step.
     """
-    total, before = 0.0, -1
-    # Candidates: first token, last token, cumulative score before and after.
-    stack: list[tuple[int, int, float, float]] = []
+    hits: list[int] = []
+    # Turn by turn the tokens before a hit and the hit itself.
+    steps: list[float] = []
+    before = -1
     for i, token in enumerate(found):
         score = scores.get(token)
         if score is None:
             continue
-        total -= drift * (i - before - 1)
-        left, total, before = total, total + score, i
-        first, right = i, total
-        while True:
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= left:
-                j -= 1
-            if j < 0 or stack[j][3] >= right:
-                # Candidates above j stay: they end before, and none of them reaches as low.
-                stack.append((first, i, left, right))
-                break
-            first, left = stack[j][0], stack[j][2]
-            del stack[j:]
-    return [(a, b, after - start) for a, b, start, after in stack]
+        steps += (-drift * (i - before - 1), score)
+        hits.append(i)
+        before = i
+    upto = list(accumulate(steps, initial=0.0))
+    return [(hits[a // 2], hits[b // 2], upto[b + 1] - upto[a]) for a, b in maximal_stretches(steps)]
 
 
 def lexicon(toxic: np.ndarray, clean: np.ndarray, names: list[str], all_toxic: int, all_clean: int) -> dict[str, float]:
