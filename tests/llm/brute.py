@@ -129,3 +129,79 @@ def mixture(rows: list[tuple[int, str | None, str | None]]) -> dict[int, int]:
             upto += size[i]
             copies[i] = epochs + (size[i] > 0 and upto - size[i] / 2 <= rest_of_it)
     return copies
+
+
+def alignment(texts: list[str | None]):
+    """Rows (n_a, n_b, n_groups, n_links, n_best, count_sum, digest), documents and links of each pair of ids."""
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    printing = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(x): x for x in printing} | {chr(256 + k): x for k, x in enumerate(x for x in range(256) if x not in printing)}
+    entries = {i: bytes(letters[c] for c in token) for token, i in a.get_vocab(False).items()}
+
+    def piece(i):
+        written = b.id_to_piece(i)
+        return bytes([int(written[3:5], 16)]) if b.is_byte(i) else written.replace("▁", " ").encode()
+
+    found, held, all_links = [], Counter(), Counter()
+    for text in texts:
+        want = (" " + (text or "")).encode()
+        sides = []
+        for ids, of in ((a.encode(" " + (text or ""), add_special_tokens=False).ids, entries.get), (b.encode(text or ""), piece)):
+            parts = [of(i) for i in ids]
+            sides.append((ids, running(parts), b"".join(parts)))
+        if not text or any(spelt != want for _, _, spelt in sides):
+            found.append((0, 0, [], Counter()))
+            continue
+        cuts = sorted({*sides[0][1]} & {*sides[1][1]})
+        groups = split_at(cuts, sides)
+        links = Counter((x, y) for left, right in groups for x in left for y in right)
+        found.append((len(sides[0][0]), len(sides[1][0]), groups, links))
+        held.update(links.keys())
+        all_links.update(links)
+    most = Counter()
+    for (x, _), n in held.items():
+        most[x] = max(most[x], n)
+    rows = []
+    for n_a, n_b, groups, links in found:
+        written = ";".join(f"{','.join(map(str, left))}|{','.join(map(str, right))}" for left, right in groups)
+        best = sum(n for key, n in links.items() if held[key] == most[key[0]])
+        total = sum(n * held[key] for key, n in links.items())
+        rows.append((n_a, n_b, len(groups), sum(links.values()), best, total, sha(written) if groups else ""))
+    return rows, held, all_links
+
+
+def running(parts: list[bytes]) -> list[int]:
+    out, total = [], 0
+    for part in parts:
+        total += len(part)
+        out.append(total)
+    return out
+
+
+def split_at(cuts: list[int], sides) -> list[list[list[int]]]:
+    groups: list[list[list[int]]] = [[[], []] for _ in cuts]
+    for k, (ids, ends, _) in enumerate(sides):
+        at = 0
+        for i, end in zip(ids, ends, strict=True):
+            groups[at][k].append(i)
+            at += end == cuts[at]
+    return groups
+
+
+def whitening(vectors: list[list[float]], count: int):
+    """x per row, n, sums, eigenvalues and directions of the covariance of the distinct rows, and its trace."""
+    import numpy as np
+
+    x = [[math.floor(64 * float(c)) + 1_000_000 for c in v] for v in vectors]
+    fit = np.array(sorted(set(map(tuple, x))))
+    n, sums = len(fit), fit.sum(axis=0)
+    centred = fit - sums / n
+    covariance = centred.T @ centred / n
+    values, directions = np.linalg.eigh(covariance)
+    return np.array(x), n, sums, values[::-1][:count], directions[:, ::-1][:, :count], np.trace(covariance)

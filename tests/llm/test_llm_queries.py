@@ -26,7 +26,7 @@ def texts(spark):
 
 
 def test_contract():
-    assert {f"op{i}" for i in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{i}" for i in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLES) <= set(contract.oracle_sql())
 

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import chat, decontaminate, language, mixing, quality, repeats, secret_scan, sharding, simhash, toxicity
+from tierloom.llm import (
+    alignment, bpe, chat, decontaminate, language, mixing, quality, repeats, secret_scan, sharding, simhash, toxicity, whitening,
+)
 from tierloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,11 +65,23 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_report(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read(spark, folder, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment_report(read(spark, folder, "documents"))
+
+
+def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.bpe_report(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality, op2_decontamination, op3_chat, op4_secrets, op5_simhash, op6_language_id, op7_repeated_bytes, op8_sharding,
-        op9_mixing, op10_toxicity,
+        op9_mixing, op10_toxicity, op11_whitening, op12_alignment, op13_bpe,
     )
 }
 
