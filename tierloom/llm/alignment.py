@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,6 +33,8 @@ BLOCK_CHARS = 1 << 24
 LISTED = SLOTS // 16
 # Groups with more links than this are counted by distinct tokens before tokens are paired.
 LARGE_GROUP = 64
+# Characters of units that a task remembers from one block to the next.
+REMEMBERED_CHARS = 1 << 22
 # Pairs of distinct tokens made at once.
 PAIRS_AT_ONCE = 1 << 22
 
@@ -48,7 +51,7 @@ def byte_letters() -> dict[str, int]:
 
 
 class Pair:
-    """Both tokenizers, with the bytes of every token."""
+    """Both tokenizers, with the bytes of every token, and where they allow a text to be cut."""
 
     def __init__(self, byte_level: bytes, pieces: bytes):
         import os
@@ -68,45 +71,53 @@ class Pair:
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.a_length, self.b_length = (np.array([len(t) for t in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         self.b_size = len(self.b_bytes)
+        # A text may be cut before a space that follows a word: the rules of byte-level vocabularies end a piece there, and
+        # no piece of the other side has the mark of a space behind another character. Other tokenizers take texts whole.
+        rules = json.loads(byte_level)
+        by_words = rules["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        inside = any(self.b.id_to_piece(i).lstrip("▁").count("▁") for i in range(self.b_size))
+        self.unit = re.compile(r"(?<=\S)(?= )") if by_words and rules["normalizer"] is None and not inside else None
         self.written = [f"{i}{end}" for size, ends in ((len(self.a_bytes), ",|"), (self.b_size, ",;")) for end in ends for i in range(size)]
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both sides; none where the tokens do not spell the text."""
-        a_ids = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b_ids = self.b.encode(texts, num_threads=1) if texts else []
-        for k, text in enumerate(texts):
-            whole = (" " + text).encode()
-            a_spelt = b"".join(map(self.a_bytes.__getitem__, a_ids[k]))
-            if not text or a_spelt != whole or b"".join(map(self.b_bytes.__getitem__, b_ids[k])) != whole:
-                a_ids[k], b_ids[k] = [], []
-        return a_ids, b_ids
+    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+        """Ids of both sides for units, which start with a space; none, and False, where the tokens do not spell the unit."""
+        a_ids = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
+        # The piece tokenizer puts the space there itself.
+        b_ids = self.b.encode([unit[1:] for unit in units], num_threads=1) if units else []
+        spelt = np.ones(len(units), bool)
+        for k, unit in enumerate(units):
+            want = unit.encode()
+            if len(unit) == 1 or any(
+                b"".join(map(of.__getitem__, ids)) != want for of, ids in ((self.a_bytes, a_ids[k]), (self.b_bytes, b_ids[k]))
+            ):
+                a_ids[k], b_ids[k], spelt[k] = [], [], False
+        return a_ids, b_ids, spelt
 
 
 class Groups:
-    """The groups of some texts, one after the other: tokens of both sides with the number of their group."""
+    """The groups of some units, one after the other: tokens of both sides with the number of their group."""
 
     def __init__(self, pair: Pair, a_ids: list[list[int]], b_ids: list[list[int]]):
         self.a_counts, self.b_counts = (np.array([len(x) for x in ids], np.int64) for ids in (a_ids, b_ids))
         self.a, self.b = (np.fromiter((i for x in ids for i in x), np.int64, count=int(n.sum())) for ids, n in ((a_ids, self.a_counts), (b_ids, self.b_counts)))
         a_ends, b_ends = np.cumsum(pair.a_length[self.a]), np.cumsum(pair.b_length[self.b])
-        # Texts with tokens have as many bytes on both sides, so a text's end always cuts.
+        # Both sides have a unit's bytes, so its end always cuts.
         cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
         self.a_group, self.b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
         self.a_size, self.b_size = (np.bincount(g, minlength=len(cuts)) for g in (self.a_group, self.b_group))
         self.a_start, self.b_start = np.cumsum(self.a_size) - self.a_size, np.cumsum(self.b_size) - self.b_size
-        a_text = np.repeat(np.arange(len(a_ids)), self.a_counts)
-        self.text = a_text[self.a_start]
+        self.unit = np.repeat(np.arange(len(a_ids)), self.a_counts)[self.a_start]
         self.links_of_group = self.a_size * self.b_size
 
-    def per_text(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.text, values, len(self.a_counts)).astype(np.int64)
+    def per_unit(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.unit, values, len(self.a_counts)).astype(np.int64)
 
     def written(self, pair: Pair) -> Iterator[str]:
-        """Per text ``a1,a2|b1;a3|b2,b3``."""
+        """Per unit ``a1,a2|b1;a3|b2,b3``."""
         a_size = len(pair.a_bytes)
         ends_a = np.zeros(len(self.a), np.int64)
         ends_b = np.zeros(len(self.b), np.int64)
@@ -122,7 +133,7 @@ class Groups:
             at += n
 
     def links(self, pair: Pair) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(text, pair of ids, number of links), in parts of bounded size; a pair may come several times."""
+        """(unit, pair of ids, number of links), in parts of bounded size; a pair may come several times."""
         large = self.links_of_group > LARGE_GROUP
         for chosen in (~large, large):
             a_of, b_of = chosen[self.a_group], chosen[self.b_group]
@@ -145,7 +156,7 @@ class Groups:
                 place = np.repeat(b_start[group], width) + offset
                 ids = np.repeat(a[at:to], width) * pair.b_size + b[place]
                 times = np.ones(len(ids), np.int64) if a_times is None else np.repeat(a_times[at:to], width) * b_times[place]
-                yield np.repeat(self.text[group], width), ids, times
+                yield np.repeat(self.unit[group], width), ids, times
                 at = to
 
 
@@ -154,25 +165,90 @@ def distinct(group: np.ndarray, ids: np.ndarray, size: int) -> tuple[np.ndarray,
     return keys // size, keys % size, times
 
 
+class Units:
+    """Stretches of text between which both tokenizers always cut, each encoded and aligned once while it is remembered."""
+
+    def __init__(self, pair: Pair):
+        self.pair = pair
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.written: list[str] = []
+        self.chars = 0
+        # Columns: tokens of both sides, groups, links, and whether the tokens spell the unit.
+        self.counts = np.zeros((0, 5), np.int64)
+        self.links: list[np.ndarray] = []
+
+    def cut(self, text: str) -> list[str]:
+        if not text:
+            return []
+        return self.pair.unit.split(" " + text) if self.pair.unit else [" " + text]
+
+    def learn(self, texts: list[list[str]]) -> None:
+        fresh = list({unit: None for units in texts for unit in units if unit not in self.number})
+        at = 0
+        while at < len(fresh):
+            to, chars = at, 0
+            while to < len(fresh) and chars < AT_ONCE:
+                chars += len(fresh[to])
+                to += 1
+            self._add(fresh[at:to])
+            self.chars += chars
+            at = to
+
+    def _add(self, units: list[str]) -> None:
+        first = len(self.written)
+        a_ids, b_ids, spelt = self.pair.encode(units)
+        groups = Groups(self.pair, a_ids, b_ids)
+        self.number.update(zip(units, range(first, first + len(units)), strict=True))
+        self.written += groups.written(self.pair)
+        columns = [groups.a_counts, groups.b_counts, groups.per_unit(np.ones(len(groups.unit))), groups.per_unit(groups.links_of_group), spelt]
+        if len(self.written) > len(self.counts):
+            self.counts = np.pad(self.counts, ((0, len(self.written)), (0, 0)))
+        self.counts[first : len(self.written)] = np.column_stack(columns)
+        for unit, ids, times in groups.links(self.pair):
+            self.links.append(np.stack([unit + first, ids, times]))
+
+    def numbers(self, units: list[str]) -> np.ndarray:
+        """The numbers of a text's units; none if the tokens do not spell all of them."""
+        found = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+        return found if self.counts[found, 4].all() else found[:0]
+
+    def expanded(self, units: np.ndarray, slots: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The links of units in slots, as keys (pair, slot) with their number."""
+        links = np.hstack([np.zeros((3, 0), np.int64), *self.links])
+        links = links[:, np.argsort(links[0], kind="stable")]
+        sizes = np.bincount(links[0], minlength=len(self.written))
+        starts = np.cumsum(sizes) - sizes
+        width = sizes[units]
+        place = np.repeat(starts[units] - np.cumsum(width) + width, width) + np.arange(int(width.sum()))
+        return merged(links[1, place] * SLOTS + np.repeat(slots, width), links[2, place] * np.repeat(times, width))
+
+
 class Block:
-    """Documents in slots, and the links of all of them as sorted keys (pair, slot) with their number."""
+    """Documents in slots, with the units that each of them has."""
 
     def __init__(self, number: int):
         self.number, self.size, self.chars = number, 0, 0
         self.keys: list[np.ndarray] = []
         self.times: list[np.ndarray] = []
 
-    def add(self, first: int, groups: Groups, pair: Pair) -> None:
-        for text, ids, times in groups.links(pair):
-            keys, times = merged(ids * SLOTS + text + first, times)
-            self.keys.append(keys)
-            self.times.append(times)
+    def add(self, documents: list[np.ndarray]) -> None:
+        sizes = [len(units) for units in documents]
+        slots = np.repeat(np.arange(self.size, self.size + len(documents)), sizes)
+        units = np.concatenate([np.zeros(0, np.int64), *documents])
+        keys, times = merged(units * SLOTS + slots, np.ones(len(units), np.int64))
+        self.keys.append(keys)
+        self.times.append(times)
+        self.size += len(documents)
 
-    def postings(self) -> Iterator[pa.RecordBatch]:
+    def postings(self, units: Units) -> Iterator[pa.RecordBatch]:
         """One row per pair with its documents, and one per pair and plane with those whose further links have that bit."""
         if not self.keys:
             return
-        keys, times = merged(np.concatenate(self.keys), np.concatenate(self.times))
+        keys = np.concatenate(self.keys)
+        keys, times = units.expanded(keys // SLOTS, keys % SLOTS, np.concatenate(self.times))
         self.keys, self.times = [], []
         yield from self._rows(keys, HOLDERS)
         further, plane = times - 1, 0
@@ -194,7 +270,8 @@ class Block:
 
 
 def merged(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
+    """Sorted keys, each once, with the sums of their numbers."""
+    order = np.argsort(keys)
     keys = keys[order]
     starts = np.flatnonzero(np.diff(keys, prepend=-1))
     return keys[starts], np.add.reduceat(times[order], starts) if len(starts) else times
@@ -261,38 +338,41 @@ def index_step(byte_level, pieces, id_type: pa.DataType, describe: Callable[[str
     def filled(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(batch.num_rows, about)], schema=schema)
 
-    def documents(block: Block, first: int, ids: list, groups: Groups, pair: Pair) -> pa.RecordBatch:
+    def documents(block: Block, ids: list, units: Units, found: list[np.ndarray]) -> pa.RecordBatch:
         n = len(ids)
-        links, counts = groups.per_text(groups.links_of_group), groups.per_text(np.ones(len(groups.text)))
-        written = [describe(w) for w in groups.written(pair)]
-        fields = [pa.array(ids, id_type), *map(pa.array, (groups.a_counts, groups.b_counts, counts, links)), pa.array(written, pa.string())]
-        numbers = pa.array(np.full(n, block.number, np.int64)), pa.array(np.arange(first, first + n, dtype=np.int32))
+        counts = np.array([units.counts[numbers, :4].sum(axis=0) for numbers in found], np.int64).reshape(n, 4)
+        written = [describe(";".join(map(units.written.__getitem__, numbers.tolist()))) for numbers in found]
+        fields = [pa.array(ids, id_type), *map(pa.array, counts.T.copy()), pa.array(written, pa.string())]
+        numbers = pa.array(np.full(n, block.number, np.int64)), pa.array(np.arange(block.size, block.size + n, dtype=np.int32))
         empty = [pa.nulls(n, kind) for _, kind in POSTING[2:]]
         return pa.RecordBatch.from_arrays([*numbers, *empty, pa.StructArray.from_arrays(fields, fields=list(about))], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(byte_level.value, pieces.value)
+        units = Units(Pair(byte_level.value, pieces.value))
         base, made = TaskContext.get().partitionId() << 32, 0
         block = Block(base)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            texts = batch.column(1)
             at = 0
             while at < len(texts):
-                to, chars = at, 0
-                while to < len(texts) and (to == at or (chars < AT_ONCE and block.size + to - at < SLOTS)):
-                    chars += len(texts[to])
-                    to += 1
-                groups = Groups(pair, *pair.encode(texts[at:to]))
-                yield documents(block, block.size, ids[at:to], groups, pair)
-                block.add(block.size, groups, pair)
-                block.size += to - at
+                cut, chars = [], 0
+                while at + len(cut) < len(texts) and (not cut or (chars < AT_ONCE and block.size + len(cut) < SLOTS)):
+                    text = texts[at + len(cut)].as_py() or ""
+                    chars += len(text)
+                    cut.append(units.cut(text))
+                units.learn(cut)
+                found = [units.numbers(part) for part in cut]
+                yield documents(block, batch.column(0).slice(at, len(cut)).to_pylist(), units, found)
+                block.add(found)
                 block.chars += chars
-                at = to
+                at += len(cut)
                 if block.size >= SLOTS or block.chars >= BLOCK_CHARS:
-                    yield from map(filled, block.postings())
+                    yield from map(filled, block.postings(units))
                     made += 1
                     block = Block(base + made)
-        yield from map(filled, block.postings())
+                    if units.chars >= REMEMBERED_CHARS:
+                        units.clear()
+        yield from map(filled, block.postings(units))
 
     return run
 

@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import islice
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +31,14 @@ TOKENIZER_BYTES = 64 << 20
 LEAF = 16
 # Characters without white space from which on a piece is dealt to several tasks, in parts of this size.
 BLOCK = 1 << 16
-# Characters given to the tokenizer at once; its working memory is some hundred bytes for each.
+# Characters given to a tokenizer at once; its working memory is some hundred bytes for each.
 AT_ONCE = 1 << 18
-# Encodings of short pieces that a task remembers.
-REMEMBERED = 1 << 16
+# Runs without white space whose ids a task remembers.
+REMEMBERED = 1 << 19
+# Texts that are held as Python strings at once.
+ROWS_AT_ONCE = 256
 # White space that splits texts under every rule: nothing is composed, matched or merged across it.
-GAP = "\\x09-\\x0D\\x20"
+GAP = r"\x09-\x0D\x20"
 
 
 def tokenizer_bytes(path: str) -> bytes:
@@ -44,6 +47,26 @@ def tokenizer_bytes(path: str) -> bytes:
     return Path(path).read_bytes()
 
 
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
+class Decoder:
+    """The text of ids, special tokens included."""
+
+    def __init__(self, content: bytes):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(content.decode())
+        # Without a decoder the tokens are joined by spaces.
+        self.written = None if self.tokenizer.decoder else {i: t for t, i in self.tokenizer.get_vocab(True).items()}
+
+    def decode(self, ids: list[int]) -> str:
+        if self.written:
+            return " ".join(map(self.written.__getitem__, ids))
+        return self.tokenizer.decode(ids, skip_special_tokens=False)
+
+
 class Encoder:
     """The tokenizer of a file's content, with the tree for pieces longer than ``leaf`` symbols."""
 
@@ -65,9 +88,9 @@ class Encoder:
         self.lengths = {i: len(token) for token, i in model["vocab"].items()}
         special = sorted((t["content"] for t in json.loads(content)["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.long_run = re.compile(rf"[^{GAP}]{{{leaf + 1},}}")
         self.leaf = leaf
-        self.known: dict[tuple[str, bool], list[int]] = {}
+        # Ids as packed 32-bit numbers.
+        self.runs: dict[bytes, bytes] = {}
 
     def at_once(self, part: str, final: bool) -> list[int]:
         return [token.id for token in (self.last if final else self.inner).tokenize(part)]
@@ -75,12 +98,7 @@ class Encoder:
     def tree(self, part: str, final: bool = True) -> list[int]:
         """The tokens of a piece (``final``: it ends a word), by halves down to leaves."""
         if len(part) <= self.leaf:
-            key = (part, final)
-            if key not in self.known:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[key] = self.at_once(part, final)
-            return self.known[key]
+            return self.at_once(part, final)
         middle = len(part) // 2
         left, right = self.tree(part[:middle], False), self.tree(part[middle:], final)
         return self.join(left, right, part, middle, final)
@@ -107,40 +125,36 @@ class Encoder:
                 normal = self.tokenizer.normalizer.normalize_str(part) if self.tokenizer.normalizer else part
                 yield from (piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
 
-    def parts(self, text: str) -> Iterator[str | re.Match]:
-        """Stretches of short words, and the runs between them that may hold long pieces."""
+    def run(self, run: str) -> list[int]:
+        ids: list[int] = []
+        for piece in self.pieces(run):
+            ids += [piece] if isinstance(piece, int) else self.tree(piece)
+        return ids
+
+    def learn(self, runs: list[bytes]) -> None:
+        """Remember the ids of runs: short ones from the tokenizer at once, longer ones piece by piece."""
+        texts = [run.decode() for run in runs]
+        short = [k for k, text in enumerate(texts) if len(text) <= self.leaf]
         at = 0
-        for run in self.long_run.finditer(text):
-            if run.start() > at:
-                yield text[at : run.start()]
-            yield run
-            at = run.end()
-        if at < len(text):
-            yield text[at:]
-
-    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
-        """The ids of each text; working memory follows AT_ONCE and the longest text."""
-        chunk, size = [], 0
-        for text in texts:
-            chunk.append(list(self.parts(text)))
-            size += len(text)
-            if size >= AT_ONCE:
-                yield from self._encoded(chunk)
-                chunk, size = [], 0
-        yield from self._encoded(chunk)
-
-    def _encoded(self, chunk: list[list]) -> Iterator[list[int]]:
-        plain = [part for parts in chunk for part in parts if isinstance(part, str)]
-        easy = iter(self.tokenizer.encode_batch_fast(plain, add_special_tokens=False))
-        for parts in chunk:
-            ids: list[int] = []
-            for part in parts:
-                if isinstance(part, str):
-                    ids += next(easy).ids
-                else:
-                    for piece in self.pieces(part.group()):
-                        ids += [piece] if isinstance(piece, int) else self.tree(piece)
-            yield ids
+        while at < len(short):
+            part = short[at : at + AT_ONCE // self.leaf]
+            for k, found in zip(part, self.tokenizer.encode_batch_fast([texts[k] for k in part], add_special_tokens=False), strict=True):
+                self.runs[runs[k]] = packed(found.ids)
+            at += len(part)
+        for k, text in enumerate(texts):
+            if len(text) > self.leaf:
+                self.runs[runs[k]] = packed(self.run(text))
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text. White space between runs splits it under every rule."""
+        runs = text.encode().split()
+        fresh = [run for run in dict.fromkeys(runs) if run not in self.runs]
+        if fresh:
+            if len(self.runs) + len(fresh) > REMEMBERED:
+                self.runs.clear()
+                fresh = list(dict.fromkeys(runs))
+            self.learn(fresh)
+        return np.frombuffer(b"".join(map(self.runs.__getitem__, runs)), np.int32)
 
     def open_parts(self, text: str, block: int) -> Iterator[dict]:
         """A text as finished ids and, for pieces of over ``block`` symbols, as parts that are still to be encoded.
@@ -148,11 +162,11 @@ class Encoder:
         ``joined`` says that a part goes on with the one before; ``final`` that it ends its piece.
         """
         ids: list[int] = []
-        for part in self.parts(text):
-            if isinstance(part, str):
-                ids += next(self.encode_all([part]))
+        for run in text.encode().split():
+            if len(run) <= block:
+                ids += self.encode(run.decode()).tolist()
                 continue
-            for piece in self.pieces(part.group()):
+            for piece in self.pieces(run.decode()):
                 if isinstance(piece, int):
                     ids.append(piece)
                 elif len(piece) <= block:
@@ -191,22 +205,47 @@ class Encoder:
         return piece[0]
 
 
-def _step(shared: Broadcast, leaf: int, result: str, function: Callable) -> Callable[..., Column]:
-    """An Arrow function of columns whose tokenizer is built once per task; ``function(encoder, *arrays)`` gives values."""
-    kind = {"array<int>": pa.list_(pa.int32()), "string": pa.string()}.get(result)
-    if kind is None:
-        kind = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("part", pa.string()), ("joined", pa.bool_()), ("final", pa.bool_())]))
+def _lists(rows: Iterable[Sequence[int] | None]) -> pa.Array:
+    """Lists of ids as one Arrow array; a list goes over to its packed form before the next one is made."""
+    parts, ends, missing = [np.zeros(0, np.int32)], [0], []
+    for row in rows:
+        parts.append(np.array(() if row is None else row, np.int32))
+        ends.append(ends[-1] + len(parts[-1]))
+        missing.append(row is None)
+    offsets = pa.array(ends, pa.int32(), mask=np.array([*missing, False]))
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts)))
+
+
+def _rows(lists: pa.Array) -> Iterator[list[int]]:
+    """The lists of an array, one after the other; a null one is empty."""
+    values, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    for null, low, high in zip(lists.is_null().to_pylist(), ends[:-1], ends[1:], strict=True):
+        yield [] if null else values[low:high].tolist()
+
+
+def _texts(rows: Iterator[str]) -> pa.Array:
+    parts = [pa.array([], pa.string())]
+    while part := list(islice(rows, ROWS_AT_ONCE)):
+        parts.append(pa.array(part, pa.string()))
+    return pa.concat_arrays(parts)
+
+
+def _step(result: str, start: Callable, function: Callable[[Encoder | Decoder, pa.Array], pa.Array]) -> Callable[..., Column]:
+    """An Arrow function of a column; ``start`` makes the encoder or decoder, once per task."""
 
     @F.arrow_udf(result)
     def step(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(shared.value, leaf)
+        own = start()
         for batch in batches:
-            yield pa.array(function(encoder, batch), kind)
+            yield function(own, batch)
 
     return step.asNondeterministic()
 
 
 PARTS = "array<struct<ids:array<int>,part:string,joined:boolean,final:boolean>>"
+PARTS_ARROW = pa.list_(
+    pa.struct([("ids", pa.list_(pa.int32())), ("part", pa.string()), ("joined", pa.bool_()), ("final", pa.bool_())])
+)
 
 
 def encode(
@@ -222,11 +261,24 @@ def encode(
     """
     docs = docs.drop(into) if into != text else docs
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_bytes(tokenizer_path))
-    whole = _step(shared, leaf, "array<int>", lambda e, texts: list(e.encode_all([t or "" for t in texts.to_pylist()])))
-    opened = _step(shared, leaf, PARTS, lambda e, texts: [list(e.open_parts(t or "", block)) for t in texts.to_pylist()])
-    encoded = _step(shared, leaf, "array<int>", lambda e, parts: [None if p is None else e.tree(p[1:], p[0] == "1") for p in parts.to_pylist()])
-    closed = _step(shared, leaf, "array<int>", lambda e, texts: [e.closed(parts) for parts in texts.to_pylist()])
 
+    def all_at_once(encoder: Encoder, texts: pa.Array) -> pa.Array:
+        return _lists(encoder.encode(text.as_py() or "") for text in texts)
+
+    def in_parts(encoder: Encoder, texts: pa.Array) -> pa.Array:
+        return pa.array([list(encoder.open_parts(text.as_py() or "", block)) for text in texts], PARTS_ARROW)
+
+    def one_part(encoder: Encoder, parts: pa.Array) -> pa.Array:
+        return _lists(None if part is None else encoder.tree(part[1:], part[0] == "1") for part in (p.as_py() for p in parts))
+
+    def joined(encoder: Encoder, texts: pa.Array) -> pa.Array:
+        return _lists(encoder.closed(parts.as_py()) for parts in texts)
+
+    def start() -> Encoder:
+        return Encoder(shared.value, leaf)
+
+    whole, encoded, closed = (_step("array<int>", start, f) for f in (all_at_once, one_part, joined))
+    opened = _step(PARTS, start, in_parts)
     runs = F.transform(F.split(as_text(text), f"[{GAP}]+"), F.length)
     giant = F.when(F.length(as_text(text)) > block, F.array_max(runs) > block).otherwise(False)
     easy = docs.filter(~giant).withColumn(into, whole(F.col(text)))
@@ -259,10 +311,13 @@ def decode(encoded: DataFrame, ids: str = "ids", into: str = "decoded", tokenize
     """
     shared = encoded.sparkSession.sparkContext.broadcast(tokenizer_bytes(tokenizer_path))
 
-    def texts(encoder: Encoder, lists: pa.Array) -> list[str]:
-        return [encoder.tokenizer.decode(tokens or [], skip_special_tokens=False) for tokens in lists.to_pylist()]
+    def start() -> Decoder:
+        return Decoder(shared.value)
+
+    def texts(decoder: Decoder, lists: pa.Array) -> pa.Array:
+        return _texts(map(decoder.decode, _rows(lists)))
 
-    return encoded.withColumn(into, _step(shared, LEAF, "string", texts)(F.col(ids)))
+    return encoded.withColumn(into, _step("string", start, texts)(F.col(ids)))
 
 
 def bpe_report(docs: DataFrame, **options) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.workspace import fresh_folder
+from tierloom.workspace import release, stored  # noqa: F401 - the operators take them from here
 
 # Words are runs of anything but these six control characters and the space.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -18,13 +18,6 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def as_text(column: str | Column) -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
