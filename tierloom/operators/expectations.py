@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -48,6 +48,14 @@ def enforce(df: DataFrame, expectations: Sequence[Expectation], observe_as: str
     return df
 
 
+def observed(df: DataFrame, expectations: Sequence[Expectation], seen: Observation) -> DataFrame:
+    """``enforce`` for one batch whose counts ``seen`` has once it is written: all ``rows``, and failed ones by name."""
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *_counters(expectations))
+    for expectation in expectations:
+        df = df.filter(F.expr(expectation.predicate))
+    return df
+
+
 def report(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
     """One row per expectation with passed and failed counts, from one pass over the table."""
     totals = df.agg(F.count(F.lit(1)).alias(_ROWS), *_counters(expectations))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tierloom.workspace import release, stored
+
 
 def schema_differences(contract: StructType, found: StructType) -> list[tuple[str, str]]:
     """(field, problem) for columns that are missing, retyped or unexpected. Schemas only, no data is read."""
@@ -42,6 +44,48 @@ def json_drift(df: DataFrame, document: str, contract: Mapping[str, str]) -> Dat
     )
 
 
+def nested_drift(df: DataFrame, document: str, contract: Mapping[str, str]) -> DataFrame:
+    """(path, found_type, rows, problem) for every path of a JSON text column, at any depth, against {path: type}.
+
+    Paths are written ``a.b`` for fields and ``a[]`` for the elements of arrays; types carry the names of
+    ``schema_of_variant``, with OBJECT and ARRAY for nested ones. ``rows`` counts documents, so an array whose elements
+    are of two types gives two rows. Paths of the contract that no document has come with zero rows; problems are as in
+    ``json_drift``. Nested values are opened one level at a time until no level holds any; only paths, types and the
+    values still to be opened are carried.
+    """
+    spark = df.sparkSession
+    document_id = F.monotonically_increasing_id()
+    whole = level = stored(
+        df.select(document_id.alias("d"), F.lit("").alias("path"), F.try_parse_json(F.col(document)).alias("v")).filter("v IS NOT NULL"),
+        "drift-level",
+    )
+    counted = None
+    while True:
+        opened = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(
+            "d",
+            F.when(F.col("key").isNotNull(), F.concat_ws(".", F.nullif("path", F.lit("")), "key")).otherwise(F.concat("path", F.lit("[]"))).alias("path"),
+            F.col("value").alias("v"),
+            F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0).alias("found_type"),
+        )
+        below = stored(opened, "drift-level")
+        release(whole)
+        found = stored(below.groupBy("path", "found_type").agg(F.count_distinct("d").alias("rows")), "drift-paths")
+        counted = found if counted is None else counted.unionAll(found)
+        whole, level = below, below.filter(F.col("found_type").isin("OBJECT", "ARRAY")).select("d", "path", "v")
+        if level.isEmpty():
+            release(whole)
+            break
+    wanted = spark.createDataFrame(list(contract.items()), "path string, wanted_type string")
+    problem = (
+        F.when(F.col("found_type").isNull(), "missing")
+        .when(F.col("wanted_type").isNull(), "unexpected")
+        .when(F.col("wanted_type") != F.col("found_type"), "retyped")
+    )
+    return counted.join(wanted, "path", "full_outer").select(
+        "path", "found_type", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), problem.alias("problem")
+    )
+
+
 def null_rates(df: DataFrame, batch: str | Column, columns: Sequence[str]) -> DataFrame:
     """(batch, column, null_rate, change): share of NULLs per batch and its change from the batch before."""
     key = F.col(batch) if isinstance(batch, str) else batch

@@ -40,6 +40,14 @@ def exact_sum(value: str, scale: int | None) -> Column:
     return F.expr(exact_sum_sql(value, scale))
 
 
+def exact_units(value: str, scale: int) -> Column:
+    """A double as whole units of ``scale`` decimals, to be added up in parts; more decimals than that raise."""
+    scaled = F.col(value) * F.lit(float(10**scale))
+    whole = F.abs(scaled - F.rint(scaled)) <= F.abs(scaled) * F.lit(1e-15)
+    wrong = F.raise_error(F.concat(F.lit(f"a value of {value} has more than {scale} decimals: "), F.col(value).cast("string")))
+    return F.when(scaled.isNull(), F.lit(None)).when(whole, F.rint(scaled)).otherwise(wrong.cast("double")).cast("bigint")
+
+
 def grouped_sum(
     df: DataFrame, keys: Sequence[str], value: str, out: str, scale: int | None = None
 ) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierloom.operators.ranking import top_per_group
@@ -123,3 +123,29 @@ def compare_snapshots(
             *[F.col(f"n.{name}").alias(f"new_{name}") for name in values],
         )
     )
+
+
+def validity(history: DataFrame, keys: Sequence[str], values: Sequence[str], at: str) -> DataFrame:
+    """(keys, values, valid_from, valid_to) over any number of extractions: one row per run of equal values of a key.
+
+    ``at`` is the extraction of a row. An extraction that lacks a key ends its run; ``valid_to`` is the first extraction
+    that no longer shows the values, NULL while the newest one does. A key that an extraction has several times counts
+    with its greatest values. Rows of one key meet in one task, at most one per extraction.
+    """
+    keys, values = list(keys), list(values)
+    state = F.struct(*[F.col(name) for name in values])
+    once = history.groupBy(*keys, F.col(at).alias("_at")).agg(F.max(state).alias("_state"))
+    # The extractions, of which there are few, say which one follows; an absence is a gap between two of them.
+    times = history.select(F.col(at).alias("_at")).distinct()
+    ordered = Window.orderBy("_at")
+    numbered = times.select("_at", F.row_number().over(ordered).alias("_place"), F.lead("_at").over(ordered).alias("_next"))
+    placed = once.join(numbered, "_at")
+    of_key = Window.partitionBy(*keys).orderBy("_place")
+    before = F.lag(F.struct("_place", "_state")).over(of_key)
+    same = (before["_place"] == F.col("_place") - 1) & before["_state"].eqNullSafe(F.col("_state"))
+    marked = placed.withColumn("_new", (~F.coalesce(same, F.lit(False))).cast("int"))
+    runs = marked.withColumn("_run", F.sum("_new").over(of_key))
+    intervals = runs.groupBy(*keys, "_run").agg(
+        F.first("_state").alias("_state"), F.min("_at").alias("valid_from"), F.max(F.struct("_place", "_next")).alias("_end")
+    )
+    return intervals.select(*keys, *[F.col(f"_state.`{name}`") for name in values], "valid_from", F.col("_end._next").alias("valid_to"))

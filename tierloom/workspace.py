@@ -1,4 +1,4 @@
-"""Where jobs keep checkpoints and intermediate files, and the session settings they want."""
+"""Where jobs keep checkpoints and intermediate files, when these are deleted, and the session settings jobs want."""
 
 from __future__ import annotations
 
@@ -8,10 +8,15 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+# Folders that are still there, by the scope that owns them; the first scope is the application's.
+_SCOPES: list[dict[str, SparkSession]] = [{}]
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -30,8 +35,70 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A folder name below the shared root that no earlier run has used."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A folder name below the shared root that no earlier run has used, owned by the innermost ``scratch`` scope."""
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _SCOPES[-1][path] = spark
+    return path
+
+
+@contextmanager
+def scratch() -> Iterator[dict[str, SparkSession]]:
+    """Own every folder that is made inside the block, and delete them at its end, whether it fails or not.
+
+    A result that is still to be computed has to be written inside the block. What is made outside of all blocks is
+    deleted when the application ends.
+    """
+    scope: dict[str, SparkSession] = {}
+    _SCOPES.append(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPES.remove(scope)
+        for path, spark in scope.items():
+            remove_folder(spark, path)
+
+
+def keep(table: DataFrame) -> DataFrame:
+    """Hand the folder of a stored table over from the innermost scope to the one around it."""
+    path = _FOLDERS.get(table)
+    if path in _SCOPES[-1] and len(_SCOPES) > 1:
+        _SCOPES[-2][path] = _SCOPES[-1].pop(path)
+    return table
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark writes to; nothing happens if it is not there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: cuts the lineage, survives lost executors."""
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the folders of stored tables that nothing will read again. Other tables are left alone."""
+    for table in tables:
+        path = _FOLDERS.pop(table, None)
+        if path is not None:
+            for scope in _SCOPES:
+                scope.pop(path, None)
+            remove_folder(table.sparkSession, path)
+
+
+@atexit.register
+def _end_of_application() -> None:
+    for path, spark in _SCOPES[0].items():
+        try:
+            remove_folder(spark, path)
+        except (Py4JError, OSError, AttributeError, AssertionError):
+            # The session's process has ended before this one; nothing can be reached any more.
+            return
 
 
 @contextmanager

@@ -12,6 +12,7 @@ from tierloom.operators.expectations import Expectation, enforce, report
 from tierloom.operators.listing import discover_links, reconcile
 from tierloom.plans import gold, sql
 from tierloom.plans.checks import best_year_checks, population_checks, series_population_checks
+from tierloom.workspace import stored
 from workloads import inputs
 from workloads.registry import OBSERVATIONS, POPULATION, QUARTERLY, YEARLY, query
 
@@ -325,13 +326,13 @@ def gold_best_year_sql(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(PAIRED_SQL)
 def gold_series_reference(spark: SparkSession, folder: str) -> DataFrame:
-    observations = inputs.stored(inputs.observations(spark, folder), "observations")
+    observations = stored(inputs.observations(spark, folder), "observations")
     return gold.series_population(observations, inputs.population(spark, folder), SERIES, "Q01", NATION)
 
 
 @query(PAIRED_SQL)
 def gold_series_reference_sql(spark: SparkSession, folder: str) -> DataFrame:
-    observations = inputs.stored(inputs.observations(spark, folder), "observations")
+    observations = stored(inputs.observations(spark, folder), "observations")
     return sql.series_population(spark, observations, inputs.population(spark, folder), SERIES, "Q01", NATION)
 
 
@@ -342,7 +343,7 @@ def gold_series_reference_sql(spark: SparkSession, folder: str) -> DataFrame:
 )
 def metric_with_reference(spark: SparkSession, folder: str) -> DataFrame:
     """The population is stored first, as in a refresh, so that Spark knows its size."""
-    people = inputs.stored(inputs.population(spark, folder), "population")
+    people = stored(inputs.population(spark, folder), "population")
     return gold.metric_with_population(inputs.observations(spark, folder), people, NATION)
 
 
@@ -394,8 +395,8 @@ def check_suite(spark: SparkSession, folder: str) -> DataFrame:
 
     As in a refresh, the checks read stored tables, so that nothing is derived once per check.
     """
-    observations = inputs.stored(inputs.observations(spark, folder), "observations")
-    people = inputs.stored(inputs.population(spark, folder), "population")
+    observations = stored(inputs.observations(spark, folder), "observations")
+    people = stored(inputs.population(spark, folder), "population")
     no_measures = inputs.measures(spark, folder).withColumn("measure_code", F.concat(F.lit("x"), "measure_code"))
     series, sectors = inputs.series(spark, folder), inputs.sectors(spark, folder)
     best = gold.best_year_by_series(observations, series, no_measures, sectors, scale=2)
@@ -403,7 +404,7 @@ def check_suite(spark: SparkSession, folder: str) -> DataFrame:
     return suite(
         [
             population_checks(gold.population_stats(people, NATION, 1996, 1998)),
-            best_year_checks(inputs.stored(best, "best-year"), gold.yearly_totals(observations, scale=2)),
+            best_year_checks(stored(best, "best-year"), gold.yearly_totals(observations, scale=2)),
             series_population_checks(
                 gold.series_population(observations, people, SERIES, "Q01", NATION),
                 chosen,
@@ -514,7 +515,7 @@ def link_discovery(spark: SparkSession, folder: str) -> DataFrame:
 )
 def source_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     """Names linked from secure pages stand for landed files, names linked from the other pages for the listing."""
-    links = inputs.stored(discover_links(inputs.table(spark, folder, "pages")), "links")
+    links = stored(discover_links(inputs.table(spark, folder, "pages")), "links")
     secure = F.col("file_url").startswith("https:")
     landed = links.filter(secure).select(F.concat("file_name", F.lit(".20260814120000")).alias("landed_name"))
     return reconcile(landed, links.filter(~secure), "landed_name", "file_name")

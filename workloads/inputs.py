@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierloom.operators.ranking import exact_sum
-from tierloom.workspace import fresh_folder
 
 PAD = "      "
 # Population of a year is published in the next one, so the first year of observations has none beside it.
@@ -22,14 +21,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a derived table to the shared folder and read it back, for inputs that several queries scan."""
-    spark = df.sparkSession
-    path = fresh_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def text(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 

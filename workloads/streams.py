@@ -5,8 +5,8 @@ Files, checkpoints and tables go below the shared folder of the session.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import datetime
+from collections.abc import Callable, Iterator
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +16,19 @@ from tierloom.functions.columns import extraction_time, trim_headers
 from tierloom.operators.checks import require
 from tierloom.operators.dedup import distinct_rows, first_arrival
 from tierloom.operators.expectations import enforce, stream_report
-from tierloom.operators.versions import latest_version, upsert_partitions
+from tierloom.operators.states import LG_K, batch_anomalies, batch_states, dataset_summary, united
+from tierloom.operators.versions import latest_version, upsert_partitions, validity
 from tierloom.plans import gold, sql
-from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, SECTORS, SERIES, Spec, refine, refine_latest
+from tierloom.plans.incremental import TOTAL_KEYS, best_year_of_totals, refresh_totals
+from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, SECTORS, SERIES, Spec, project, refine, refine_latest
 from tierloom.sources.evolution import RESCUE, SchemaLog
 from tierloom.sources.files import LINEAGE, infer_types, json_stream, tsv_batch, tsv_stream, with_lineage
 from tierloom.sources.landing import TSV, land_snapshot
 from tierloom.sources.tables import folder_stream, table_stream
 from tierloom.streaming.flows import GLOBS, Layout, run_all
+from tierloom.streaming.keyed import AddedTable, MergedTable, first_arrival_stream, newest, upsert_stream, without_removed
 from tierloom.streaming.runs import append_all, finish, publish, start_append
-from tierloom.workspace import fresh_folder
+from tierloom.workspace import fresh_folder, release, stored
 from workloads import inputs
 from workloads.batch import BEST_SQL, NATION, PAIRED_SQL, RULES, best_year_inputs
 from workloads.batch import SERIES as SERIES_ID
@@ -34,6 +37,8 @@ from workloads.registry import query
 
 FIRST = datetime(2026, 8, 14, 12, 0, 0)
 SECOND = datetime(2026, 8, 15, 12, 0, 0)
+# Hash buckets of keyed tables.
+BUCKETS = 8
 
 
 def stored_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -334,13 +339,14 @@ def silver_observations(spark: SparkSession, folder: str) -> DataFrame:
     return silver.select("series_id", "year", "period")
 
 
-@query(
-    """SELECT CAST(o_orderkey AS VARCHAR) AS series_id, CAST(year(o_orderdate) AS INTEGER) AS year,
-              'Q0' || quarter(o_orderdate) AS period,
-              CASE WHEN year(o_orderdate) < 1998 THEN o_totalprice ELSE o_totalprice + 1 END AS value,
-              CASE WHEN year(o_orderdate) < 1998 THEN 'first' ELSE 'second' END AS footnote_codes
-       FROM orders"""
-)
+FIRST_ARRIVAL_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS series_id, CAST(year(o_orderdate) AS INTEGER) AS year,
+       'Q0' || quarter(o_orderdate) AS period,
+       CASE WHEN year(o_orderdate) < 1998 THEN o_totalprice ELSE o_totalprice + 1 END AS value,
+       CASE WHEN year(o_orderdate) < 1998 THEN 'first' ELSE 'second' END AS footnote_codes
+    FROM orders"""
+
+
+@query(FIRST_ARRIVAL_SQL)
 def silver_first_arrival(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as observations, one row per key in each landing. The second landing brings all of them with corrected
     values, of which only the keys that the first one lacked are taken; all columns are returned."""
@@ -504,6 +510,182 @@ def silver_population_latest(spark: SparkSession, folder: str) -> DataFrame:
     return refine_latest(bronze, POPULATION).drop(LINEAGE)
 
 
+# Tables kept up to date by key, without a state store
+
+
+@query(
+    """WITH changes AS (
+         SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey, o_totalprice, o_orderstatus FROM orders)
+       SELECT o_custkey, year, o_orderkey, o_totalprice FROM (
+         SELECT * FROM changes
+         QUALIFY row_number() OVER (PARTITION BY o_custkey, year ORDER BY o_orderkey DESC) = 1)
+       WHERE o_orderstatus <> 'P'"""
+)
+def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as corrections of one row per customer and year, the order number as sequence. Three landings bring them
+    out of order, the first one lands once more, and the last batch is run again; a pending order removes its key."""
+    work = fresh_folder(spark, "stream-upsert")
+    changes = inputs.table(spark, folder, "orders").select(
+        "o_custkey", F.year("o_orderdate").alias("year"), "o_orderkey", "o_totalprice",
+        (F.col("o_orderstatus") == "P").alias("removed"),
+    )
+    target = MergedTable(spark, f"{work}/target", ["o_custkey", "year"], BUCKETS)
+    for third in (2, 0, 1, 2):
+        landed = changes.filter(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == third)
+        landed.write.mode("append").parquet(f"{work}/landed")
+        stream = spark.readStream.schema(changes.schema).parquet(f"{work}/landed")
+        finish([upsert_stream(stream, f"{work}/checkpoint", target, "o_orderkey")])
+    last = target.last()
+    target.merge(landed, last.source, last.batch, newest(target.keys, "o_orderkey"))
+    return without_removed(target.read(), "removed")
+
+
+def land_orders(spark: SparkSession, folder: str, work: str) -> Iterator[DataFrame]:
+    """Orders as observations in two landings, the second with corrected values of all keys; bronze after each."""
+    orders = inputs.table(spark, folder, "orders")
+    text = [
+        F.concat(inputs.text("o_orderkey"), F.lit(inputs.PAD)).alias("series_id"),
+        inputs.text(F.year("o_orderdate")).alias("year"),
+        F.concat(F.lit("Q0"), inputs.text(F.quarter("o_orderdate"))).alias("period"),
+    ]
+    first = orders.filter(F.year("o_orderdate") < 1998).select(
+        *text, inputs.text("o_totalprice").alias("value"), F.lit("first").alias("footnote_codes")
+    )
+    second = orders.select(
+        *text, inputs.text(F.col("o_totalprice") + 1).alias("value"), F.lit("second").alias("footnote_codes")
+    )
+    for snapshot, at in ((first, FIRST), (second, SECOND)):
+        land_snapshot(snapshot, work, "data", at, file_format="csv", **TSV)
+        yield run(trim_headers(tsv_stream(spark, f"{work}/data*")), work, "bronze")
+
+
+@query(FIRST_ARRIVAL_SQL)
+def dedup_against_table(spark: SparkSession, folder: str) -> DataFrame:
+    """``silver_first_arrival`` without a state store: the silver table itself says which keys have been seen."""
+    work = fresh_folder(spark, "dedup-table")
+    for _ in land_orders(spark, folder, work):
+        silver = AddedTable(spark, f"{work}/silver", OBSERVATIONS.key, BUCKETS)
+        rows = project(folder_stream(spark, f"{work}/bronze"), OBSERVATIONS)
+        finish([first_arrival_stream(rows, f"{work}/checkpoint-silver", silver, OBSERVATIONS.expectations)])
+    return silver.read().drop(LINEAGE)
+
+
+@query(
+    """SELECT 'taxed' AS name, count(*) FILTER (nullif(l_tax, 0) > 0.02) AS passed,
+              count(*) - count(*) FILTER (nullif(l_tax, 0) > 0.02) AS failed FROM lineitem
+       UNION ALL
+       SELECT 'not_returned', count(*) FILTER (l_returnflag <> 'R'),
+              count(*) - count(*) FILTER (l_returnflag <> 'R') FROM lineitem
+       UNION ALL
+       SELECT 'shipped', count(l_shipdate), count(*) - count(l_shipdate) FROM lineitem"""
+)
+def expect_metrics_commit(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts that are committed together with the rows they belong to."""
+    work = fresh_folder(spark, "metrics-commit")
+    kept = AddedTable(spark, f"{work}/kept", ["l_orderkey", "l_linenumber"], BUCKETS)
+    finish([first_arrival_stream(stored_stream(spark, folder, "lineitem").drop(LINEAGE), f"{work}/checkpoint", kept, RULES)])
+    return kept.report(RULES)
+
+
+@query(BEST_SQL)
+def incremental_best_year(spark: SparkSession, folder: str) -> DataFrame:
+    """Observations land in three parts by period; after each the kept totals gain what silver gained."""
+    work = fresh_folder(spark, "incremental-gold")
+    observed = stored(inputs.observations(spark, folder).withColumn("footnote_codes", F.lit("R")), "observations")
+    silver = AddedTable(spark, f"{work}/silver", OBSERVATIONS.key, BUCKETS)
+    totals = MergedTable(spark, f"{work}/totals", TOTAL_KEYS, BUCKETS)
+    for batch, periods in enumerate((("Q02", "Q05"), ("Q01", "Q04"), ("Q03",))):
+        silver.insert_new(observed.filter(F.col("period").isin(*periods)), "landed", batch, OBSERVATIONS.expectations)
+        refresh_totals(silver, totals, scale=2)
+    release(observed)
+    lookups = [source(spark, folder) for source in (inputs.series, inputs.measures, inputs.sectors)]
+    return best_year_of_totals(totals.read(), *lookups, scale=2)
+
+
+# Four extractions of the same customers; balances and names change on the way, and some are missing in between.
+HISTORY_SQL = """WITH history AS (
+         SELECT c_custkey, day, CASE WHEN day >= 3 AND c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS balance,
+                CASE WHEN day = 2 AND c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS segment
+         FROM customer, (VALUES (1), (2), (3), (4)) t(day) WHERE NOT (day = 2 AND c_custkey % 7 = 0) AND NOT (day = 4 AND c_custkey % 11 = 0)),
+       marked AS (
+         SELECT *, CASE WHEN lag(day) OVER w = day - 1 AND lag(balance) OVER w IS NOT DISTINCT FROM balance
+                             AND lag(segment) OVER w IS NOT DISTINCT FROM segment THEN 0 ELSE 1 END AS fresh
+         FROM history WINDOW w AS (PARTITION BY c_custkey ORDER BY day)),
+       runs AS (SELECT *, sum(fresh) OVER (PARTITION BY c_custkey ORDER BY day) AS run FROM marked)
+       SELECT c_custkey, any_value(balance) AS balance, any_value(segment) AS segment, CAST(min(day) AS INTEGER) AS valid_from,
+              CAST(CASE WHEN max(day) < 4 THEN max(day) + 1 END AS INTEGER) AS valid_to
+       FROM runs GROUP BY c_custkey, run"""
+
+
+@query(HISTORY_SQL)
+def validity_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """From when to when every customer had its values, over four landed extractions."""
+    work = fresh_folder(spark, "history")
+    customers = inputs.table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    key = F.col("c_custkey")
+    for at in (1, 2, 3, 4):
+        present = ~((F.lit(at) == 2) & (key % 7 == 0)) & ~((F.lit(at) == 4) & (key % 11 == 0))
+        raised = F.when((F.lit(at) >= 3) & (key % 3 == 0), F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
+        segment = F.when((F.lit(at) == 2) & (key % 5 == 0), F.lit(None)).otherwise(F.col("c_mktsegment"))
+        snapshot = customers.filter(present).select("c_custkey", raised.alias("balance"), segment.alias("segment"))
+        land_snapshot(snapshot, work, "customers", FIRST + timedelta(days=at), file_format="parquet")
+    landed = spark.read.parquet(f"{work}/customers.*")
+    extracted = extraction_time(F.col(f"{LINEAGE}.file_path"))
+    history = landed.withColumn("at", F.datediff(extracted, F.lit(FIRST.date())))
+    return validity(history, ["c_custkey"], ["balance", "segment"], "at")
+
+
+# What the states say exactly; their sketches are held against the exact number with the stated error.
+STATES_SQL = """SELECT l_shipmode AS dataset, count(*) AS "rows", CAST(0 AS DOUBLE) AS null_rate,
+              round(avg(l_extendedprice), 6) AS mean, round(stddev_pop(l_extendedprice), 4) AS deviation, true AS near
+       FROM lineitem GROUP BY 1"""
+
+
+@query(STATES_SQL.replace("l_shipmode", "l_returnflag"))
+def monitoring_states(spark: SparkSession, folder: str) -> DataFrame:
+    """States per flag and year are appended in three refreshes; the summary reads them alone. ``near``: the distinct
+    orders are within four standard errors of the exact number."""
+    work = fresh_folder(spark, "states")
+    lines = inputs.table(spark, folder, "lineitem")
+    states = MergedTable(spark, f"{work}/states", ["dataset", "batch"], BUCKETS)
+    for third in range(3):
+        part = lines.filter(F.pmod("l_linenumber", F.lit(3)) == third)
+        gained = batch_states(part, "l_returnflag", F.year("l_shipdate"), ["l_orderkey"], "l_extendedprice")
+        states.merge(gained, "lines", third, united)
+    summary = dataset_summary(states.read())
+    exact = lines.groupBy(F.col("l_returnflag").alias("dataset")).agg(F.count_distinct("l_orderkey").alias("orders"))
+    error = 4 * 1.04 / (1 << LG_K) ** 0.5
+    near = F.abs(F.col("distinct_keys") - F.col("orders")) <= error * F.col("orders")
+    return summary.join(exact, "dataset").select(
+        "dataset", "rows", F.col("null_rate").cast("double").alias("null_rate"), F.round("mean", 6).alias("mean"),
+        F.round("deviation", 4).alias("deviation"), near.alias("near"),
+    )
+
+
+@query(
+    """WITH counts AS (SELECT event_type AS dataset, strftime(ts, '%Y-%m-%d') AS batch, count(*) AS "rows" FROM events GROUP BY 1, 2),
+       judged AS (
+         SELECT *, avg("rows") OVER w AS expected, stddev_pop("rows") OVER w AS deviation, count(*) OVER w AS known
+         FROM counts WINDOW w AS (PARTITION BY dataset ORDER BY batch ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+       SELECT dataset, batch, "rows", round(expected, 6) AS expected, round(deviation, 6) AS deviation,
+              CASE WHEN known >= 2 THEN abs("rows" - expected) > 1.5 * deviation END AS anomalous
+       FROM judged"""
+)
+def state_anomalies(spark: SparkSession, folder: str) -> DataFrame:
+    """``count_anomaly`` from states that two refreshes left, not from the events."""
+    work = fresh_folder(spark, "state-anomalies")
+    events = inputs.table(spark, folder, "events")
+    states = MergedTable(spark, f"{work}/states", ["dataset", "batch"], BUCKETS)
+    for half in range(2):
+        part = events.filter(F.pmod("event_id", F.lit(2)) == half)
+        gained = batch_states(part, "event_type", F.date_format("ts", "yyyy-MM-dd"), ["user_id"], "user_id", scale=0)
+        states.merge(gained, "events", half, united)
+    judged = batch_anomalies(states.read(), 7, 1.5)
+    return judged.select(
+        "dataset", "batch", "rows", F.round("expected", 6).alias("expected"), F.round("deviation", 6).alias("deviation"), "anomalous"
+    )
+
+
 # Stored results
 
 
