@@ -82,13 +82,13 @@ def test_only_touched_buckets_are_read_and_rewritten(spark, tmp_path):
     first, second = table.commits()
     changed = [b for b in first.live if first.live[b] != second.live[b]]
     assert len(first.live) == 16 and len(changed) == 1
-    written = os.listdir(tmp_path / "t" / "rows" / "version=2")
+    written = os.listdir(tmp_path / "t" / "rows" / "_v=2")
     assert [name for name in written if name.startswith("_bucket")] == [f"_bucket={changed[0]}"]
     assert table.read(changed).inputFiles() and all(f"_bucket={changed[0]}/" in f for f in table.read(changed).inputFiles())
     # Versions that neither of the last two commits shows are gone.
     table.merge(spark.range(200).selectExpr("id AS k", "2 AS n"), "s", 2, keep)
     table.merge(spark.range(200).selectExpr("id AS k", "3 AS n"), "s", 3, keep)
-    assert sorted(os.listdir(tmp_path / "t" / "rows")) == ["version=3", "version=4"]
+    assert sorted(os.listdir(tmp_path / "t" / "rows")) == ["_v=3", "_v=4"]
     assert table.read().filter("n = 3").count() == 200
 
 
@@ -165,7 +165,7 @@ def test_totals_read_only_what_silver_gained(spark, tmp_path):
     for batch, part in enumerate(parts):
         silver.insert_new(spark.createDataFrame(part, schema), "in", batch)
         gained = silver.read(after=batch)
-        assert all(f"version={batch + 1}/" in path for path in gained.inputFiles())
+        assert all(f"_v={batch + 1}/" in path for path in gained.inputFiles())
         assert refresh_totals(silver, totals) and not refresh_totals(silver, totals)
     everything = added_up(partial_totals(silver.read()))
     assert rows(totals.read(), "series_id", "year", "units", "n") == rows(everything, "series_id", "year", "units", "n")

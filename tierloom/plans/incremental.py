@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tierloom.operators.joins import lookup
 from tierloom.operators.ranking import exact_units, top_per_group
 from tierloom.plans.gold import QUARTERS, series_labels
-from tierloom.streaming.keyed import AddedTable, MergedTable
+from tierloom.streaming.keyed import AddedTable, MergedTable, follow
 
 TOTAL_KEYS = ("series_id", "year")
 
@@ -34,21 +34,25 @@ def refresh_totals(
     Only files of the new commits are read, and only buckets of totals that they touch are rewritten. The commit of the
     totals names the newest commit it has seen, so a refresh that is run again adds nothing twice.
     """
-    newest, before = observations.last(), totals.last()
-    seen = before.batch if before else 0
-    if newest is None or newest.version <= seen:
-        return False
-    gained = observations.read(after=seen, upto=newest.version)
-    return totals.merge(partial_totals(gained, periods, scale), observations.folder, newest.version, added_up)
+
+    def add(gained: DataFrame, source: str, batch: int) -> bool:
+        return totals.merge(partial_totals(gained, periods, scale), source, batch, added_up)
+
+    return follow(observations, totals, add)
+
+
+def yearly_values(totals: DataFrame, scale: int = 2) -> DataFrame:
+    """(series_id, year, annual_value) of kept totals; NULL where no value was there to add."""
+    value = F.when(F.col("n") > 0, F.col("units").cast("double") / F.lit(float(10**scale)))
+    return totals.select(*TOTAL_KEYS, value.alias("annual_value"))
 
 
 def best_year_of_totals(
     totals: DataFrame, series: DataFrame, measures: DataFrame, sectors: DataFrame, scale: int = 2
 ) -> DataFrame:
     """The same table as ``gold.best_year_by_series``, from kept totals."""
-    value = F.when(F.col("n") > 0, F.col("units").cast("double") / F.lit(float(10**scale)))
-    yearly = totals.select(*TOTAL_KEYS, value.alias("annual_value"))
-    best = top_per_group(yearly, ["series_id"], [F.col("annual_value").desc(), F.col("year").asc()])
+    order = [F.col("annual_value").desc(), F.col("year").asc()]
+    best = top_per_group(yearly_values(totals, scale), ["series_id"], order)
     return lookup(best, series_labels(series, measures, sectors), "series_id").select(
         "series_id", "series_label", F.col("year").alias("best_year"), F.col("annual_value").alias("best_year_value")
     )

@@ -19,6 +19,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tierloom.operators.expectations import REPORT, Expectation, observed
 from tierloom.operators.ranking import top_per_group
+from tierloom.sources.evolution import widen
 from tierloom.streaming.runs import STREAM_SETTINGS
 from tierloom.workspace import release, remove_folder, settings, stored
 
@@ -40,9 +41,11 @@ class Commit:
     buckets: int
     live: Mapping[int, int] = field(default_factory=dict)
     counts: Mapping[str, int] = field(default_factory=dict)
+    # Types found so far, by column, for tables whose columns are kept as text.
+    types: Mapping[str, str] = field(default_factory=dict)
 
     def text(self) -> str:
-        parts = {name: getattr(self, name) for name in ("version", "source", "batch", "buckets", "counts")}
+        parts = {name: getattr(self, name) for name in ("version", "source", "batch", "buckets", "counts", "types")}
         return json.dumps({**parts, "live": sorted(self.live.items()), "schema": self.schema.json()})
 
     @staticmethod
@@ -59,13 +62,11 @@ def same_key(left: str, right: str, keys: Iterable[str]) -> Column:
     return condition
 
 
-class KeyedTable:
-    """Versions of Parquet files below ``folder``, partitioned by a hash of ``keys``."""
+class CommittedTable:
+    """Versions of Parquet files below ``folder``, one per batch, of which those with a commit count."""
 
-    def __init__(self, spark: SparkSession, folder: str, keys: Sequence[str], buckets: int = BUCKETS):
-        self.spark, self.folder, self.keys = spark, folder.rstrip("/"), list(keys)
-        known = self.last()
-        self.buckets = known.buckets if known else buckets
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
 
     def _commits(self) -> DataFrame | None:
         try:
@@ -91,31 +92,15 @@ class KeyedTable:
     def holds(self, source: str, batch: int) -> bool:
         return any(c.source == source and c.batch == batch for c in self.commits())
 
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(key) for key in self.keys]), F.lit(self.buckets)).cast("int")
-
     def path(self, version: int) -> str:
-        return f"{self.folder}/rows/version={version}"
-
-    def _write(self, rows: DataFrame, version: int) -> None:
-        """All rows of a bucket go to one file; leftovers of a failed attempt at this version are overwritten."""
-        # A bucket follows from the key alone, so a hot key is one row here: both kinds of table hold a key once.
-        rows.repartition(F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(self.path(version))
+        return f"{self.folder}/rows/_v={version}"
 
     def _commit(self, commit: Commit) -> None:
         entry = self.spark.createDataFrame([(commit.version, commit.text())], COMMIT).coalesce(1)
         entry.write.mode("overwrite").json(f"{self.folder}/commits/batch={commit.version}")
 
-    def _touched(self, rows: DataFrame) -> list[int]:
-        """The buckets of some rows; at most as many as there are buckets."""
-        return sorted(row[0] for row in rows.select(BUCKET).distinct().collect())
-
-
-class AddedTable(KeyedTable):
-    """A table that only gains rows: the first of every key that arrives, with counts of expectations per batch."""
-
     def read(self, after: int = 0, upto: int | None = None) -> DataFrame | None:
-        """All rows, or those that commits after a version added; None before the first commit."""
+        """All rows, or those that commits after a version added, with all columns known by then; None before the first."""
         commits = [c for c in self.commits() if upto is None or c.version <= upto]
         if not commits:
             return None
@@ -123,9 +108,69 @@ class AddedTable(KeyedTable):
         paths = [self.path(c.version) for c in commits if c.version > after]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(with_bucket(schema)).option("basePath", f"{self.folder}/rows").parquet(*paths)
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.folder}/rows").parquet(*paths)
         return rows.select(*[F.col(f"`{name}`") for name in schema.fieldNames()])
 
+
+class AppendedTable(CommittedTable):
+    """A table that gains all rows of every batch. Columns may be added, also inside structs."""
+
+    def append(self, rows: DataFrame, source: str, batch: int, seen: Observation | None = None, types: Callable | None = None) -> bool:
+        """Add the rows of a batch; False if they have been added before.
+
+        ``seen`` observes them while they are written, and ``types`` makes the types that the commit holds of what it
+        saw, so that both are there together or not at all.
+        """
+        if self.holds(source, batch):
+            return False
+        before = self.last()
+        version = before.version + 1 if before else 1
+        schema = widen(before.schema, rows.schema) if before else rows.schema
+        rows.write.mode("overwrite").parquet(self.path(version))
+        found = types(seen.get) if types else {}
+        self._commit(Commit(version, source, batch, schema, 0, types=found))
+        return True
+
+
+def follow(source: CommittedTable, target: CommittedTable, step: Callable[[DataFrame, str, int], object]) -> bool:
+    """Give ``step`` what ``source`` has gained since ``target`` last took from it; False if that is nothing.
+
+    Only files of the new commits are read. The step commits to ``target`` under the folder and the version it is given,
+    so what is followed again after a failure is not taken twice.
+    """
+    newest = source.last()
+    taken = max((c.batch for c in target.commits() if c.source == source.folder), default=0)
+    if newest is None or newest.version <= taken:
+        return False
+    step(source.read(after=taken, upto=newest.version), source.folder, newest.version)
+    return True
+
+
+class KeyedTable(CommittedTable):
+    """A table partitioned by a hash of ``keys``, with each key once."""
+
+    def __init__(self, spark: SparkSession, folder: str, keys: Sequence[str], buckets: int = BUCKETS):
+        super().__init__(spark, folder)
+        self.keys = list(keys)
+        known = self.last()
+        self.buckets = known.buckets if known else buckets
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(key) for key in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def _write(self, rows: DataFrame, version: int) -> None:
+        """All rows of a bucket go to one file; leftovers of a failed attempt at this version are overwritten."""
+        # A bucket follows from the key alone, so a hot key is one row here: both kinds of table hold a key once.
+        rows.repartition(F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(self.path(version))
+
+    def _touched(self, rows: DataFrame) -> list[int]:
+        """The buckets of some rows; at most as many as there are buckets."""
+        return sorted(row[0] for row in rows.select(BUCKET).distinct().collect())
+
+
+class AddedTable(KeyedTable):
+    """A table that only gains rows: the first of every key that arrives, with counts of expectations per batch."""
+
     def _known(self, touched: list[int]) -> DataFrame | None:
         """Keys of stored rows in some buckets: only the key columns are read, and only these buckets."""
         commits = self.commits()

@@ -22,11 +22,15 @@ from tierloom.plans import gold, sql
 from tierloom.plans.incremental import TOTAL_KEYS, best_year_of_totals, refresh_totals
 from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, SECTORS, SERIES, Spec, project, refine, refine_latest
 from tierloom.sources.evolution import RESCUE, SchemaLog
+from tierloom.sources.evolving import append_json, append_tsv, lines, read_typed, tsv_into
 from tierloom.sources.files import LINEAGE, infer_types, json_stream, tsv_batch, tsv_stream, with_lineage
 from tierloom.sources.landing import TSV, land_snapshot
 from tierloom.sources.tables import folder_stream, table_stream
 from tierloom.streaming.flows import GLOBS, Layout, run_all
-from tierloom.streaming.keyed import AddedTable, MergedTable, first_arrival_stream, newest, upsert_stream, without_removed
+from tierloom.streaming.keyed import (
+    AddedTable, AppendedTable, MergedTable, first_arrival_stream, follow, newest, start_batches, upsert_stream, without_removed,
+)
+from tierloom.streaming.refresh import Store, refresh
 from tierloom.streaming.runs import append_all, finish, publish, start_append
 from tierloom.workspace import fresh_folder, release, stored
 from workloads import inputs
@@ -602,6 +606,153 @@ def incremental_best_year(spark: SparkSession, folder: str) -> DataFrame:
     return best_year_of_totals(totals.read(), *lookups, scale=2)
 
 
+# Columns and types that change from file to file
+
+
+@query(
+    """WITH steps AS (
+         SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN year(o_orderdate) < 1995 THEN 1 WHEN year(o_orderdate) < 1997 THEN 2 ELSE 3 END AS landed
+         FROM orders)
+       SELECT step, kind, o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS code,
+              CASE landed WHEN 1 THEN CAST(floor(o_totalprice) AS DOUBLE) WHEN 2 THEN o_totalprice END AS number,
+              CASE WHEN landed = 3 THEN 'x' || o_orderkey END AS word
+       FROM steps JOIN (VALUES (1, 'int'), (2, 'double'), (3, 'string')) t(step, kind) ON landed <= step"""
+)
+def typed_ingestion(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole numbers, then numbers with decimals, then words land in the same column, in one checkpoint. After each
+    landing all rows are read in the type that they need together; the codes stay text with their zeros."""
+    work = fresh_folder(spark, "typed")
+    orders = inputs.table(spark, folder, "orders")
+    price, year = F.col("o_totalprice"), F.year("o_orderdate")
+    parts = [
+        (year < 1995, inputs.text(F.floor(price))),
+        (year.between(1995, 1996), inputs.text(price.cast("decimal(18,2)"))),
+        (year >= 1997, F.concat(F.lit("x"), inputs.text("o_orderkey"))),
+    ]
+    bronze = AppendedTable(spark, f"{work}/bronze")
+    seen = []
+    for step, (chosen, value) in enumerate(parts, 1):
+        code = F.lpad(inputs.text("o_custkey"), 12, "0").alias("code")
+        landed = orders.filter(chosen).select(inputs.text("o_orderkey").alias("o_orderkey"), code, value.alias("value"))
+        land_snapshot(landed, f"{work}/raw", "orders", FIRST + timedelta(days=step), file_format="csv", **TSV)
+        finish([tsv_into(lines(spark, f"{work}/raw/orders*"), f"{work}/checkpoint", bronze, keep_text=("code",))])
+        rows = read_typed(bronze)
+        seen.append(
+            rows.select(
+                F.lit(step).alias("step"), F.lit(dict(rows.dtypes)["value"]).alias("kind"), F.col("o_orderkey").cast("bigint"), "code",
+                F.col("value").try_cast("double").alias("number"),
+                F.when(F.col("value").try_cast("double").isNull(), F.col("value").cast("string")).alias("word"),
+            )
+        )
+    return seen[0].unionAll(seen[1]).unionAll(seen[2])
+
+
+def gained_orders(bronze: AppendedTable, silver: AddedTable, columns: dict[str, str]) -> None:
+    """Typed rows of what bronze gained, into silver. Columns that no file has brought yet are NULL."""
+
+    def add(gained: DataFrame, source: str, version: int) -> bool:
+        present = [F.col(f"`{name}`") if name in gained.columns else F.lit(None).alias(name) for name in columns]
+        rows = gained.select(*present).select(*[F.trim(F.col(n).cast("string")).try_cast(t).alias(n) for n, t in columns.items()])
+        return silver.insert_new(rows, source, version)
+
+    follow(bronze, silver, add)
+
+
+@query(
+    """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS o_orderpriority,
+              CASE WHEN o_orderkey % 3 = 2 THEN o_custkey END AS o_custkey, CAST(1 AS BIGINT) AS copies FROM orders"""
+)
+def tsv_evolution(spark: SparkSession, folder: str) -> DataFrame:
+    """The second landing has another column, the third, which lands while the first run is still busy, one more in front.
+    All are read from silver, each row once."""
+    work = fresh_folder(spark, "tsv-evolution")
+    orders = inputs.table(spark, folder, "orders")
+    columns = {"o_orderkey": "bigint", "o_totalprice": "double", "o_orderpriority": "string", "o_custkey": "bigint"}
+
+    def land(third: int) -> None:
+        names = [["o_orderkey", "o_totalprice"], ["o_orderkey", "o_totalprice", "o_orderpriority"], ["o_custkey", "o_orderpriority", "o_totalprice", "o_orderkey"]]
+        part = orders.filter(F.col("o_orderkey") % 3 == third).select(*names[third])
+        land_tsv(part, f"{work}/raw", "orders", FIRST + timedelta(days=third))
+
+    bronze = AppendedTable(spark, f"{work}/bronze")
+    silver = AddedTable(spark, f"{work}/silver", ["o_orderkey"], BUCKETS)
+
+    def busy(batch: DataFrame, source: str, number: int) -> None:
+        if number == 0:
+            land(2)
+        append_tsv(batch, source, number, bronze)
+
+    land(0)
+    for third in (None, 1, None):
+        if third is not None:
+            land(third)
+        finish([start_batches(lines(spark, f"{work}/raw/orders*"), f"{work}/checkpoint", busy)])
+        gained_orders(bronze, silver, columns)
+    return silver.read().groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query(
+    """SELECT event_id, event_type, CASE WHEN event_id % 2 = 1 THEN value END AS value,
+              CASE WHEN event_id % 2 = 1 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k, CAST(1 AS BIGINT) AS copies
+       FROM events"""
+)
+def json_evolution(spark: SparkSession, folder: str) -> DataFrame:
+    """Objects with a new column and a new field inside a struct land while the first run is busy; all are read from
+    silver, each once."""
+    work = fresh_folder(spark, "json-evolution")
+    events = inputs.table(spark, folder, "events")
+    kind, k = F.col("event_type").alias("event_type"), F.get_json_object("props", "$.k").cast("bigint").alias("k")
+
+    def land(half: int) -> None:
+        part = events.filter(F.col("event_id") % 2 == half)
+        data = F.struct(kind, k) if half else F.struct(kind)
+        land_snapshot(part.select("event_id", data.alias("data"), *(["value"] if half else [])), f"{work}/raw", "events", FIRST + timedelta(days=half))
+
+    bronze = AppendedTable(spark, f"{work}/bronze")
+    silver = AddedTable(spark, f"{work}/silver", ["event_id"], BUCKETS)
+
+    def busy(batch: DataFrame, source: str, number: int) -> None:
+        if number == 0:
+            land(1)
+        append_json(batch, source, number, bronze)
+
+    def add(gained: DataFrame, source: str, version: int) -> bool:
+        late = {"value": "double", "k": "bigint"}
+        fields = {name: F.col(name if name == "value" else "data.k") for name in late if name in gained.columns + gained.schema["data"].dataType.names}
+        columns = [fields.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in late.items()]
+        return silver.insert_new(gained.select("event_id", "data.event_type", *columns), source, version)
+
+    land(0)
+    for _ in range(2):
+        finish([start_batches(lines(spark, f"{work}/raw/events*"), f"{work}/checkpoint", busy)])
+        follow(bronze, silver, add)
+    return silver.read().groupBy("event_id", "event_type", "value", "k").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query(BEST_SQL)
+def refresh_without_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed text and JSON through all layers in two refreshes, each layer taking what the one before has gained."""
+    work = fresh_folder(spark, "stateless")
+    schema = new_schema(spark, work)
+    layout = Layout(
+        productivity_raw=f"{work}/files", population_raw=f"{work}/raw/*", bronze_population_folder=f"{work}/unused",
+        checkpoints=f"{work}/checkpoints", analytics=schema,
+    )
+    store = Store(spark, f"{work}/store", BUCKETS)
+    observed = stored(inputs.observations(spark, folder).withColumn("footnote_codes", F.lit("R")), "observations")
+    land_tsv(inputs.series(spark, folder), f"{work}/files", "pr.series")
+    land_tsv(inputs.measures(spark, folder), f"{work}/files", "pr.measure")
+    land_tsv(inputs.sectors(spark, folder), f"{work}/files", "pr.sector")
+    early = F.col("period").isin("Q01", "Q02", "Q05")
+    for part, at in ((early, FIRST), (~early, SECOND)):
+        land_tsv(observed.filter(part), f"{work}/files", "pr.data.1.AllData", at)
+        land_population(spark, folder, work, (at,))
+        _, verdicts = refresh(store, layout, nation=NATION, years=(1996, 1998), series_id=SERIES_ID, period="Q01", scale=2)
+        require(verdicts)
+    release(observed)
+    return spark.table(layout.name("gold_best_year_by_series"))
+
+
 # Four extractions of the same customers; balances and names change on the way, and some are missing in between.
 HISTORY_SQL = """WITH history AS (
          SELECT c_custkey, day, CASE WHEN day >= 3 AND c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS balance,
