@@ -14,13 +14,13 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from itertools import islice
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tierloom.llm.common import as_text, free_name, stored
 
@@ -223,15 +223,22 @@ def _rows(lists: pa.Array) -> Iterator[list[int]]:
         yield [] if null else values[low:high].tolist()
 
 
-def _texts(rows: Iterator[str]) -> pa.Array:
-    parts = [pa.array([], pa.string())]
-    while part := list(islice(rows, ROWS_AT_ONCE)):
-        parts.append(pa.array(part, pa.string()))
-    return pa.concat_arrays(parts)
+def _in_slices(make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], schema: StructType) -> Callable:
+    """For ``mapInArrow``: columns that ``make()`` adds to ROWS_AT_ONCE rows at a time, so that memory follows those."""
+    names = schema.fieldNames()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        added = make()
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                yield pa.RecordBatch.from_arrays([*part.columns, *added(part)], names=names)
+
+    return run
 
-def _step(result: str, start: Callable, function: Callable[[Encoder | Decoder, pa.Array], pa.Array]) -> Callable[..., Column]:
-    """An Arrow function of a column; ``start`` makes the encoder or decoder, once per task."""
+
+def _step(result: str, start: Callable, function: Callable[[Encoder, pa.Array], pa.Array]) -> Callable[..., Column]:
+    """An Arrow function of a column; ``start`` makes the encoder, once per task."""
 
     @F.arrow_udf(result)
     def step(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -250,21 +257,19 @@ PARTS_ARROW = pa.list_(
 
 def encode(
     docs: DataFrame, text: str = "text", into: str = "ids", tokenizer_path: str = TOKENIZER, leaf: int = LEAF,
-    block: int = BLOCK,
+    block: int = BLOCK, decoded: str | None = None,
 ) -> DataFrame:
     """Add the token ids of every whole text, as the tokenizer gives them without special tokens of its own.
 
     Strings of special tokens inside a text are those tokens. Null and empty texts have none; repeated rows are encoded
     alike; an empty table gives none; other columns are kept, but one named ``into`` is replaced. Texts without
     a run of over ``block`` characters take one pass and no shuffle. The parts of others are rows that are dealt to all
-    tasks, and only their tokens come together again, per text.
+    tasks, and only their tokens come together again, per text. ``decoded`` names a column that takes the text of the
+    ids again, in the same pass.
     """
-    docs = docs.drop(into) if into != text else docs
+    docs = docs.drop(into, *([decoded] if decoded else []))
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_bytes(tokenizer_path))
 
-    def all_at_once(encoder: Encoder, texts: pa.Array) -> pa.Array:
-        return _lists(encoder.encode(text.as_py() or "") for text in texts)
-
     def in_parts(encoder: Encoder, texts: pa.Array) -> pa.Array:
         return pa.array([list(encoder.open_parts(text.as_py() or "", block)) for text in texts], PARTS_ARROW)
 
@@ -277,11 +282,22 @@ def encode(
     def start() -> Encoder:
         return Encoder(shared.value, leaf)
 
-    whole, encoded, closed = (_step("array<int>", start, f) for f in (all_at_once, one_part, joined))
+    def both() -> Callable[[pa.RecordBatch], list[pa.Array]]:
+        encoder, decoder = start(), Decoder(shared.value) if decoded else None
+
+        def added(rows: pa.RecordBatch) -> list[pa.Array]:
+            ids = _lists(encoder.encode(value.as_py() or "") for value in rows.column(text))
+            return [ids, *([pa.array(map(decoder.decode, _rows(ids)), pa.string())] if decoder else [])]
+
+        return added
+
+    encoded, closed = (_step("array<int>", start, f) for f in (one_part, joined))
     opened = _step(PARTS, start, in_parts)
     runs = F.transform(F.split(as_text(text), f"[{GAP}]+"), F.length)
     giant = F.when(F.length(as_text(text)) > block, F.array_max(runs) > block).otherwise(False)
-    easy = docs.filter(~giant).withColumn(into, whole(F.col(text)))
+    fields = [StructField(into, ArrayType(IntegerType())), *([StructField(decoded, StringType())] if decoded else [])]
+    schema = StructType([*docs.schema.fields, *fields])
+    easy = docs.filter(~giant).mapInArrow(_in_slices(both, schema), schema)
 
     key, place, part, ids = (free_name(docs, name) for name in ("text_row", "part_place", "text_part", "part_ids"))
     rows = stored(docs.filter(giant).withColumn(key, F.monotonically_increasing_id()), "bpe-long-texts")
@@ -300,8 +316,8 @@ def encode(
         key, F.transform(part, lambda p: F.struct(p["ids"], p["part"], p["joined"], p["final"])).alias(part)
     )
     hard = rows.join(texts.select(key, closed(F.col(part)).alias(ids)), key, "left")
-    hard = hard.withColumn(into, F.coalesce(F.col(ids), F.array().cast("array<int>")))
-    return easy.unionByName(hard.select(easy.columns))
+    hard = hard.withColumn(into, F.coalesce(F.col(ids), F.array().cast("array<int>"))).drop(key, ids)
+    return easy.unionByName(decode(hard, into, decoded, tokenizer_path) if decoded else hard)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", into: str = "decoded", tokenizer_path: str = TOKENIZER) -> DataFrame:
@@ -310,20 +326,19 @@ def decode(encoded: DataFrame, ids: str = "ids", into: str = "decoded", tokenize
     A column named ``into`` is replaced; no shuffle.
     """
     shared = encoded.sparkSession.sparkContext.broadcast(tokenizer_bytes(tokenizer_path))
+    encoded = encoded.drop(into)
+    schema = StructType([*encoded.schema.fields, StructField(into, StringType())])
 
-    def start() -> Decoder:
-        return Decoder(shared.value)
-
-    def texts(decoder: Decoder, lists: pa.Array) -> pa.Array:
-        return _texts(map(decoder.decode, _rows(lists)))
+    def texts() -> Callable[[pa.RecordBatch], list[pa.Array]]:
+        decoder = Decoder(shared.value)
+        return lambda rows: [pa.array(map(decoder.decode, _rows(rows.column(ids))), pa.string())]
 
-    return encoded.withColumn(into, _step("string", start, texts)(F.col(ids)))
+    return encoded.mapInArrow(_in_slices(texts, schema), schema)
 
 
 def bpe_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    encoded = encode(docs.select("doc_id", "text"), **options)
-    decoded = decode(encoded, tokenizer_path=options.get("tokenizer_path", TOKENIZER))
+    decoded = encode(docs.select("doc_id", "text"), decoded="decoded", **options)
     listed = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
