@@ -205,3 +205,34 @@ def whitening(vectors: list[list[float]], count: int):
     covariance = centred.T @ centred / n
     values, directions = np.linalg.eigh(covariance)
     return np.array(x), n, sums, values[::-1][:count], directions[:, ::-1][:, :count], np.trace(covariance)
+
+
+def weak_supervision(votes: list[list[int]], rounds: int, start=(0.93, 0.3, 0.8), weight: float = 20.0) -> list[float]:
+    """Posterior of every document by plain expectation-maximisation over documents, not patterns."""
+    for_good, against_bad, prior = start
+    tables = [(for_good, against_bad)] * len(votes[0])
+
+    def good_probability(row):
+        odds = prior / (1 - prior)
+        for vote, (good, bad) in zip(row, tables, strict=True):
+            odds *= {1: good / (1 - bad), 0: 1.0, -1: (1 - good) / bad}[vote]
+        return odds / (1 + odds)
+
+    for _ in range(rounds):
+        good = [good_probability(row) for row in votes]
+        moved = []
+        for rule in range(len(tables)):
+            sums = Counter()
+            for row, g in zip(votes, good, strict=True):
+                sums[row[rule], 1] += g
+                sums[row[rule], 0] += 1 - g
+            a = (weight * for_good + sums[1, 1]) / (weight + sums[1, 1] + sums[-1, 1])
+            b = (weight * against_bad + sums[-1, 0]) / (weight + sums[1, 0] + sums[-1, 0])
+            a, b = (min(max(x, 1e-4), 1 - 1e-4) for x in (a, b))
+            moved.append((a, max(b, 1 - a)))
+        share = (weight * start[2] + sum(good)) / (weight + len(good))
+        change = max(abs(x - y) for x, y in zip([share, *sum(moved, ())], [prior, *sum(tables, ())], strict=True))
+        prior, tables = share, moved
+        if change < 1e-4:
+            break
+    return [good_probability(row) for row in votes]

@@ -9,6 +9,7 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as contract
+from tierloom.llm import quality
 from tierloom.llm.queries import ORACLES, QUERIES
 
 LARGER = "/root/testdata/sf0.01"
@@ -64,6 +65,32 @@ def test_quality_finds_what_labels_call_bad(spark):
     assert right >= 0.98 * len(rows)
 
 
+def test_quality_follows_plain_expectation_maximisation(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    for rounds in (0, 3, quality.ROUNDS):
+        rows = quality.judge(docs, rounds=rounds).filter("not base_failed").select("votes", "quality").collect()
+        want = brute.weak_supervision([r["votes"] for r in rows], rounds)
+        assert all(math.isclose(r["quality"], w, rel_tol=1e-6, abs_tol=1e-9) for r, w in zip(rows, want, strict=True))
+
+
+def test_quality_is_neither_a_filter_that_all_must_pass_nor_its_starting_point(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").withColumnRenamed("quality", "label")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = quality.judge(docs).join(labels, "doc_id", "left").select("doc_id", "votes", "base_failed", "kept", "label").collect()
+    kept = {r["doc_id"] for r in rows if r["kept"]}
+    all_pass = {r["doc_id"] for r in rows if not r["base_failed"] and -1 not in r["votes"]}
+    start = {r["doc_id"] for r in quality.judge(docs, rounds=0).filter("kept").select("doc_id").collect()}
+    assert kept != all_pass and len(kept ^ start) > 100
+    judged = [r for r in rows if not r["base_failed"] and r["label"] is not None]
+
+    def right(chosen):
+        return sum((r["doc_id"] in chosen) == (r["label"] == 1) for r in judged)
+
+    assert right(kept) >= right(all_pass) and right(kept) > right(start)
+    assert right(kept) >= 0.999 * len(judged)
+
+
 def test_secret_base(spark, texts):
     for r in run(spark, 4).collect():
         want = brute.base_secrets(texts[r["doc_id"]])
