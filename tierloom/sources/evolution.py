@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
+from tierloom.workspace import release, stored
+
 RESCUE = "_rescued"
+# New files that are named in one read.
+AT_ONCE = 10_000
 
 
 def widen(known: DataType, found: DataType) -> DataType:
@@ -35,12 +41,13 @@ def infer_json(
     pinned: StructType | None = None,
     glob: str | None = None,
     multi_line: bool = False,
+    recursive: bool = False,
 ) -> StructType | None:
     """Schema of the landed snapshots; ``pinned`` fields take the given type (e.g. ``{}`` kept as text).
 
     All rows count: a field seen once must not be lost. None when there are no files.
     """
-    reader = spark.read.option("multiLine", multi_line)
+    reader = spark.read.option("multiLine", multi_line).option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if not paths:
@@ -95,6 +102,14 @@ class SchemaLog:
             self.spark.createDataFrame([entry], self.COLUMNS).coalesce(1).write.mode("append").json(self.folder)
         return merged
 
+    def _seen(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(self.FILES).parquet(f"{self.folder}_files")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def _new_files(self, path: str, glob: str | None) -> DataFrame:
         """(file, length, changed) of landed files that no refresh has looked at: a listing, no content is read.
 
@@ -105,26 +120,33 @@ class SchemaLog:
             reader = reader.option("pathGlobFilter", glob)
         listed = reader.load(path).selectExpr("path AS file", "length", "CAST(modificationTime AS string) AS changed")
         listed = listed.filter(~F.substring_index("file", "/", -1).rlike(r"^[._]"))
-        try:
-            seen = self.spark.read.schema(self.FILES).parquet(f"{self.folder}_files")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return listed
-        return listed.join(seen, ["file", "length", "changed"], "left_anti")
+        seen = self._seen()
+        fresh = listed if seen is None else listed.join(seen, ["file", "length", "changed"], "left_anti")
+        return stored(fresh, "new-files")
+
+    def _parts(self, fresh: DataFrame) -> Iterator[list[str]]:
+        """Names of new files as readers take them, AT_ONCE at a time."""
+        names = (quoted(row["file"]) for row in fresh.select("file").toLocalIterator())
+        while part := list(islice(names, AT_ONCE)):
+            yield part
 
     def refresh(self, path: str, *, glob: str | None = None, **options) -> StructType:
         """Schema for the next run: what is known plus the fields of files no refresh has looked at.
 
-        The new files are listed by name on the driver, as Spark's own readers list theirs.
+        The first refresh reads all files by their folder; later ones name the new files, AT_ONCE in one read. The notes
+        of files are written as a table, not from the driver.
         """
-        fresh = self._new_files(path, glob).collect()
-        found = infer_json(self.spark, [quoted(row["file"]) for row in fresh], **options)
+        first = self._seen() is None
+        fresh = self._new_files(path, glob)
+        found = infer_json(self.spark, path, glob=glob, recursive=True, **options) if first else None
+        for part in [] if first else self._parts(fresh):
+            more = infer_json(self.spark, part, **options)
+            found = widen(found, more) if found and more else found or more
         schema = self.absorb(found)
-        if fresh:
-            # Noted after the schema is saved: a failure in between only means that files are looked at again.
-            rows = self.spark.createDataFrame([tuple(row) for row in fresh], self.FILES)
-            rows.coalesce(1).write.mode("append").parquet(f"{self.folder}_files")
+        # Noted after the schema is saved: a failure in between only means that files are looked at again.
+        if not fresh.isEmpty():
+            fresh.write.mode("append").parquet(f"{self.folder}_files")
+        release(fresh)
         return schema
 
     def keep_late(self, path: str, used: StructType, folder: str, *, glob: str | None = None, **options) -> StructType:
@@ -133,11 +155,13 @@ class SchemaLog:
         Where they do, their whole records are stored in ``folder`` with the widened schema and their lineage, since
         the run may have read them already, without those fields. Later runs know the fields.
         """
-        fresh = [quoted(row["file"]) for row in self._new_files(path, glob).collect()]
+        fresh = self._new_files(path, glob)
         schema = self.refresh(path, glob=glob, **options)
-        if schema != used and fresh:
-            late = self.spark.read.schema(schema).option("columnNameOfCorruptRecord", RESCUE).json(fresh)
-            late.select("*", F.col("_metadata")).write.mode("append").parquet(folder)
+        if schema != used:
+            for part in self._parts(fresh):
+                late = self.spark.read.schema(schema).option("columnNameOfCorruptRecord", RESCUE).json(part)
+                late.select("*", F.col("_metadata")).write.mode("append").parquet(folder)
+        release(fresh)
         return schema
 
 
