@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import as_text, stored
+from tierloom.llm.common import as_text, release, stored
 
 LENGTH = 400
 # Places in a string where its anchor may be.
@@ -356,10 +356,11 @@ def _halved(large: DataFrame, first: int, last: int, length: int) -> DataFrame:
     )
 
 
-def _edge_ranges(contexts: DataFrame, length: int, window: int, group: int) -> DataFrame:
+def _edge_ranges(contexts: DataFrame, length: int, window: int, group: int, sources: tuple[DataFrame, ...]) -> DataFrame:
     """Repeated ranges of the single contexts, by sorting the contexts of each core; large groups are halved."""
     member = F.struct(*_KEYS, "single", "at", "low", "high", "data")
-    found = None
+    # What the level is still to be made from; each table goes when its last reader has been written.
+    found, before = None, sources
     # Halves of one round have the same width, one range of places each.
     level = contexts.withColumns({"first": F.lit(0).cast("long"), "last": F.lit(window - 1).cast("long")})
     while True:
@@ -376,8 +377,10 @@ def _edge_ranges(contexts: DataFrame, length: int, window: int, group: int) -> D
         large = sizes.filter(F.col("n") > group)
         spans = [(row["first"], row["last"]) for row in large.select("first", "last").distinct().collect()]
         if not spans:
+            release(level, sizes, *before)
             return found
         items = stored(level.join(large.select("core", "first", "last"), ["core", "first", "last"]), "repeat-large")
+        release(level, sizes, *before)
         parts = []
         for first, last in spans:  # as many as there are halves, WINDOW at most
             mine = items.filter((F.col("first") == first) & (F.col("last") == last)).drop("first", "last")
@@ -385,12 +388,17 @@ def _edge_ranges(contexts: DataFrame, length: int, window: int, group: int) -> D
         halves = parts[0]
         for part in parts[1:]:
             halves = halves.unionByName(part)
-        level, more = _settled(stored(halves, "repeat-halves"), length)
+        halves = stored(halves, "repeat-halves")
+        release(items)
+        level, more, counts = _settled(halves, length)
         found = found.unionByName(stored(more, "repeat-ranges"))
+        release(halves)
+        before = (counts,)
 
 
-def _settled(halves: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """Cut contexts that are still distinct, once each, and ranges of those that became equal to another."""
+def _settled(halves: DataFrame, length: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cut contexts that are still distinct, once each, ranges of those that became equal to another, and the stored
+    table that the former are made from."""
     named = halves.select("*", F.xxhash64("data").alias("h1"), F.md5("data").alias("h2"))
     keys = ["core", "first", "last", "low", "high", "h1", "h2"]
     counts = stored(
@@ -406,7 +414,7 @@ def _settled(halves: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
         "core", *[one[k].alias(k) for k in _KEYS], (one["single"] & (F.col("n") == 1)).alias("single"), one["at"].alias("at"),
         "low", "high", one["data"].alias("data"), "first", "last",
     )
-    return left, ranges
+    return left, ranges, counts
 
 
 def repeated_ranges(
@@ -420,6 +428,7 @@ def repeated_ranges(
     # for the join alone, and not where one comes from an aggregate by the same key.
     cores = stored(cores, "repeat-cores")
     again = stored(marks.join(cores, "core"), "repeat-again")
+    release(marks, cores)
     place = F.struct(*_KEYS, "at", "low", "high")
     contexts = stored(
         again.groupBy("core", "context").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("one")), "repeat-contexts"
@@ -427,12 +436,14 @@ def repeated_ranges(
     whole = again.join(contexts.filter("n > 1").select("core", "context"), ["core", "context"]).select(
         *_KEYS, (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + length).alias("end")
     )
+    whole = stored(whole, "repeat-whole")
+    release(again)
     mixed = contexts.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
     mixed = mixed.filter("kinds > 1 and least = 1")
     mixed = stored(mixed.select("core"), "repeat-mixed")
     wanted = contexts.join(mixed, "core").select("core", (F.col("n") == 1).alias("single"), "one.*")
     data = _find_contexts(keyed, wanted, length)
-    return whole.unionByName(_edge_ranges(data, length, window, group))
+    return whole.unionByName(_edge_ranges(data, length, window, group, (contexts, mixed)))
 
 
 def _merged(ranges: list[tuple[int, int]]) -> list[list[int]]:
