@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierloom.workspace import release, stored  # noqa: F401 - the operators take them from here
@@ -36,6 +36,22 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def turns(rows: DataFrame, keys: list[str], name: str, label: str) -> DataFrame:
+    """Add a running number from 0 to the rows of each key, in no special order, without bringing a key into one task.
+
+    Rows are stored with their partition; the counts per key and partition say where each partition goes on, so a task
+    numbers what one partition has of a key. Key columns may not be null.
+    """
+    part, place, before = (free_name(rows, n) for n in ("part", "place", "before"))
+    kept = stored(rows.withColumns({part: F.spark_partition_id(), place: F.monotonically_increasing_id()}), label)
+    counts = kept.groupBy(*keys, part).agg(F.count(F.lit(1)).alias(before))
+    earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0)))
+    within = F.row_number().over(Window.partitionBy(*keys, part).orderBy(place)) - 1
+    numbered = kept.withColumn(name, within).join(starts, [*keys, part])
+    return numbered.withColumn(name, F.col(name) + F.col(before)).drop(part, place, before)
+
+
 def arrow_step(function: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:
     """Turn a function of one Arrow batch into one of an iterator of batches, for ``mapInArrow``."""
 

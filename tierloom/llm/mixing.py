@@ -7,17 +7,21 @@ quality weight, and documents are taken in the order of their keys until their w
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import as_text, free_name, stored
+from tierloom.llm.common import as_text, release, stored, turns
 
 WEIGHTS = (5, 2, 1)
 # A source is repeated this often at most.
 MAX_EPOCHS = 3
 SEED = "mix-1"
-# Key ranges of a source whose sums are added up before documents inside a range are.
+# Key ranges of a source whose sums are added up before documents inside a range are; the range at the edge is divided
+# again until it has this many documents.
 RANGES = 1024
+EDGE_ROWS = 1 << 16
 # Symbols and digits that lower the quality weight of a text, and the least weight.
 MARKS = "[#*$%&|<>!0-9]+"
 LEAST_QUALITY = 0.1
@@ -78,22 +82,57 @@ def _source_key(source: Column) -> Column:
     return F.when(source.isNull(), "-").otherwise(F.concat(F.lit("="), source.cast("string")))
 
 
-def measured(docs: DataFrame, id_column: str, text: str, source: str) -> dict[str, Column]:
+def measured(docs: DataFrame, id_column: str, text: str, source: str, weight: str | None) -> dict[str, Column]:
     """Columns that a decision depends on: the source's key, size in words, and the sampling key."""
+    given = quality(text) if weight is None else F.greatest(F.lit(LEAST_QUALITY), F.coalesce(F.col(weight), F.lit(1.0)))
     return {
         "source_key": _source_key(F.col(source)),
         "size": words(text),
-        "sampling_key": sampling_key(id_column, text, quality(text)),
+        "sampling_key": sampling_key(id_column, text, given),
     }
 
 
+def _narrowed(sized: DataFrame, edges: DataFrame, place: Column) -> DataFrame:
+    """Of each source's key interval (low to high, ``start`` words before it) the part in which the sum reaches the rest.
+
+    ``place`` divides an interval into RANGES parts in the order of keys, whose sums are added up first.
+    """
+    inside = sized.join(edges, "source_key").filter(F.col("sampling_key").between(F.col("low"), F.col("high")))
+    sums = inside.groupBy("source_key", place.alias("range")).agg(
+        F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows"), F.min("sampling_key").alias("low"),
+        F.max("sampling_key").alias("high"), F.first("start").alias("start"), F.first("rest").alias("rest"),
+    )
+    earlier = Window.partitionBy("source_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sums.withColumn("start", F.col("start") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    reached = placed.filter("start <= rest and rest < start + n")
+    return reached.select("source_key", "low", "high", "start", "rest", "rows")
+
+
+def _edges(sized: DataFrame, goals: DataFrame) -> DataFrame:
+    """The key interval of each source in which the running sum reaches the rest, with at most EDGE_ROWS documents unless
+    all have the same key."""
+    whole = goals.select("source_key", F.lit(0.0).alias("low"), F.lit(math.inf).alias("high"), F.lit(0).cast("long").alias("start"), "rest")
+    # Even for keys of weight 1; others follow the keys that are there.
+    even = F.least(F.lit(RANGES - 1), F.floor(RANGES * (1 - F.exp(-F.col("sampling_key")))))
+    share = (F.col("sampling_key") - F.col("low")) / (F.col("high") - F.col("low"))
+    linear = F.least(F.lit(RANGES - 1), F.floor(RANGES * share))
+    edges = stored(_narrowed(sized, whole, even), "mix-edges")
+    wide = (F.col("rows") > EDGE_ROWS) & (F.col("low") < F.col("high"))
+    while not edges.filter(wide).isEmpty():
+        finer = stored(_narrowed(sized, edges.filter(wide).drop("rows"), linear).unionByName(edges.filter(~wide)), "mix-edges")
+        release(edges)
+        edges = finer
+    return edges
+
+
 def plan(narrow: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS) -> DataFrame:
-    """One stored row per source: source_size, target, whole epochs, and the last sampling key that is taken.
+    """One stored row per source: source_size, target, whole epochs, and where the order of sampling keys is cut.
 
     ``narrow`` has source_key, source, size and sampling_key. Sizes are added up per source and key range first; only
-    ranges, of which a source has ``RANGES``, are added up in order, then documents inside one range. So no task gets a
-    whole source. Documents whose midpoint in the running sum is within the rest are taken, which leaves the sum within
-    half a document of it. Equal keys (repeated rows) stand or fall together.
+    ranges, of which a source has ``RANGES``, are added up in order, and the one at the edge is divided until it is small.
+    So no task gets a whole source, whatever the weights. Documents whose midpoint in the running sum is within the rest
+    are taken, which leaves the sum within half a document of it. Of rows with the same key (repeated rows), which are as
+    long as each other, ``cut_taken`` of ``cut_rows`` are taken.
     """
     sizes = narrow.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
     goals = stored(targets(sizes, weights, most), "mix-targets")
@@ -101,65 +140,81 @@ def plan(narrow: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_
     goals = goals.withColumn("epochs", epochs.cast("long")).withColumn(
         "rest", F.col("target") - F.col("epochs") * F.col("source_size")
     )
-    ranged = narrow.withColumn(
-        "range", F.least(F.lit(RANGES - 1), F.floor(RANGES * (1 - F.exp(-F.col("sampling_key"))))).cast("int")
-    ).select("source_key", "range", "sampling_key", "size")
-    sums = ranged.groupBy("source_key", "range").agg(F.sum("size").alias("n"))
-    in_order = Window.partitionBy("source_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("source_key", "range", "n", F.coalesce(F.sum("n").over(in_order), F.lit(0)).alias("start"))
-    # The range in which the running sum reaches the rest; all documents of earlier ones are taken.
-    reached = starts.join(goals, "source_key").filter("start <= rest and rest < start + n")
-    edge = reached.select("source_key", "range", "start", "rest")
-    inside = ranged.join(edge, ["source_key", "range"])
-    running = Window.partitionBy("source_key", "range").orderBy("sampling_key")
-    upto = F.col("start") + F.sum("size").over(running.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    taken = inside.withColumn("upto", upto).filter(F.col("upto") - F.col("size") / 2 <= F.col("rest"))
-    last = taken.groupBy("source_key").agg(F.max("sampling_key").alias("last_key"))
-    # Below the range every document is taken, also if none inside it is.
-    cut = edge.join(last, "source_key", "left").select(
-        "source_key", F.col("range").alias("cut_range"), F.col("last_key").alias("cut_key")
+    sized = narrow.filter("size > 0").select("source_key", "sampling_key", "size")
+    edges = _edges(sized, goals)
+    inside = sized.join(edges, "source_key").filter(F.col("sampling_key").between(F.col("low"), F.col("high")))
+    # Equal keys as one row, at most EDGE_ROWS of them for a source.
+    same = inside.groupBy("source_key", "sampling_key").agg(
+        F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows"), F.first("start").alias("start"), F.first("rest").alias("rest")
+    )
+    earlier = Window.partitionBy("source_key").orderBy("sampling_key").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("start") + F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    fitting = F.floor((F.col("rest") - F.col("before")) / (F.col("n") / F.col("rows")) + 0.5)
+    counted = same.withColumn("before", before).withColumn("taken", F.least(fitting, F.col("rows"))).filter("taken > 0")
+    last = counted.groupBy("source_key").agg(F.max(F.struct("sampling_key", "taken", "rows")).alias("last"))
+    # Below the interval every document is taken, also if none inside it is.
+    cut = edges.join(last, "source_key", "left").select(
+        "source_key",
+        F.coalesce(F.col("last.sampling_key"), F.col("low")).alias("cut_key"),
+        F.coalesce(F.col("last.taken"), F.lit(0)).cast("long").alias("cut_taken"),
+        F.coalesce(F.col("last.rows"), F.lit(1)).alias("cut_rows"),
     )
     return stored(goals.join(cut, "source_key", "left").drop("rest", "source"), "mix-plan")
 
 
-def _copies() -> Column:
-    """How often a document is taken: every epoch, and once more if its key is below its source's cut."""
-    range_of = F.least(F.lit(RANGES - 1), F.floor(RANGES * (1 - F.exp(-F.col("sampling_key"))))).cast("int")
-    before = (range_of < F.col("cut_range")) | ((range_of == F.col("cut_range")) & (F.col("sampling_key") <= F.col("cut_key")))
-    return F.col("epochs") + F.when(before & (F.col("size") > 0), 1).otherwise(0)
+def _is_split() -> Column:
+    """Rows at the cut of which only some are taken."""
+    at_cut = (F.col("sampling_key") == F.col("cut_key")) & (F.col("size") > 0)
+    return F.coalesce(at_cut & (F.col("cut_taken") > 0) & (F.col("cut_taken") < F.col("cut_rows")), F.lit(False))
+
+
+def _with_copies(planned: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Add ``copies``, how often a row is taken: every epoch, and once more if its key is before its source's cut."""
+    whole = (F.col("sampling_key") < F.col("cut_key")) | (
+        (F.col("sampling_key") == F.col("cut_key")) & (F.col("cut_taken") == F.col("cut_rows"))
+    )
+    sure = planned.withColumn("copies", F.col("epochs") + F.when(whole & (F.col("size") > 0), 1).otherwise(0))
+    if chosen.filter("0 < cut_taken and cut_taken < cut_rows").isEmpty():
+        return sure
+    some = turns(planned.filter(_is_split()), ["source_key"], "turn", "mix-cut")
+    taken = some.withColumn("copies", F.col("epochs") + F.when(F.col("turn") < F.col("cut_taken"), 1).otherwise(0))
+    return sure.filter(~_is_split()).unionByName(taken.drop("turn"))
 
 
 def mix_documents(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source",
-    weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS,
+    weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS, weight: str | None = None,
 ) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken (copies times size) for every document.
 
-    Null and empty texts have size 0 and no extra copy; a null source is a source of its own, the last; an empty table
-    gives no rows. Texts are read once. The plan has a row per source; Spark broadcasts it only if its stored size is
+    ``weight`` names a column with the quality of a document, such as the posterior of the quality rules; without it the
+    share of a text that is neither symbol nor digit counts. Null and empty texts have size 0 and no extra copy; a null
+    source is a source of its own, the last; of repeated rows as many are taken as fit; an empty table gives no rows.
+    Texts are read once. The plan has a row per source; Spark broadcasts it only if its stored size is
     below its limit, else adaptive execution splits the sources with many documents.
     """
-    made = measured(docs, id_column, text, source)
+    made = measured(docs, id_column, text, source, weight)
     columns = [F.col(id_column).alias("doc_id"), F.col(source).alias("source"), *[c.alias(n) for n, c in made.items()]]
     narrow = stored(docs.select(*columns), "mix-documents")
-    planned = narrow.join(plan(narrow, weights, most), "source_key")
-    copies = _copies()
+    chosen = plan(narrow, weights, most)
+    planned = _with_copies(narrow.join(chosen, "source_key"), chosen)
     return planned.select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).cast("long").alias("taken"),
+        "doc_id", "source", "size", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).cast("long").alias("taken"),
     )
 
 
 def take(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source",
-    weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS,
+    weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS, weight: str | None = None,
 ) -> DataFrame:
     """The mixture itself: every document as many times as it is taken, with its own columns."""
-    made = measured(docs, id_column, text, source)
+    made = measured(docs, id_column, text, source, weight)
     narrow = stored(docs.select(F.col(source).alias("source"), *[c.alias(n) for n, c in made.items()]), "mix-documents")
     chosen = plan(narrow, weights, most)
+    release(narrow)
     # Own columns travel in one struct, so that no name clashes with those of the plan.
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
     planned = docs.select(whole, *[c.alias(n) for n, c in made.items()]).join(chosen, "source_key")
-    copies = F.array_repeat("document", _copies().cast("int"))
-    return planned.select(F.explode(copies).alias("document")).select("document.*")
+    copies = F.array_repeat("document", F.col("copies").cast("int"))
+    return _with_copies(planned, chosen).select(F.explode(copies).alias("document")).select("document.*")

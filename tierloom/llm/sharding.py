@@ -14,13 +14,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import as_text, free_name, stored
+from tierloom.llm.common import as_text, free_name, release, stored, turns
 
 SHARDS = 40
 SEED = 20240607
 ROUNDS = 6
-# Rows are numbered in this many independent groups; a group is sorted by one task.
+# Distinct rows are numbered in this many independent groups; a group is sorted by one task.
 NUMBERING_GROUPS = 4096
+# Equal rows that one step tells apart, and rows with texts that one task puts in order.
+AT_ONCE = 1 << 16
+SORTED = 1 << 12
 
 
 def _mix(values: np.ndarray, key: int) -> np.ndarray:
@@ -71,21 +74,34 @@ def row_at(shard: int, slot: int, rows: int, shards: int = SHARDS, seed: int = S
     return int(permute(np.array([place]), rows, seed, inverse=True)[0])
 
 
-def numbered(df: DataFrame, order: list[Column], group: Column, name: str) -> DataFrame:
-    """Add gapless global row numbers without sorting the table in one task.
+def numbered(counted: DataFrame, order: list[Column], group: Column, n: str, name: str) -> DataFrame:
+    """Add to distinct rows that stand for ``n`` rows each the first of as many gapless global numbers.
 
     Rows are numbered inside each of ``NUMBERING_GROUPS`` groups; a table of group sizes (bounded by the number of
-    groups) gives each group its offset. Rows equal in ``order`` are interchangeable.
+    groups) gives each group its offset.
     """
-    bucket, within, before = (free_name(df, n) for n in ("bucket", "within", "before"))
-    dealt = df.withColumn(bucket, F.pmod(group, F.lit(NUMBERING_GROUPS)).cast("int"))
-    sizes = dealt.groupBy(bucket).agg(F.count(F.lit(1)).alias(before))
-    ordered = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(bucket, F.coalesce(F.sum(before).over(ordered), F.lit(0)).alias(before))
-    ranked = dealt.withColumn(within, F.row_number().over(Window.partitionBy(bucket).orderBy(*order)))
+    bucket, before = (free_name(counted, column) for column in ("bucket", "before"))
+    dealt = counted.withColumn(bucket, F.pmod(group, F.lit(NUMBERING_GROUPS)).cast("int"))
+    sizes = dealt.groupBy(bucket).agg(F.sum(n).alias(before))
+    earlier = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(bucket, F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before))
+    within = Window.partitionBy(bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.withColumn(name, F.coalesce(F.sum(n).over(within), F.lit(0)))
     # At most NUMBERING_GROUPS rows of two numbers each.
-    joined = ranked.join(F.broadcast(offsets), bucket)
-    return joined.withColumn(name, F.col(before) + F.col(within) - 1).drop(bucket, within, before)
+    joined = placed.join(F.broadcast(offsets), bucket)
+    return joined.withColumn(name, F.col(before) + F.col(name)).drop(bucket, before)
+
+
+def spread(counted: DataFrame, n: str, turn: str) -> DataFrame:
+    """Each row ``n`` times, told apart by ``turn`` from 0. Rows that stand for many are dealt to several tasks first."""
+    few = counted.filter(F.col(n) <= AT_ONCE).withColumn(turn, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)))
+    starts = F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(AT_ONCE).cast("long"))
+    parts = counted.filter(F.col(n) > AT_ONCE).withColumn(turn, F.explode(starts))
+    # A number given is kept by adaptive execution, which would join the few rows there are before they grow.
+    tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = parts.repartition(tasks, *[F.col(c) for c in parts.columns])
+    many = dealt.withColumn(turn, F.explode(F.sequence(F.col(turn), F.least(F.col(turn) + AT_ONCE, F.col(n)) - 1)))
+    return few.unionByName(many)
 
 
 def measures(text: str | Column) -> dict[str, Column]:
@@ -94,27 +110,29 @@ def measures(text: str | Column) -> dict[str, Column]:
     return {"size": (F.octet_length(value) + 16).cast("long"), "text_crc32": F.crc32(value.cast("binary"))}
 
 
-def places(keys: DataFrame, order: list[str], shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """Add ``shard`` and ``slot`` to a narrow table, numbered by ``order``. The table is read twice: store it first.
+def places(keys: DataFrame, shards: int = SHARDS, seed: int = SEED, turn: str | None = None) -> DataFrame:
+    """Add ``shard`` and ``slot`` to a narrow table, numbered by all its columns.
 
-    Nulls sort first; rows equal in every ``order`` column are interchangeable; an empty table stays empty.
+    Equal rows are interchangeable: they are counted before anything is shuffled, numbered as one, and told apart again
+    by a running number (the column ``turn``, if named). Nulls sort first; an empty table stays empty.
     """
-    rows = keys.count()
-    number = free_name(keys, "row_number")
+    columns = [F.col(c) for c in keys.columns]
+    n, first, again = (free_name(keys, name) for name in ("n", "first", "again"))
+    counted = keys.groupBy(*columns).agg(F.count(F.lit(1)).alias(n))
+    placed = stored(numbered(counted, [c.asc_nulls_first() for c in columns], F.xxhash64(*columns), n, first), "shard-numbers")
+    rows = placed.agg(F.sum(n)).first()[0] or 0
 
     @F.pandas_udf("long")
     def shuffled(numbers: pd.Series) -> pd.Series:
         return pd.Series(permute(numbers.to_numpy(), rows, seed))
 
-    columns = [F.col(c) for c in order]
-    out = numbered(keys, [c.asc_nulls_first() for c in columns], F.xxhash64(*columns), number)
-    place = free_name(out, "place")
-    return (
-        out.withColumn(place, shuffled(F.col(number)))
-        .withColumn("shard", (F.col(place) % shards).cast("int"))
-        .withColumn("slot", F.floor(F.col(place) / shards).cast("long"))
-        .drop(place, number)
-    )
+    turned = spread(placed, n, again)
+    place = free_name(turned, "place")
+    out = turned.withColumn(place, shuffled(F.col(first) + F.col(again)))
+    return out.select(
+        *columns, *([F.col(again).alias(turn)] if turn else []), (F.col(place) % shards).cast("int").alias("shard"),
+        F.floor(F.col(place) / shards).cast("long").alias("slot"),
+    )
 
 
 def shard_documents(
@@ -127,7 +145,7 @@ def shard_documents(
     (id, checksum, size), so the result does not depend on files or partitions.
     """
     keys = docs.select(F.col(id_column).alias("doc_id"), *[c.alias(n) for n, c in measures(text).items()])
-    placed = places(stored(keys, "shard-keys"), ["doc_id", "text_crc32", "size"], shards, seed)
+    placed = places(keys.select("doc_id", "text_crc32", "size"), shards, seed)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
@@ -146,16 +164,23 @@ def with_places(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     # The id travels as text, with null told apart from any id, so that one equality joins all of them.
     identity = F.concat_ws(":", F.col(id_column).cast("string"), F.when(F.col(id_column).isNull(), "null").otherwise("id"))
     marked = docs.select("*", identity.alias(key), made["text_crc32"].alias(crc), made["size"].alias(size))
-    keys = stored(marked.select(key, crc, size), "shard-keys")
-    placed = stored(places(keys, [key, crc, size], shards, seed), "shard-places")
+    on = [key, crc, size]
+    keys = stored(marked.select(*on), "shard-keys")
+    placed = stored(places(keys, shards, seed, turn), "shard-places")
+    many = free_name(marked, "many")
     repeated = stored(
-        keys.groupBy(key, crc, size).count().filter("count > 1").select(key, crc, size), "shard-repeats"
+        keys.groupBy(*on).agg(F.count(F.lit(1)).alias(many)).filter(F.col(many) > 1), "shard-repeats"
     )
-    on = [key, crc, size]
+    release(keys)
     if repeated.isEmpty():
-        return marked.join(placed, on).drop(*on)
-    by = Window.partitionBy(*on)
-    several = marked.join(repeated, on).withColumn(turn, F.row_number().over(by.orderBy(F.col(text))))
-    slots = placed.join(repeated, on).withColumn(turn, F.row_number().over(by.orderBy("shard", "slot")))
+        return marked.join(placed, on).drop(*on, turn)
     once = marked.join(repeated, on, "left_anti").join(placed, on)
-    return once.drop(*on).unionByName(several.join(slots, [*on, turn]).drop(*on, turn))
+    several = marked.join(repeated, on)
+    few = several.filter(F.col(many) <= SORTED).withColumn(
+        turn, F.row_number().over(Window.partitionBy(*on).orderBy(F.xxhash64(F.col(text)))) - 1
+    )
+    if repeated.filter(F.col(many) > SORTED).isEmpty():
+        told = few
+    else:
+        told = few.unionByName(turns(several.filter(F.col(many) > SORTED), on, turn, "shard-hot"))
+    return once.unionByName(told.drop(many).join(placed, [*on, turn]).select(once.columns)).drop(*on, turn)
