@@ -236,3 +236,15 @@ def weak_supervision(votes: list[list[int]], rounds: int, start=(0.93, 0.3, 0.8)
         if change < 1e-4:
             break
     return [good_probability(row) for row in votes]
+
+
+def stretches(values: list[float], offset: int = 0) -> list[tuple[int, int, float]]:
+    """Ruzzo and Tompa's definition: the best stretch, then the same to its left and to its right."""
+    upto = [0.0]
+    for v in values:
+        upto.append(upto[-1] + v)
+    best = max(((upto[j] - upto[i], i - j, i, j) for i in range(len(values)) for j in range(i + 1, len(values) + 1)), default=(0,))
+    if best[0] <= 0:
+        return []
+    _, _, i, j = best
+    return [*stretches(values[:i], offset), (offset + i, offset + j - 1, best[0]), *stretches(values[j:], offset + j)]

@@ -158,9 +158,26 @@ def test_places_are_those_of_the_query(odd):
 
 
 def test_a_benchmark_in_blocks_gives_the_same(odd, benchmark):
-    one = decontaminate.contamination_report(odd, benchmark)
-    many = decontaminate.contamination_report(odd, benchmark, automaton_chars=1)
-    assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
+    long = benchmark.unionByName(odd.sparkSession.createDataFrame([(9, PROSE * 4)], "item_id long, text string"))
+    for items in (benchmark, long):
+        one = decontaminate.contamination_report(odd, items)
+        for nodes in (1, 90, 700):
+            many = decontaminate.contamination_report(odd, items, automaton_nodes=nodes)
+            assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
+
+
+def test_one_automaton_is_alive_at_a_time(odd, benchmark, monkeypatch):
+    """Windows are divided by their bytes, an item's too, and each block is scanned in a step of its own."""
+    blocks = list(decontaminate._blocks(benchmark.sparkSession.createDataFrame([(9, PROSE * 4), (8, "a b")], "item_id long, text string"), "item_id", "text", 200, 10))
+    whole = decontaminate.automaton([("9", PROSE * 4), ("8", "a b")])
+    parts = [decontaminate.automaton(block) for block in blocks]
+    assert len(blocks) > 3 and set(whole.keys()) == {key for part in parts for key in part.keys()}
+    assert all(sum(map(len, part.keys())) <= 200 for part in parts)
+    passes = []
+    keep = decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", lambda df, label: passes.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df, label))
+    decontaminate.contamination_report(odd, benchmark, automaton_nodes=1)
+    assert passes and all(plan.count("scanned(") == 1 for plan in passes)
 
 
 def test_large_simhash_buckets_are_divided(spark):

@@ -154,16 +154,17 @@ def test_a_batch_is_one_product(monkeypatch):
     products = []
     kept = language.sparse_matrices
     monkeypatch.setattr(language, "sparse_matrices", lambda t: (products.append(m) or m for m in kept(t)))
-    found = language.score_batch(texts, lambda: [(["x", "y", "z"], matrix)])
+    found = language.score_batch(texts, (["x", "y", "z"], matrix), [None] * len(texts))
     assert len(products) == 1 and len(products[0][0]) == 12
     for text, got in zip(texts, found, strict=True):
         plain = language.letters(text)
         if not plain:
-            assert got == {"language": "und", "score": 0.0}
+            assert got["language"] == "und" and got["total"] == 0
             continue
         logs = [row[language.columns_of(plain)].sum() + row[-1] for row in matrix]
         assert got["language"] == "xyz"[int(np.argmax(logs))]
-        assert got["score"] == pytest.approx(1 / np.exp(np.array(logs) - max(logs)).sum())
+        assert got["best"] == pytest.approx(max(logs))
+        assert got["total"] == pytest.approx(np.exp(np.array(logs) - max(logs)).sum())
 
 
 @given(st.text(alphabet="aB1-é ", max_size=40), st.lists(st.text(alphabet="aB1 é", max_size=12), max_size=3))

@@ -1,6 +1,9 @@
 """The registered queries against their SQL, plain versions, or held-out labels."""
 
 import math
+import random
+import string
+import zlib
 from collections import Counter
 
 import brute
@@ -9,7 +12,7 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as contract
-from tierloom.llm import quality
+from tierloom.llm import language, quality, secret_scan, toxicity
 from tierloom.llm.queries import ORACLES, QUERIES
 
 LARGER = "/root/testdata/sf0.01"
@@ -116,6 +119,31 @@ def test_language_on_held_out_documents(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_language_scores_are_plain_naive_bayes(spark):
+    """The same counts and the same formula, text by text, without batches, blocks or Spark."""
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text", "lang").collect()
+    counts, seen = {}, Counter()
+    for r in docs:
+        if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 and r["lang"] and r["text"] and language.letters(r["text"]):
+            counts.setdefault(r["lang"], Counter()).update(language.columns_of(language.letters(r["text"])).tolist())
+            seen[r["lang"]] += 1
+    sizes = {name: sum(c.values()) + language.SMOOTHING * language.COLUMNS for name, c in counts.items()}
+    found = {r["doc_id"]: r for r in run(spark, 6, LARGER).collect()}
+    for r in docs[:150]:
+        kept = language.letters(r["text"])
+        if not kept:
+            assert (found[r["doc_id"]]["lang_pred"], found[r["doc_id"]]["score"]) == ("und", 0)
+            continue
+        grams = language.columns_of(kept).tolist()
+        logs = {
+            name: math.log(seen[name] / sum(seen.values())) + sum(math.log((c[g] + language.SMOOTHING) / sizes[name]) for g in grams)
+            for name, c in counts.items()
+        }
+        best = max(logs, key=logs.get)
+        assert found[r["doc_id"]]["lang_pred"] == best
+        assert math.isclose(found[r["doc_id"]]["score"], 1 / sum(math.exp(x - logs[best]) for x in logs.values()), rel_tol=1e-6)
+
+
 def test_repeated_bytes(spark, texts):
     ids = list(texts)
     want = dict(zip(ids, brute.repeats([texts[i] for i in ids], 400), strict=True))
@@ -144,6 +172,54 @@ def test_mixture_comes_near_its_targets(spark):
     assert sum({r["source"]: r["target"] for r in rows}.values()) == pytest.approx(sum(r["size"] for r in rows))
 
 
+def test_toxicity_is_the_plain_scan_of_its_model(spark):
+    """Counts of tokens by class, and every score from all stretches of a text, without the linear scan."""
+    docs, labels = (spark.read.parquet(f"{LARGER}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.learn(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    known = {r["doc_id"]: r["toxic"] for r in labels.collect() if r["toxic"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1}
+    by_class, seen = {0: Counter(), 1: Counter()}, Counter(known[i] for i in known if texts.get(i) is not None)
+    for i, toxic in known.items():
+        by_class[toxic].update(set(toxicity.tokens(texts.get(i))))
+    base = (seen[1] + 1) / (seen[0] + seen[1] + 2)
+    for token, score in model["scores"].items():
+        t, c = by_class[1][token], by_class[0][token]
+        rate = (t + 2 * base) / (t + c + 2)
+        odds = math.log(rate / (1 - rate)) - math.log(base / (1 - base))
+        z = odds**2 / (1 / (t + 2 * base) + 1 / (c + 2 * (1 - base)))
+        assert t + c >= 4 and math.isclose(score, odds * z / (z + 9) - 0.5, rel_tol=1e-9)
+    found = {r["doc_id"]: r["score"] for r in run(spark, 10, LARGER).collect()}
+    short = [i for i in texts if len(toxicity.tokens(texts[i])) < 90][:60]
+    for i in short:
+        values = [model["scores"].get(word, -0.5) for word in toxicity.tokens(texts[i])]
+        total, best = toxicity.features([s for _, _, s in brute.stretches(values)], len(values), model["decay"], model["scale"])
+        place = model["beta"][0] + model["beta"][1] * total + model["beta"][2] * best
+        assert math.isclose(found[i], 1 / (1 + math.exp(-place)), rel_tol=1e-6)
+
+
+def test_random_keys_are_found_and_identifiers_are_not(spark):
+    """Keys and ordinary names planted into given texts: what the token test finds beside the patterns."""
+    dealt = random.Random(5)
+    rows = spark.read.parquet(f"{LARGER}/documents.parquet").filter("text is not null").orderBy("doc_id").limit(300).collect()
+    mixed = string.ascii_letters + string.digits
+    words = "user account service payment request handler internal message config provider session manager order value".split()
+    planted = []
+    for k, r in enumerate(rows):
+        if k % 2:
+            value = "".join(dealt.choices(mixed, k=dealt.choice((24, 32, 40))))
+        else:
+            value = dealt.choice("_-/").join(dealt.choices(words, k=4))
+        cut = len(r["text"]) // 2
+        planted.append((k, f"{r['text'][:cut]} {value} {r['text'][cut:]}", cut + 1, len(value)))
+    docs = spark.createDataFrame(planted, "doc_id long, text string, at long, n long")
+    found = {r["doc_id"]: r["spans"] for r in secret_scan.secret_report(docs).collect()}
+    before = {r["doc_id"]: r["spans"] for r in secret_scan.secret_report(spark.createDataFrame(rows)).collect()}
+    caught = sum(f"random:{at}:{at + n}" in found[k].split(",") for k, _, at, n in planted if k % 2)
+    false = sum("random" in found[k] for k, _, _, _ in planted if not k % 2)
+    assert caught >= 0.98 * 150 and false == 0
+    assert not any("random" in spans for spans in before.values())
+
+
 def test_toxicity_on_held_out_documents(spark):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     rows = run(spark, 10, "/root/testdata/sf0.1").join(labels, "doc_id").filter("held_out").collect()

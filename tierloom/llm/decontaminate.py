@@ -8,6 +8,7 @@ occurrence of a window is found and mapped back to the original text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -16,11 +17,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import free_name
+from tierloom.llm.common import free_name, release, stored
 
 WINDOW = 10
-# Benchmark text per automaton; larger benchmarks are split, and each part scans the texts in a pass of its own.
-AUTOMATON_CHARS = 16 << 20
+# Trie nodes of an automaton, at most as many as its windows have bytes: some hundred megabytes in a worker. Benchmarks
+# with more are split, and each part scans the texts in a pass of its own, one after the other.
+AUTOMATON_NODES = 4 << 20
 
 _KEPT = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
 _TO_WORDS = bytes(
@@ -123,16 +125,28 @@ def _scanner(items: list[tuple[str, str | None]], window: int):
     return scanned.asNondeterministic()  # keeps filters on the result from running it again
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterator[list[tuple[str, str | None]]]:
-    """The benchmark in blocks of at most ``limit`` characters (a longer item is a block of its own), one at least."""
+def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int, window: int) -> Iterator[list[tuple[str, str | None]]]:
+    """The benchmark in blocks whose windows have at most ``limit`` bytes (a longer window is a block of its own), one
+    at least. An item with more windows than fit goes on in the next block."""
     rows = benchmark.select(F.col(item_id).cast("string"), F.col(text)).filter(F.col(text).isNotNull())
     block, used = [], 0
     for item, passage in rows.toLocalIterator():
-        if used and used + len(passage) > limit:
-            yield block
-            block, used = [], 0
-        block.append(("" if item is None else item, passage))
-        used += len(passage)
+        words = normal_words(passage)
+        width = min(window, len(words))
+        ends = np.cumsum([0, *(len(word) + 1 for word in words)])
+        upto = np.cumsum(ends[width:] - ends[: len(ends) - width] + 1)  # bytes of all windows up to each
+        at, last = 0, len(words) - width + 1 if words else 0
+        while at < last:
+            before = int(upto[at - 1]) if at else 0
+            to = int(np.searchsorted(upto, before + limit - used, "right"))
+            if to <= at and block:
+                yield block
+                block, used = [], 0
+                continue
+            to = max(to, at + 1)
+            block.append(("" if item is None else item, b" ".join(words[at : to + width - 1]).decode("utf-8", "replace")))
+            used += int(upto[to - 1]) - before
+            at = to
     yield block
 
 
@@ -143,7 +157,7 @@ def mark_contamination(
     item_id: str = "item_id",
     item_text: str = "text",
     window: int = WINDOW,
-    automaton_chars: int = AUTOMATON_CHARS,
+    automaton_nodes: int = AUTOMATON_NODES,
     into: str = "contamination",
 ) -> DataFrame:
     """Add one column to the documents: n_words, covered words (first and last of each run), items with an occurring
@@ -151,13 +165,22 @@ def mark_contamination(
 
     Null and empty texts have no words; null or wordless items match nothing; an empty benchmark finds nothing;
     repeated rows give repeated results. No shuffle. A benchmark is a list of test questions that goes to the executors
-    as an automaton of bounded size; beyond ``automaton_chars`` further blocks scan the texts in turn, each adding to
-    what the former ones found, so a result does not depend on the limit.
+    as an automaton of at most ``automaton_nodes`` nodes. Beyond that, further blocks scan the texts in turn: the result
+    of each is stored before the next block is read, so that one automaton is alive at a time, and each adds to what the
+    former ones found, so the result does not depend on the limit.
     """
-    found = F.lit(None).cast(f"struct<{RESULT.replace(' long', ':long').replace(' array', ':array')}>")
-    for items in _blocks(benchmark, item_id, item_text, automaton_chars):
-        found = _scanner(items, window)(F.col(text), found)
-    return docs.withColumn(into, found)
+    empty = F.lit(None).cast(f"struct<{RESULT.replace(' long', ':long').replace(' array', ':array')}>")
+    marked, held = docs.withColumn(into, empty), None
+    blocks = _blocks(benchmark, item_id, item_text, automaton_nodes, window)
+    items = next(blocks)
+    for following in chain(blocks, [None]):
+        marked = marked.withColumn(into, _scanner(items, window)(F.col(text), F.col(into)))
+        if following is not None:
+            marked = stored(marked, "contamination")
+            if held is not None:
+                release(held)
+            held, items = marked, following
+    return marked
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:

@@ -7,6 +7,7 @@ counts, with a row for every text of a batch, by the broadcast log-probabilities
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterable, Iterator
 
@@ -17,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import free_name, remainder, stored
+from tierloom.llm.common import free_name, release, remainder, stored
 
 COLUMNS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -25,7 +26,7 @@ SMOOTHING = 0.1
 # Training takes about this many documents of each language, chosen by hashes of their ids.
 DOCS_PER_LANGUAGE = 4000
 HASHES = 1 << 20
-# The model is broadcast in blocks of so many languages, 16 MiB each; where there are several, one is in memory at a time.
+# The model is broadcast in blocks of so many languages, 16 MiB each, one at a time.
 LANGUAGES_A_BLOCK = 64
 # A batch is one sparse matrix, or several of about this many counts.
 COUNTS_A_PORTION = 1 << 20
@@ -156,54 +157,60 @@ def sparse_matrices(texts: list[str | None]) -> Iterator[tuple[list[int], np.nda
         yield matrix()
 
 
-def score_batch(texts: list[str | None], blocks: Callable[[], Iterable[Block]]) -> list[dict]:
-    """Best language of all blocks and its posterior probability for each text, from products with the whole batch."""
-    out = [{"language": UNKNOWN, "score": 0.0} for _ in texts]
+def score_batch(texts: list[str | None], block: Block, former: list[dict | None]) -> list[dict]:
+    """Best language so far of each text, its log-probability, and the sum of all probabilities in units of it, from one
+    product of the batch with a block and what earlier blocks gave (``former``)."""
+    out = [state or {"language": UNKNOWN, "best": -math.inf, "total": 0.0} for state in former]
+    names, matrix = block
     for places, starts, columns, counts in sparse_matrices(texts):
-        # The best log-probability, its language, and the sum of all probabilities in units of it.
-        best = np.full(len(places), -np.inf)
-        total = np.zeros(len(places))
-        named = np.full(len(places), UNKNOWN, dtype=object)
-        for names, matrix in blocks():
-            logs = np.stack([np.add.reduceat(row[columns] * counts, starts) + row[COLUMNS] for row in matrix], axis=1)
-            first = logs.argmax(axis=1)
-            top = logs[np.arange(len(places)), first]
-            named = np.where(top > best, np.array(names, dtype=object)[first], named)
-            higher = np.maximum(top, best)
-            total = total * np.exp(best - higher) + np.exp(logs - higher[:, None]).sum(axis=1)
-            best = higher
-        for i, name, whole in zip(places, named, total, strict=True):
-            if whole:
-                out[i] = {"language": name, "score": float(1 / whole)}
+        logs = np.stack([np.add.reduceat(row[columns] * counts, starts) + row[COLUMNS] for row in matrix], axis=1)
+        first = logs.argmax(axis=1)
+        for i, name, values in zip(places, np.array(names, dtype=object)[first], logs, strict=True):
+            past, top = out[i], float(values.max())
+            higher = max(top, past["best"])
+            total = past["total"] * math.exp(past["best"] - higher) + float(np.exp(values - higher).sum())
+            out[i] = {"language": name if top > past["best"] else past["language"], "best": higher, "total": total}
     return out
 
 
-def passing(held: Broadcast) -> Block:
-    """The value of a broadcast, which this process reads again next time instead of keeping it."""
-    value = held.value
-    if getattr(held, "_path", None):
-        vars(held).pop("_value", None)
-    return value
+STATE = "language string, best double, total double"
+
+
+def _scorer(held: Broadcast) -> Callable[..., Column]:
+    @F.arrow_udf(STATE)
+    def scored(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        kind = pa.struct([("language", pa.string()), ("best", pa.float64()), ("total", pa.float64())])
+        for texts, former in batches:
+            yield pa.array(score_batch(texts.to_pylist(), held.value, former.to_pylist()), kind)
+
+    return scored.asNondeterministic()
 
 
 def predict(docs: DataFrame, model: Iterable[Block], text: str = "text", into: str = "language_id") -> DataFrame:
     """Add a column with the predicted language and its probability; a column of that name is replaced.
 
     Null texts, and texts without a letter, give ``und`` with probability 0; ties go to the first name. All languages
-    of the model are compared, whatever their number: its blocks are broadcast one by one.
+    of the model are compared, whatever their number: beyond one block, each block is a pass of its own whose result is
+    stored before the next is broadcast, so that a worker holds one at a time.
     """
-    held = [docs.sparkSession.sparkContext.broadcast(block) for block in model]
-
-    def blocks() -> Iterable[Block]:
-        return (one.value for one in held) if len(held) == 1 else map(passing, held)
-
-    @F.arrow_udf("language string, score double")
-    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.struct([("language", pa.string()), ("score", pa.float64())])
-        for texts in batches:
-            yield pa.array(score_batch(texts.to_pylist(), blocks), kind)
-
-    return docs.withColumn(into, scored.asNondeterministic()(F.col(text)))
+    context = docs.sparkSession.sparkContext
+    nothing = F.lit(None).cast("struct<language:string,best:double,total:double>")
+    scored, before = docs.withColumn(into, nothing), None
+    blocks = iter(model)
+    block = next(blocks, None)
+    while block is not None:
+        scored = scored.withColumn(into, _scorer(context.broadcast(block))(F.col(text), F.col(into)))
+        block = next(blocks, None)
+        if block is not None:
+            scored = stored(scored, "language-scores")
+            if before is not None:
+                release(before)
+            before = scored
+    state = F.col(into)
+    known = F.coalesce(state["total"] > 0, F.lit(False))
+    score = F.when(known, F.try_divide(F.lit(1.0), state["total"])).otherwise(0.0)
+    name = F.coalesce(state["language"], F.lit(UNKNOWN))
+    return scored.withColumn(into, F.struct(name.alias("language"), score.alias("score")))
 
 
 def identify(

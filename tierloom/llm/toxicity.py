@@ -1,7 +1,7 @@
 """Toxic passages as maximum-scoring segments of token log-odds, calibrated by extreme-value statistics.
 
 Tokens are lower-case letter runs. A token's score is its log-odds of coming from a toxic document, shrunk by a
-Dirichlet prior; tokens without clear evidence share one score, and a constant drift makes ordinary text negative. A
+Dirichlet prior, less a drift that makes ordinary text negative; tokens that were never seen have the drift alone. A
 linear scan finds all maximal segments. By Karlin and Altschul, a segment of score S in n tokens of clean text has
 expectation K n exp(-lambda S); the excess of significant segments is added up and turned into a probability.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -18,15 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import free_name, maximal_stretches, remainder, stored
+from tierloom.llm.common import free_name, maximal_stretches, release, remainder, stored
 
 # About this many labelled documents of each class are learned from, chosen by a hash of their ids.
 DOCS_PER_CLASS = 10_000
-# Imagined documents per token, with the usual share of toxic ones.
+# Imagined documents per token, with the usual share of toxic ones; and how far log-odds shrink that are within their
+# own error: a score of z standard deviations keeps z^2 / (z^2 + ERROR) of itself.
 IMAGINED = 2.0
-# A token needs this many toxic documents and this many standard deviations to have a score of its own.
+ERROR = 9.0
+# Tokens of fewer documents of the sample count as never seen.
 LEAST_DOCS = 4
-LEAST_Z = 3.0
 DRIFT = 0.5
 # Segments with a higher probability in clean text are not significant.
 SIGNIFICANCE = 0.05
@@ -47,34 +49,34 @@ def segments(found: list[str], scores: dict[str, float], drift: float) -> list[t
     hits: list[int] = []
     # Turn by turn the tokens before a hit and the hit itself.
     steps: list[float] = []
-    before = -1
+    between = 0.0
     for i, token in enumerate(found):
-        score = scores.get(token)
-        if score is None:
-            continue
-        steps += (-drift * (i - before - 1), score)
-        hits.append(i)
-        before = i
+        score = scores.get(token, -drift)
+        if score > 0:
+            steps += (between, score)
+            hits.append(i)
+            between = 0.0
+        else:
+            between += score
     upto = list(accumulate(steps, initial=0.0))
     return [(hits[a // 2], hits[b // 2], upto[b + 1] - upto[a]) for a, b in maximal_stretches(steps)]
 
 
 def lexicon(toxic: np.ndarray, clean: np.ndarray, names: list[str], all_toxic: int, all_clean: int) -> dict[str, float]:
-    """Positive token scores from document frequencies, less the drift."""
+    """Log-odds of every token from document frequencies, shrunk by their error, less the drift."""
     base = (all_toxic + 1) / (all_toxic + all_clean + 2)
     rate = (toxic + IMAGINED * base) / (toxic + clean + IMAGINED)
     score = np.log(rate / (1 - rate)) - math.log(base / (1 - base))
-    deviation = np.sqrt(1 / (toxic + IMAGINED * base) + 1 / (clean + IMAGINED * (1 - base)))
-    kept = (toxic >= LEAST_DOCS) & (score > LEAST_Z * deviation) & (score > DRIFT)
-    return {names[i]: float(score[i] - DRIFT) for i in np.flatnonzero(kept)}
+    squared = score**2 / (1 / (toxic + IMAGINED * base) + 1 / (clean + IMAGINED * (1 - base)))
+    kept = score * squared / (squared + ERROR) - DRIFT
+    return {name: float(s) for name, s, seen in zip(names, kept, toxic + clean, strict=True) if seen}
 
 
-def _decay(scores: np.ndarray, chances: np.ndarray, drift: float) -> float:
+def _decay(scores: np.ndarray, chances: np.ndarray) -> float:
     """The positive lambda at which the expectation of exp(lambda * score) over clean tokens is one."""
-    rest = 1 - chances.sum()
 
     def excess(decay: float) -> float:
-        return float((chances * np.exp(np.minimum(decay * scores, 700))).sum() + rest * math.exp(-decay * drift) - 1)
+        return float((chances * np.exp(np.minimum(decay * scores, 700))).sum() - 1)
 
     low, high = 0.0, 1.0
     while excess(high) < 0 and high < 1e3:
@@ -136,7 +138,7 @@ def _sample(docs: DataFrame, labels: DataFrame, docs_per_class: int) -> DataFram
 
 
 def _frequencies(sample: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Tokens in LEAST_DOCS toxic documents or more, their document frequencies by class and fold (columns toxic in
+    """Tokens in LEAST_DOCS documents or more, their document frequencies by class and fold (columns toxic in
     fold 0 and 1, clean in fold 0 and 1), and the numbers of documents alike."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +155,7 @@ def _frequencies(sample: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     partial = sample.mapInArrow(count, "token string, t0 long, t1 long, c0 long, c1 long")
     summed = partial.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("t0", "t1", "c0", "c1")])
     # The empty token counts the documents themselves. The sample bounds the number of tokens.
-    rows = summed.filter((F.col("t0") + F.col("t1") >= LEAST_DOCS) | (F.col("token") == "")).collect()
+    rows = summed.filter((F.col("t0") + F.col("t1") + F.col("c0") + F.col("c1") >= LEAST_DOCS) | (F.col("token") == "")).collect()
     names, values, documents = [], [], np.zeros(4)
     for token, *numbers in rows:
         if token:
@@ -179,34 +181,50 @@ def learn(docs: DataFrame, labels: DataFrame, docs_per_class: int = DOCS_PER_CLA
     halves = sample.sparkSession.sparkContext.broadcast(other)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drawn: Counter[float] = Counter()
         for batch in batches:
-            sizes, hits, found = [], [], []
-            for text, fold in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            sizes, found = [], []
+            for toxic, text, fold in zip(*(batch.column(i).to_pylist() for i in (1, 0, 2)), strict=True):
                 scores, words = halves.value[fold], tokens(text)
                 sizes.append(len(words))
-                hits.append([scores[w] for w in words if w in scores])
                 found.append([s for _, _, s in segments(words, scores, DRIFT)])
-            lists = pa.list_(pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(sizes, pa.int64()), pa.array(hits, lists), pa.array(found, lists)],
-                names=["toxic", "n", "hits", "found"],
-            )
-
-    rows = sample.mapInArrow(scored, "toxic int, n long, hits array<double>, found array<double>").collect()
-    clean = [row for row in rows if row["toxic"] == 0]
-    all_tokens = sum(row["n"] for row in clean)
-    drawn = np.array([s for row in clean for s in row["hits"]] + [1.0], dtype=float)
-    values, times = np.unique(np.round(drawn, 2), return_counts=True)
-    decay = _decay(values, times / (all_tokens + 2), DRIFT)
-    tops = np.array([max(row["found"], default=0.0) for row in clean])
-    level = float(np.quantile(tops[tops > 0], 0.5)) if (tops > 0).any() else 1.0
+                if toxic == 0:
+                    drawn.update(round(scores.get(word, -DRIFT), 2) for word in words)
+            yield _scored_batch(batch.column(1), sizes, found, [None] * len(sizes))
+        if drawn:
+            # How often clean text has a score, as rows without a label.
+            yield _scored_batch(pa.nulls(len(drawn), pa.int32()), list(drawn.values()), [None] * len(drawn), list(drawn))
+
+    table = stored(sample.mapInArrow(scored, "toxic int, n long, found array<double>, score double"), "toxicity-segments")
+    times = table.filter("toxic is null").groupBy("score").agg(F.sum("n").alias("n")).orderBy("score").collect()
+    values, counts = (np.array([row[name] for row in times], float) for name in ("score", "n"))
+    all_tokens = counts.sum()
+    # One imagined token with a high score keeps lambda finite where clean text has none.
+    decay = _decay(np.append(values, 1.0), np.append(counts, 1.0) / (all_tokens + 1))
+    tops = np.array([row[0] for row in table.filter("toxic = 0").select(F.array_max("found")).collect() if row[0] is not None])
+    level = float(np.quantile(tops, 0.5)) if len(tops) else 1.0
     scale = (float((tops >= level).sum()) + 0.5) / ((all_tokens + 1) * math.exp(-decay * level))
-    x = np.array([features(row["found"], row["n"], decay, scale) for row in rows]).reshape(-1, 2)
+
+    @F.arrow_udf("array<double>")
+    def described(found: pa.Array, n: pa.Array) -> pa.Array:
+        rows = zip(found.to_pylist(), n.to_pylist(), strict=True)
+        return pa.array([list(features(scores or [], size, decay, scale)) for scores, size in rows], pa.list_(pa.float64()))
+
+    # Three numbers for each document of the sample.
+    labelled = table.filter("toxic is not null")
+    rows = labelled.select("toxic", described(F.col("found"), F.col("n")).alias("x")).collect()
+    release(table, sample)
+    x = np.array([row["x"] for row in rows], float).reshape(-1, 2)
     y = np.array([row["toxic"] == 1 for row in rows], dtype=float)
     beta = _logistic(x, y) if len(rows) else [0.0, 0.0, 0.0]
     return {"scores": both, "decay": decay, "scale": scale, "beta": beta}
 
 
+def _scored_batch(toxic: pa.Array, n: list[int], found: list[list[float] | None], score: list[float | None]) -> pa.RecordBatch:
+    columns = [toxic, pa.array(n, pa.int64()), pa.array(found, pa.list_(pa.float64())), pa.array(score, pa.float64())]
+    return pa.RecordBatch.from_arrays(columns, names=["toxic", "n", "found", "score"])
+
+
 def apply_model(text: str | None, model: dict) -> tuple[float, list[tuple[int, int, float]]]:
     """Probability that a text is toxic, and its significant segments (first and last token, score)."""
     words = tokens(text)
