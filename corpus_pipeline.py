@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tierloom.llm import decontaminate, language, mixing, sharding, simhash  # noqa: E402
-from tierloom.llm.common import read, stored  # noqa: E402
+from tierloom.llm.common import read, release, stored  # noqa: E402
+from tierloom.workspace import keep, scratch  # noqa: E402
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,12 +51,16 @@ STAGES = [
     ("shards", sharded),
 ]
 
-# Trained models and 64-bit hashes are beyond SQL; tests/llm/test_pipeline.py holds a brute-force version against it.
+# Trained models and 64-bit hashes are beyond SQL; tests/llm/test_llm_pipeline.py holds a brute-force version against it.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages. What a stage stores on the way is deleted with its end, its input with the end of the next one."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch():
+            result = keep(stored(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        release(docs)
+        docs = result
     return docs
