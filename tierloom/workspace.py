@@ -53,7 +53,8 @@ def scratch() -> Iterator[dict[str, SparkSession]]:
     try:
         yield scope
     finally:
-        _SCOPES.remove(scope)
+        # By identity: empty scopes are equal.
+        del _SCOPES[next(i for i, other in enumerate(_SCOPES) if other is scope)]
         for path, spark in scope.items():
             remove_folder(spark, path)
 
