@@ -1,5 +1,6 @@
 """The pipeline, stage by stage, against plain versions of what each stage decides."""
 
+import os
 from collections import Counter
 
 import brute
@@ -7,8 +8,10 @@ import pytest
 from conftest import DATA
 
 import corpus_pipeline
+from tierloom import workspace
 from tierloom.llm import language
 from tierloom.llm.common import read, stored
+from tierloom.llm.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +82,21 @@ def test_run_gives_the_last_stage(spark, stages):
     assert Counter(map(repr, found.select(sorted(found.columns)).collect())) == Counter(
         repr(row) for row in spark.createDataFrame(stages["shards"], found.schema).select(sorted(found.columns)).collect()
     )
+
+
+def test_a_run_leaves_its_result_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_root", lambda spark: str(tmp_path))
+    with workspace.scratch():
+        result = corpus_pipeline.run(spark, DATA)
+        left = os.listdir(tmp_path)
+        assert [name.rsplit("-", 1)[0] for name in left] == ["pipeline-shards"] and result.count() > 0
+    assert os.listdir(tmp_path) == []
+
+
+@pytest.mark.parametrize("name", ["op1_quality", "op5_simhash", "op7_repeated_bytes", "op11_whitening", "op12_alignment"])
+def test_nothing_is_left_of_a_query_whose_result_is_written(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(workspace, "shared_root", lambda spark: str(tmp_path))
+    with workspace.scratch():
+        QUERIES[name](spark, DATA).write.format("noop").mode("overwrite").save()
+        assert os.listdir(tmp_path)
+    assert os.listdir(tmp_path) == []
