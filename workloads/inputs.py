@@ -35,10 +35,13 @@ def shipped(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def observations(spark: SparkSession, folder: str) -> DataFrame:
-    """(series_id, year, period, value): quarters, and whole years added up from them."""
-    quarters = quarterly(spark, folder)
-    years = quarters.groupBy("series_id", "year").agg(exact_sum("value", 2).alias("value"))
-    return quarters.unionByName(years.select("series_id", "year", F.lit("Q05").alias("period"), "value"))
+    """(series_id, year, period, value): quarters, and whole years added up from them, in one pass over the lines."""
+    quarter = F.struct("period", "value")
+    by_year = quarterly(spark, folder).groupBy("series_id", "year")
+    # A year has four quarters at most.
+    years = by_year.agg(F.collect_list(quarter).alias("quarters"), exact_sum("value", 2).alias("total"))
+    whole = F.struct(F.lit("Q05").alias("period"), F.col("total").alias("value"))
+    return years.select("series_id", "year", F.inline(F.array_append("quarters", whole)))
 
 
 def quarterly(spark: SparkSession, folder: str) -> DataFrame:
