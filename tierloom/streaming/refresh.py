@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tierloom.operators.checks import suite
 from tierloom.plans import gold
 from tierloom.plans.checks import best_year_checks, population_checks, series_population_checks
-from tierloom.plans.incremental import TOTAL_KEYS, best_year_of_totals, refresh_totals, yearly_values
+from tierloom.plans.incremental import TOTAL_KEYS, best_year_of_totals, partial_totals, refresh_totals, yearly_values
 from tierloom.plans.silver import MEASURES, OBSERVATIONS, POPULATION, SECTORS, SERIES, SPECS, Spec, project
 from tierloom.sources.evolving import json_into, lines, tsv_into
 from tierloom.streaming.flows import GOLD_COMMENTS, PINNED, Layout
@@ -36,6 +36,15 @@ class Store:
     def silver(self, spec: Spec) -> AddedTable:
         return AddedTable(self.spark, f"{self.folder}/{spec.table}", spec.key, self.buckets)
 
+    def silver_rows(self, spec: Spec) -> DataFrame:
+        """All rows of a silver table; none, with its columns, before its dataset has landed."""
+        rows = self.silver(spec).read()
+        if rows is not None:
+            return rows
+        types = {"verbatim": "string"}
+        columns = ", ".join(f"`{f.name}` {types.get(f.type_name, f.type_name)}" for f in spec.fields)
+        return self.spark.createDataFrame([], columns)
+
     def totals(self) -> MergedTable:
         return MergedTable(self.spark, f"{self.folder}/gold_yearly_totals", TOTAL_KEYS, self.buckets)
 
@@ -77,17 +86,17 @@ def gain_gold(
 ) -> DataFrame:
     """Gold tables, the yearly totals from what silver gained, and the verdicts of the checks."""
 
-    def silver(spec: Spec) -> DataFrame:
-        return store.silver(spec).read()
-
     def keep(result: DataFrame, table: str) -> DataFrame:
         return publish(result, layout.name(table), GOLD_COMMENTS[table], partition_by=layout.partition_by.get(table, ()))
 
     refresh_totals(store.silver(OBSERVATIONS), store.totals(), scale=scale)
-    totals, observations, people = store.totals().read(), silver(OBSERVATIONS), silver(POPULATION)
+    observations, people = store.silver_rows(OBSERVATIONS), store.silver_rows(POPULATION)
+    totals = store.totals().read()
+    if totals is None:
+        totals = partial_totals(observations, scale=scale)
     stats = keep(gold.population_stats(people, nation, *years), "gold_population_stats")
     best = keep(
-        best_year_of_totals(totals, silver(SERIES), silver(MEASURES), silver(SECTORS), scale), "gold_best_year_by_series"
+        best_year_of_totals(totals, *map(store.silver_rows, (SERIES, MEASURES, SECTORS)), scale), "gold_best_year_by_series"
     )
     paired = keep(gold.series_population(observations, people, series_id, period, nation), "gold_series_population")
     chosen = observations.filter((F.col("series_id") == series_id) & (F.col("period") == period))
@@ -101,7 +110,10 @@ def gain_gold(
 
 
 def refresh(store: Store, layout: Layout, **options) -> tuple[DataFrame, DataFrame]:
-    """One refresh of all layers: (expectation counts of what it added, verdicts of the checks)."""
+    """One refresh of all layers: (expectation counts of what it added, verdicts of the checks).
+
+    Datasets that have not landed yet are waited for: their tables are empty until a later refresh finds them.
+    """
     land_in_bronze(store, layout)
     counts = gain_silver(store)
     return counts, gain_gold(store, layout, **options)

@@ -676,3 +676,29 @@ def freshness(spark: SparkSession, folder: str) -> DataFrame:
 def schema_drift(spark: SparkSession, folder: str) -> DataFrame:
     events = inputs.table(spark, folder, "events")
     return profile.json_drift(events, "props", {"k": "STRING", "origin": "STRING"})
+
+
+@query(
+    """WITH n AS (SELECT count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS r FROM lineitem)
+       SELECT 'order' AS path, 'OBJECT' AS found_type, n AS "rows", NULL AS problem FROM n
+       UNION ALL SELECT 'order.key', 'BIGINT', n, NULL FROM n
+       UNION ALL SELECT 'order.item', 'OBJECT', n, NULL FROM n
+       UNION ALL SELECT 'order.item.qty', 'BIGINT', n - r, NULL FROM n
+       UNION ALL SELECT 'order.item.qty', 'STRING', r, 'retyped' FROM n
+       UNION ALL SELECT 'order.item.codes', 'ARRAY', n, 'unexpected' FROM n
+       UNION ALL SELECT 'order.item.codes[]', 'BIGINT', n, 'retyped' FROM n
+       UNION ALL SELECT 'order.item.codes[]', 'STRING', n, NULL FROM n
+       UNION ALL SELECT 'order.item.note', NULL, 0, 'missing'"""
+)
+def schema_drift_nested(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as nested objects: returned ones have their quantity, two levels down, as text, and an array holds
+    values of two types."""
+    amount = inputs.text(F.col("l_quantity").cast("int"))
+    quantity = F.when(F.col("l_returnflag") == "R", F.concat(F.lit('"'), amount, F.lit('"'))).otherwise(amount)
+    item = F.format_string(
+        '{"order":{"key":%s,"item":{"qty":%s,"codes":[%s,"%s"]}}}',
+        inputs.text("l_orderkey"), quantity, inputs.text("l_linenumber"), F.col("l_linestatus"),
+    )
+    lines = inputs.table(spark, folder, "lineitem").select(item.alias("document"))
+    contract = {"order": "OBJECT", "order.key": "BIGINT", "order.item": "OBJECT", "order.item.qty": "BIGINT"}
+    return profile.nested_drift(lines, "document", {**contract, "order.item.codes[]": "STRING", "order.item.note": "STRING"})
