@@ -107,9 +107,13 @@ def links(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
     for start in range(0, count, QUERIES_AT_ONCE):
         bits = within(planes, values[start : start + QUERIES_AT_ONCE], radius).astype("<u8").view(np.uint8)
         near[start : start + QUERIES_AT_ONCE] = np.unpackbits(bits, axis=1, bitorder="little")[:, :count]
-    label = np.arange(count)
+    label = np.arange(count, dtype=np.int32)
     while True:
-        least = np.minimum(label, np.where(near, label[None, :], count).min(axis=1))
+        least = label.copy()
+        # The smallest label near each value, for some values at a time.
+        for start in range(0, count, QUERIES_AT_ONCE):
+            part = slice(start, start + QUERIES_AT_ONCE)
+            least[part] = np.minimum(least[part], np.where(near[part], label[None, :], count).min(axis=1))
         least = least[least]
         if (least == label).all():
             return [(i, j) for i, j in enumerate(label.tolist()) if i != j]
