@@ -13,7 +13,7 @@ from tierloom.operators.expectations import Expectation, not_null
 from tierloom.operators.states import batch_states, dataset_summary, united
 from tierloom.operators.versions import validity
 from tierloom.plans.incremental import added_up, partial_totals, refresh_totals
-from tierloom.streaming.keyed import AddedTable, MergedTable, first_arrival_stream, newest, upsert_stream, without_removed
+from tierloom.streaming.keyed import AddedTable, MergedTable, first_arrival_stream, follow, newest, upsert_stream, without_removed
 from tierloom.streaming.runs import finish
 
 CHANGES = "k long, v string, seq long, removed boolean"
@@ -203,3 +203,37 @@ def test_validity_of_rare_cases(spark):
         [("x", "a", 1, 3), ("x", "a", 4, None), (None, "n", 1, 3), ("y", None, 3, None), ("z", "q", 3, 4)], key=repr
     )
     assert validity(table.limit(0), ["k"], ["v"], "at").collect() == []
+
+
+def test_small_versions_are_put_together(spark, tmp_path):
+    table = AddedTable(spark, str(tmp_path / "t"), ["k"], 2)
+    totals = MergedTable(spark, str(tmp_path / "n"), ["p"], 2)
+
+    def take(gained, source, version):
+        counted = gained.groupBy((F.col("k") % 2).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        totals.merge(counted, source, version, lambda df: df.groupBy("p").agg(F.sum("n").alias("n")))
+
+    def add(batch):
+        table.insert_new(spark.range(batch * 5, batch * 5 + 10).selectExpr("id AS k", f"{batch} AS b"), "in", batch)
+
+    for batch in range(4):
+        add(batch)
+    follow(table, totals, take)
+    before = rows(table.read())
+    assert table.compact(taken=3) and not table.compact(taken=3)
+    assert rows(table.read()) == before and len({f.split("/rows/")[1].split("/")[0] for f in table.read().inputFiles()}) == 2
+    assert rows(table.read(after=3)) == [r for r in before if r[1] == 3]
+    # Nothing new to follow, no key comes twice, and reports still count every batch.
+    assert not follow(table, totals, take)
+    add(4)
+    add(5)
+    assert follow(table, totals, take) and not follow(table, totals, take)
+    assert rows(totals.read(), "p", "n") == [(0, 18), (1, 17)]
+    assert rows(table.read(), "k") == [(k,) for k in sorted(range(35), key=lambda k: repr((k,)))]
+    assert rows(table.report(not_null("b"))) == [("valid_b", 60, 0)]
+    # The second compaction removes what the first one covered; who is still there is told.
+    assert table.compact(taken=7) and rows(table.read(), "k") == [(k,) for k in sorted(range(35), key=lambda k: repr((k,)))]
+    assert sorted(os.listdir(tmp_path / "t" / "rows")) == ["_v=4", "_v=5", "_v=6", "_v=7", "_v=8"]
+    assert table.read(after=6).count() == 5
+    with pytest.raises(ValueError, match="together"):
+        table.read(after=1)

@@ -43,9 +43,11 @@ class Commit:
     counts: Mapping[str, int] = field(default_factory=dict)
     # Types found so far, by column, for tables whose columns are kept as text.
     types: Mapping[str, str] = field(default_factory=dict)
+    # A version that holds again the rows of all commits up to this one, and adds none.
+    covers: int = 0
 
     def text(self) -> str:
-        parts = {name: getattr(self, name) for name in ("version", "source", "batch", "buckets", "counts", "types")}
+        parts = {name: getattr(self, name) for name in ("version", "source", "batch", "buckets", "counts", "types", "covers")}
         return json.dumps({**parts, "live": sorted(self.live.items()), "schema": self.schema.json()})
 
     @staticmethod
@@ -101,16 +103,25 @@ class CommittedTable:
 
     def read(self, after: int = 0, upto: int | None = None) -> DataFrame | None:
         """All rows, or those that commits after a version added, with all columns known by then; None before the first."""
-        commits = [c for c in self.commits() if upto is None or c.version <= upto]
+        commits = [c for c in self.commits() if upto is None or (c.covers or c.version) <= upto]
         if not commits:
             return None
-        schema = commits[-1].schema
-        paths = [self.path(c.version) for c in commits if c.version > after]
+        schema, paths = commits[-1].schema, self._paths(commits, after)
         if not paths:
             return self.spark.createDataFrame([], schema)
         rows = self.spark.read.schema(schema).option("basePath", f"{self.folder}/rows").parquet(*paths)
         return rows.select(*[F.col(f"`{name}`") for name in schema.fieldNames()])
 
+    def _paths(self, commits: list[Commit], after: int = 0) -> list[str]:
+        """Folders with the rows of some commits, or with what those after a version added."""
+        covering = sorted((c for c in commits if c.covers), key=lambda c: c.covers)
+        if after and len(covering) > 1 and after < covering[-2].covers:
+            raise ValueError(f"what version {after + 1} added is only there together with others")
+        whole = covering[-1:] if not after else []
+        begin = whole[0].covers if whole else after
+        own = [c for c in commits if not c.covers and c.version > begin]
+        return [self.path(c.version) for c in whole + own]
+
 
 class AppendedTable(CommittedTable):
     """A table that gains all rows of every batch. Columns may be added, also inside structs."""
@@ -138,11 +149,11 @@ def follow(source: CommittedTable, target: CommittedTable, step: Callable[[DataF
     Only files of the new commits are read. The step commits to ``target`` under the folder and the version it is given,
     so what is followed again after a failure is not taken twice.
     """
-    newest = source.last()
+    newest = max((c.version for c in source.commits() if not c.covers), default=0)
     taken = max((c.batch for c in target.commits() if c.source == source.folder), default=0)
-    if newest is None or newest.version <= taken:
+    if newest <= taken:
         return False
-    step(source.read(after=taken, upto=newest.version), source.folder, newest.version)
+    step(source.read(after=taken, upto=newest), source.folder, newest)
     return True
 
 
@@ -178,8 +189,7 @@ class AddedTable(KeyedTable):
             return None
         schema = with_bucket(StructType([commits[-1].schema[key] for key in self.keys]))
         reader = self.spark.read.schema(schema).option("basePath", f"{self.folder}/rows")
-        rows = reader.parquet(*[self.path(c.version) for c in commits])
-        return rows.filter(F.col(BUCKET).isin(touched)).select(*self.keys)
+        return reader.parquet(*self._paths(commits)).filter(F.col(BUCKET).isin(touched)).select(*self.keys)
 
     def unseen(self, rows: DataFrame) -> DataFrame:
         """Rows whose key the table does not have. ``rows`` has the bucket and each key once.
@@ -222,6 +232,28 @@ class AddedTable(KeyedTable):
         return self.spark.createDataFrame([(name, rows - n, n) for name, n in failed.items()], REPORT)
 
 
+    def compact(self, taken: int) -> bool:
+        """Put what all commits up to ``taken`` added into one version with one file per bucket; False if that is one.
+
+        To be called now and then, where many small batches leave many small files, with a version that every follower
+        has taken. Readers of the whole table read the one version from then on. The commits' own rows stay until the
+        next compaction, for readers that are still at them; what the compaction before covered is removed.
+        """
+        commits = self.commits()
+        covered = [c for c in commits if not c.covers and c.version <= taken]
+        whole = max((c for c in commits if c.covers), key=lambda c: c.covers, default=None)
+        if not covered or (whole and covered[-1].version <= whole.covers) or len(covered) < 2:
+            return False
+        upto, version = covered[-1].version, commits[-1].version + 1
+        self._write(self.read(upto=upto).withColumn(BUCKET, self.bucket()), version)
+        self._commit(Commit(version, "compaction", upto, commits[-1].schema, self.buckets, covers=upto))
+        past = whole.covers if whole else 0
+        for commit in commits:
+            if commit.version <= past or (commit.covers and commit.covers < past):
+                remove_folder(self.spark, self.path(commit.version))
+        return True
+
+
 def with_bucket(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField(BUCKET, IntegerType())])
 
