@@ -28,7 +28,7 @@ BYTE_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 # A block of documents ends at whichever comes first: slots are 16-bit numbers, and its links are held in memory.
 SLOTS = 1 << 16
-BLOCK_CHARS = 1 << 24
+BLOCK_CHARS = 1 << 23
 # Beyond this many documents of a block a bitmap is shorter than a list of slots.
 LISTED = SLOTS // 16
 # Groups with more links than this are counted by distinct tokens before tokens are paired.
