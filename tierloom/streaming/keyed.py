@@ -11,7 +11,6 @@ import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,7 +20,7 @@ from tierloom.operators.expectations import REPORT, Expectation, observed
 from tierloom.operators.ranking import top_per_group
 from tierloom.sources.evolution import widen
 from tierloom.streaming.runs import STREAM_SETTINGS
-from tierloom.workspace import release, remove_folder, settings, stored
+from tierloom.workspace import folder_exists, release, remove_folder, settings, stored
 
 BUCKET = "_bucket"
 COMMIT = "version bigint, entry string"
@@ -71,12 +70,8 @@ class CommittedTable:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(COMMIT).json(f"{self.folder}/commits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        path = f"{self.folder}/commits"
+        return self.spark.read.schema(COMMIT).json(path) if folder_exists(self.spark, path) else None
 
     def last(self) -> Commit | None:
         """The newest commit."""

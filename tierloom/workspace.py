@@ -67,10 +67,21 @@ def keep(table: DataFrame) -> DataFrame:
     return table
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of any file system that Spark writes to; nothing happens if it is not there."""
+def _located(spark: SparkSession, path: str):
+    """The file system and the path, of any kind that Spark writes to."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder; nothing happens if it is not there."""
+    system, target = _located(spark, path)
+    system.delete(target, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _located(spark, path)
+    return system.exists(target)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
