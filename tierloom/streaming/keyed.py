@@ -63,6 +63,10 @@ def same_key(left: str, right: str, keys: Iterable[str]) -> Column:
     return condition
 
 
+def held(commits: Iterable[Commit], source: str, batch: int) -> bool:
+    return any(c.source == source and c.batch == batch for c in commits)
+
+
 class CommittedTable:
     """Versions of Parquet files below ``folder``, one per batch, of which those with a commit count."""
 
@@ -73,21 +77,18 @@ class CommittedTable:
         path = f"{self.folder}/commits"
         return self.spark.read.schema(COMMIT).json(path) if folder_exists(self.spark, path) else None
 
-    def last(self) -> Commit | None:
-        """The newest commit."""
-        found = self._commits()
-        row = found.orderBy(F.desc("version")).first() if found is not None else None
-        return Commit.parse(row["entry"]) if row else None
-
     def commits(self, after: int = 0) -> list[Commit]:
         """All commits after a version, oldest first: one small entry per batch."""
         found = self._commits()
-        if found is None:
-            return []
-        return [Commit.parse(r["entry"]) for r in found.filter(F.col("version") > after).orderBy("version").collect()]
+        entries = [Commit.parse(row["entry"]) for row in found.collect()] if found is not None else []
+        return sorted((c for c in entries if c.version > after), key=lambda c: c.version)
+
+    def last(self) -> Commit | None:
+        """The newest commit."""
+        return max(self.commits(), key=lambda c: c.version, default=None)
 
     def holds(self, source: str, batch: int) -> bool:
-        return any(c.source == source and c.batch == batch for c in self.commits())
+        return held(self.commits(), source, batch)
 
     def path(self, version: int) -> str:
         return f"{self.folder}/rows/_v={version}"
@@ -127,9 +128,10 @@ class AppendedTable(CommittedTable):
         ``seen`` observes them while they are written, and ``types`` makes the types that the commit holds of what it
         saw, so that both are there together or not at all.
         """
-        if self.holds(source, batch):
+        commits = self.commits()
+        if held(commits, source, batch):
             return False
-        before = self.last()
+        before = commits[-1] if commits else None
         version = before.version + 1 if before else 1
         schema = widen(before.schema, rows.schema) if before else rows.schema
         rows.write.mode("overwrite").parquet(self.path(version))
@@ -177,22 +179,22 @@ class KeyedTable(CommittedTable):
 class AddedTable(KeyedTable):
     """A table that only gains rows: the first of every key that arrives, with counts of expectations per batch."""
 
-    def _known(self, touched: list[int]) -> DataFrame | None:
+    def _known(self, touched: list[int], commits: list[Commit]) -> DataFrame | None:
         """Keys of stored rows in some buckets: only the key columns are read, and only these buckets."""
-        commits = self.commits()
         if not commits:
             return None
         schema = with_bucket(StructType([commits[-1].schema[key] for key in self.keys]))
         reader = self.spark.read.schema(schema).option("basePath", f"{self.folder}/rows")
         return reader.parquet(*self._paths(commits)).filter(F.col(BUCKET).isin(touched)).select(*self.keys)
 
-    def unseen(self, rows: DataFrame) -> DataFrame:
+    def unseen(self, rows: DataFrame, commits: list[Commit] | None = None) -> DataFrame:
         """Rows whose key the table does not have. ``rows`` has the bucket and each key once.
 
         The stored keys are first cut down to those that the batch has. That join's other side is the batch, so Spark
         broadcasts the batch while it is small and does not shuffle what is stored.
         """
-        known = self._known(self._touched(rows))
+        commits = self.commits() if commits is None else commits
+        known = self._known(self._touched(rows), commits) if commits else None
         if known is None:
             return rows
         keys = rows.select(*self.keys).alias("batch")
@@ -205,15 +207,16 @@ class AddedTable(KeyedTable):
         Of rows with the same key in one batch any one is taken. The commit holds, per expectation, how many rows
         failed, so counts and rows are there together or not at all.
         """
-        if self.holds(source, batch):
+        commits = self.commits()
+        if held(commits, source, batch):
             return False
-        before = self.last()
+        before = commits[-1] if commits else None
         version = before.version + 1 if before else 1
         seen = Observation()
         checked = observed(rows, expectations, seen)
         once = stored(checked.dropDuplicates(self.keys).withColumn(BUCKET, self.bucket()), "new-keys")
         schema = merged_schema(before.schema if before else None, rows.schema)
-        self._write(self.unseen(once), version)
+        self._write(self.unseen(once, commits), version)
         counts = {name: int(value) for name, value in seen.get.items()}
         self._commit(Commit(version, source, batch, schema, self.buckets, counts=counts))
         release(once)
@@ -286,9 +289,10 @@ class MergedTable(KeyedTable):
         of sums, the newest of the newest. It is applied to the changes first, so that their copies are gone before
         anything is read. False if this batch has been merged before. Buckets without changes are neither read nor written.
         """
-        if self.holds(source, batch):
+        commits = self.commits()
+        if held(commits, source, batch):
             return False
-        before = self.last()
+        before = commits[-1] if commits else None
         version = before.version + 1 if before else 1
         fresh = stored(combine(changes).withColumn(BUCKET, self.bucket()), "changed-keys")
         touched = self._touched(fresh)
@@ -300,16 +304,17 @@ class MergedTable(KeyedTable):
         live = {**(before.live if before else {}), **dict.fromkeys(touched, version)}
         self._commit(Commit(version, source, batch, schema, self.buckets, live))
         release(fresh)
-        self._drop_versions(before, live)
+        self._drop_versions(commits, live)
         return True
 
-    def _drop_versions(self, before: Commit | None, live: Mapping[int, int]) -> None:
-        """Remove rows that neither this commit nor the one before shows: readers of that one are left alone."""
-        if before is None:
+    def _drop_versions(self, commits: list[Commit], live: Mapping[int, int]) -> None:
+        """Remove rows that neither the newest commit nor the one before (the last of ``commits``) shows."""
+        if not commits:
             return
-        for commit in self.commits():
-            if commit.version < before.version and commit.version not in {*live.values(), *before.live.values()}:
-                remove_folder(self.spark, self.path(commit.version))
+        shown = {*live.values(), *commits[-1].live.values()}
+        # What went out of use lately, also where a lost driver left it.
+        for version in {v for c in commits[-10:] for v in c.live.values()} - shown:
+            remove_folder(self.spark, self.path(version))
 
 
 def newest(keys: Sequence[str], sequence: str) -> Callable[[DataFrame], DataFrame]:
