@@ -105,6 +105,17 @@ def test_alignment_query(spark, texts):
     assert alignment.alignment_report(odd.limit(0)).collect() == []
 
 
+def test_alignment_of_spaces_at_the_ends(spark):
+    """A space that ends a text is a token of both sides, and no reason to leave the text out."""
+    texts = ["a ", "the cat ", "the cat  ", " ", "  ", " a ", "a \n", "a\n ", "a\t ", "<s> ", "日本 ", "▁ ", "the cat"]
+    rows = list(enumerate(texts))
+    report = alignment.alignment_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    columns = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    found = {r["doc_id"]: tuple(r[c] for c in columns) for r in report.collect()}
+    assert found == dict(enumerate(brute.alignment(texts)[0]))
+    assert found[0][:4] == (2, 2, 2, 2)
+
+
 def test_alignment_pairs(spark):
     odd = spark.createDataFrame(ODD, "doc_id long, text string").repartition(2)
     documents, pairs = alignment.align(odd)

@@ -72,11 +72,12 @@ class Pair:
         self.a_length, self.b_length = (np.array([len(t) for t in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         self.b_size = len(self.b_bytes)
         # A text may be cut before a space that follows a word: the rules of byte-level vocabularies end a piece there, and
-        # no piece of the other side has the mark of a space behind another character. Other tokenizers take texts whole.
+        # no piece of the other side has the mark of a space behind another character. A space that ends the text stays with
+        # its word, as the piece tokenizer has no token for an empty text. Other tokenizers take texts whole.
         rules = json.loads(byte_level)
         by_words = rules["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
         inside = any(self.b.id_to_piece(i).lstrip("▁").count("▁") for i in range(self.b_size))
-        self.unit = re.compile(r"(?<=\S)(?= )") if by_words and rules["normalizer"] is None and not inside else None
+        self.unit = re.compile(r"(?<=\S)(?= [\s\S])") if by_words and rules["normalizer"] is None and not inside else None
         self.written = [f"{i}{end}" for size, ends in ((len(self.a_bytes), ",|"), (self.b_size, ",;")) for end in ends for i in range(size)]
 
     def _piece(self, i: int) -> bytes:
@@ -91,9 +92,7 @@ class Pair:
         spelt = np.ones(len(units), bool)
         for k, unit in enumerate(units):
             want = unit.encode()
-            if len(unit) == 1 or any(
-                b"".join(map(of.__getitem__, ids)) != want for of, ids in ((self.a_bytes, a_ids[k]), (self.b_bytes, b_ids[k]))
-            ):
+            if any(b"".join(map(of.__getitem__, ids)) != want for of, ids in ((self.a_bytes, a_ids[k]), (self.b_bytes, b_ids[k]))):
                 a_ids[k], b_ids[k], spelt[k] = [], [], False
         return a_ids, b_ids, spelt
 
