@@ -1,5 +1,6 @@
 """Operators against brute force on small random tables with hot keys."""
 
+import json
 import random
 from collections import Counter, defaultdict
 
@@ -22,6 +23,7 @@ from tierloom.operators.checks import (
 )
 from tierloom.operators.expectations import Expectation, enforce, not_null, report
 from tierloom.plans import gold, sql
+from tierloom.workspace import stored
 
 QUICK = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -273,3 +275,42 @@ def test_json_drift(spark):
         ],
         key=repr,
     )
+
+
+DEEP = '{"a":' * 9 + "[1, 1, \"x\"]" + "}" * 9
+NESTED = [
+    '{"a": [{"b": 1}, {"b": 2}, {"b": "x"}], "c": {}, "e": []}',
+    '{"a": [1, 1, "x", null, [1], [1, "y"]]}',
+    '{"a.b": {"c": 1}, "a": {"b.c": 1}}',
+    '{"": {"a.b": 1}, "a": {"b": 1}}',
+    "5", "{bad", "", None, "[]", "[[1], [2]]", DEEP, DEEP,
+]
+
+
+def plain_drift(documents):
+    """Documents by depth, path and type."""
+    kinds, found = {dict: "OBJECT", list: "ARRAY", int: "BIGINT", str: "STRING", type(None): "VOID"}, Counter()
+    for text in documents:
+        try:
+            level, depth, seen = [("", json.loads(text or "{"))], 0, set()
+        except ValueError:
+            continue
+        while level:
+            fields = [(f"{path}.{k}" if path else k, v) for path, value in level if isinstance(value, dict) for k, v in value.items()]
+            level = fields + [(f"{path}[]", v) for path, value in level if isinstance(value, list) for v in value]
+            depth += 1
+            seen |= {(depth, path, kinds[type(v)]) for path, v in level}
+        found.update(seen)
+    return Counter((path, kind, n) for (_, path, kind), n in found.items())
+
+
+@pytest.mark.parametrize("documents, passes", [(NESTED[:-2], 0), (NESTED, 2)])
+def test_nested_drift_counts_in_one_pass(spark, monkeypatch, documents, passes):
+    """Values are stored only where they are nested deeper than one pass opens, and all paths count documents."""
+    kept = []
+    monkeypatch.setattr(profile, "stored", lambda df, label: kept.append(label) or stored(df, label))
+    table = spark.createDataFrame([(d,) for d in documents], "document string").repartition(3)
+    drift = profile.nested_drift(table, "document", {"a": "ARRAY", "z": "STRING"}).collect()
+    assert Counter((r["path"], r["found_type"], r["rows"]) for r in drift if r["rows"]) == plain_drift(documents)
+    assert [(r["path"], r["problem"]) for r in drift if not r["rows"]] == [("z", "missing")]
+    assert kept.count("drift-level") == passes
